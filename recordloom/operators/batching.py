@@ -10,6 +10,9 @@ packed independently.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -37,60 +40,87 @@ def payload_bytes(df: DataFrame, labels: list[str] | None = None) -> Column:
     return F.octet_length(body).cast("bigint")
 
 
-def plan_batches(
-    df: DataFrame,
-    line: str,
-    size: Column,
-    shard: list[str] | None = None,
-    envelope_bytes: int = 0,
-    max_bytes: int = MAX_BATCH_BYTES,
-    block_bytes: int = _BLOCK_BYTES,
-) -> DataFrame:
-    """Batches per shard: number, first and last line, records and bytes.
+@dataclass(frozen=True)
+class BatchRule:
+    """How lines are ordered, measured and grouped into batches.
 
-    ``line`` orders the rows of a shard and is unique in it; ``size`` is the row's
-    serialized size. Without ``shard`` the whole table is one sequence.
+    ``line`` orders the rows of a shard and is unique in it; ``size`` is the row's serialized
+    size. Without ``shard`` the whole table is one sequence.
     """
-    if not isinstance(max_bytes, int) or isinstance(max_bytes, bool) or max_bytes < 1:
-        raise ValueError("max_bytes must be a positive integer")
-    if envelope_bytes > max_bytes:
-        raise ValueError("the envelope alone exceeds max_bytes")
-    names = [f"_s{i}" for i in range(len(shard or [])) or [0]]
-    shards = [col(n).alias(a) for n, a in zip(shard or [], names)] or [F.lit(0).alias("_s0")]
+
+    line: str
+    size: Column
+    shard: Sequence[str] = ()
+    envelope_bytes: int = 0
+    max_bytes: int = MAX_BATCH_BYTES
+    block_bytes: int = _BLOCK_BYTES
+
+    def __post_init__(self):
+        limit = self.max_bytes
+        if not isinstance(limit, int) or isinstance(limit, bool) or limit < 1:
+            raise ValueError("max_bytes must be a positive integer")
+        if self.envelope_bytes > limit:
+            raise ValueError("the envelope alone exceeds max_bytes")
+
+    @property
+    def room(self) -> int:
+        """Bytes a batch may span when every line carries its separator."""
+        return self.max_bytes - self.envelope_bytes + SEPARATOR_BYTES
+
+    @property
+    def names(self) -> list[str]:
+        return [f"_s{i}" for i in range(len(self.shard))] or ["_s0"]
+
+
+def plan_batches(df: DataFrame, rule: BatchRule) -> DataFrame:
+    """Batches per shard: number, first and last line, records and bytes."""
+    batches = _numbered(_pack(_opened_blocks(df, rule), rule), rule)
+    return batches.select(
+        *_shard_columns(rule), "batch_number", "start_line", "end_line", "records", "payload_bytes"
+    )
+
+
+def assign_batches(df: DataFrame, rule: BatchRule) -> DataFrame:
+    """The batch number of every line."""
+    lines = _numbered(_pack(_opened_blocks(df, rule), rule, per_line=True), rule)
+    return lines.select(*_shard_columns(rule), F.col("_line").alias(rule.line), "batch_number")
+
+
+def _shard_columns(rule: BatchRule) -> list[Column]:
+    return [F.col(alias).alias(name) for name, alias in zip(rule.shard, rule.names)]
+
+
+def _opened_blocks(df: DataFrame, rule: BatchRule) -> DataFrame:
+    """Lines by block, each block knowing the line its first batch opens on."""
+    names, room = rule.names, rule.room
+    shards = [col(n).alias(a) for n, a in zip(rule.shard, names)] or [F.lit(0).alias("_s0")]
     sized = df.select(
-        *shards, col(line).alias("_line"), (size + SEPARATOR_BYTES).alias("_step")
+        *shards, col(rule.line).alias("_line"), (rule.size + SEPARATOR_BYTES).alias("_step")
     )
     slices = sorted_slices(sized, [*names, "_line"], "batch-lines")
-    room = max_bytes - envelope_bytes + SEPARATOR_BYTES
-    worst = slices.agg(
-        F.min(F.when(F.col("_step") > room, F.col("_line"))).alias("line"),
-        F.max("_step").alias("step"),
-    ).first()
-    if worst["line"] is not None:
-        raise BatchSizeError(f"record at position {worst['line']} exceeds {max_bytes} bytes")
-
-    width = max(room, min(64 * room, block_bytes))
+    oversize = F.when(F.col("_step") > room, F.col("_line"))
+    worst = slices.agg(F.min(oversize).alias("line")).first()["line"]
+    if worst is not None:
+        raise BatchSizeError(f"record at position {worst} exceeds {rule.max_bytes} bytes")
+    width = max(room, min(64 * room, rule.block_bytes))
     placed = running_sum(slices, names, "_step", "_at").select(*names, "_line", "_step", "_at")
     blocks = stage(_with_halo(placed, width, room), "batch-blocks")
-    openings = _block_openings(blocks, names, width, room)
-    packed = _pack(blocks.join(openings, [*names, "_block"]), names, room, envelope_bytes)
-    packed = stage(packed, "batches")
+    return blocks.join(_block_openings(blocks, names, width, room), [*names, "_block"])
+
 
-    per_block = packed.groupBy(*names, "_block").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(*names).orderBy("_block").rowsBetween(
-        Window.unboundedPreceding, -1
+def _numbered(packed: DataFrame, rule: BatchRule) -> DataFrame:
+    """Turn numbers within a block into numbers within the shard."""
+    names = rule.names
+    packed = stage(packed, "batches")
+    per_block = packed.groupBy(*names, "_block").agg(F.max("_index").alias("_n"))
+    earlier = (
+        Window.partitionBy(*names).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     )
     before = per_block.select(
         *names, "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
     )
-    outputs = [F.col(alias).alias(name) for name, alias in zip(shard or [], names)]
-    return packed.join(before, [*names, "_block"]).select(
-        *outputs,
-        (F.col("_before") + F.col("_index")).alias("batch_number"),
-        "start_line",
-        "end_line",
-        "records",
-        "payload_bytes",
+    return packed.join(before, [*names, "_block"]).withColumn(
+        "batch_number", F.col("_before") + F.col("_index")
     )
 
 
@@ -180,14 +210,16 @@ def _descend(known: DataFrame, level: DataFrame, names: list[str]) -> DataFrame:
     return halves.unionByName(second)
 
 
-def _pack(blocks: DataFrame, names: list[str], room: int, envelope: int) -> DataFrame:
+def _pack(blocks: DataFrame, rule: BatchRule, per_line: bool = False) -> DataFrame:
     """Cut every block into batches from its known opening line."""
+    names, room, envelope = rule.names, rule.room, rule.envelope_bytes
     dtype = {field.name: field.dataType.simpleString() for field in blocks.schema.fields}
     keys = ", ".join(f"{name} {dtype[name]}" for name in names)
-    schema = (
-        f"{keys}, _block bigint, _index bigint, start_line {dtype['_line']}, "
-        f"end_line {dtype['_line']}, records bigint, payload_bytes bigint"
+    ranges = (
+        f"start_line {dtype['_line']}, end_line {dtype['_line']}, "
+        "records bigint, payload_bytes bigint"
     )
+    output = f"_line {dtype['_line']}" if per_line else ranges
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_at", ignore_index=True)
@@ -195,28 +227,34 @@ def _pack(blocks: DataFrame, names: list[str], room: int, envelope: int) -> Data
         line = pdf["_line"].to_numpy()
         own = int((pdf["_home"] == pdf["_block"]).sum())
         target = _jump(at, step, room)
-        starts, here = [], int(np.searchsorted(line, pdf["_entry"].iat[0]))
+        starts, here = [], int(np.flatnonzero(line == pdf["_entry"].iat[0])[0])
         while here < own:
             starts.append(here)
             here = int(target[here])
         first = np.array(starts, dtype=np.int64)
         last = target[first] - 1
-        out = pd.DataFrame({name: pdf[name].iloc[0] for name in names}, index=range(len(first)))
+        if per_line:
+            inside = np.arange(first[0], last[-1] + 1) if len(first) else first
+            out = pd.DataFrame({"_line": line[inside]})
+            out["_index"] = np.searchsorted(first, inside, side="right")
+        else:
+            out = pd.DataFrame({"start_line": line[first], "end_line": line[last]})
+            out["_index"] = np.arange(1, len(first) + 1)
+            out["records"] = last - first + 1
+            out["payload_bytes"] = at[last] + step[last] - at[first] - SEPARATOR_BYTES + envelope
         out["_block"] = pdf["_block"].iat[0]
-        out["_index"] = np.arange(1, len(first) + 1)
-        out["start_line"], out["end_line"] = line[first], line[last]
-        out["records"] = last - first + 1
-        out["payload_bytes"] = at[last] + step[last] - at[first] - SEPARATOR_BYTES + envelope
+        for name in names:
+            out[name] = pdf[name].iat[0]
         return out
 
+    schema = f"{keys}, _block bigint, _index bigint, {output}"
     return blocks.groupBy(*names, "_block").applyInPandas(pack, schema)
 
 
-def batch_of_line(lines: DataFrame, batches: DataFrame, line: str, batch: str) -> DataFrame:
-    """Rebase positions local to a batch onto global lines: start + local - 1."""
-    starts = batches.select(F.col("batch_number").alias(batch), "start_line")
+def to_global_lines(lines: DataFrame, batches: DataFrame, line: str) -> DataFrame:
+    """Rebase 1-based positions local to a batch onto global lines: start + local - 1."""
     return (
-        lines.join(starts, batch)
+        lines.join(batches.select("batch_number", "start_line"), "batch_number")
         .withColumn("global_line", F.col("start_line") + col(line) - 1)
         .drop("start_line")
     )

@@ -23,9 +23,17 @@ class FieldRule:
     required: bool | None = None
     unique: bool | None = None
     choices: Sequence[str] | None = None
-    formula: str | None = None
     field_id: int | None = None
     properties: Mapping | None = None
+    mode: str | None = None
+    formula: str | None = None
+    depends_on: Sequence[str] = ()
+    source: str | None = None
+    where: str | None = None
+
+    def __post_init__(self):
+        if self.mode not in (None, "", "formula", "lookup", "summary"):
+            raise ValueError(f"unknown field mode {self.mode!r}")
 
 
 def blank(column: Column, dtype: T.DataType) -> Column:

@@ -309,41 +309,25 @@ def check_result(lines: DataFrame, submitted: int) -> DataFrame:
     return facts.select(F.inline(F.array(*rows))).where("broken").select("rule")
 
 
-def write_batches(
-    target: DataFrame,
-    source: DataFrame,
-    batches: DataFrame,
-    key: str,
-    merge_on: str | None,
-    line: str = "line",
-    rules: Sequence[FieldRule] = (),
-):
-    """Upsert batch by batch, stopping at the first failure.
+def batch_report(lines: DataFrame, batches: DataFrame, assigned: DataFrame) -> DataFrame:
+    """Outcome per batch of a write: line range, bytes and counts per action.
 
-    Yields ``(report row, result)``; results of earlier batches stay valid. One batch is one
-    job, and only the batch being written is named on the driver.
+    ``assigned`` maps lines to batch numbers. All batches are written by one job, so a batch
+    is either completed together with the others or not reported at all.
     """
-    current, number = target, 0
-    while True:
-        ahead = batches.where(F.col("batch_number") > number).orderBy("batch_number")
-        batch = ahead.limit(1).first()
-        if batch is None:
-            return
-        number = batch["batch_number"]
-        report = {
-            "batch_number": number,
-            "start_line": batch["start_line"],
-            "end_line": batch["end_line"],
-            "payload_bytes": batch["payload_bytes"],
-        }
-        part = source.where(col(line).between(batch["start_line"], batch["end_line"]))
-        try:
-            result = upsert(current, part, key, merge_on, line, rules)
-            current = stage(result.merged, "upsert-batch")
-        except Exception as error:
-            # A rejected plan wrote nothing; anything later may have written some files.
-            known = isinstance(error, ValueError)
-            yield {**report, "status": "failed" if known else "uncertain", "error": str(error)}, None
-            return
-        lines = stage(result.lines, "upsert-batch-lines")
-        yield {**report, "status": "completed", "error": None}, UpsertResult(lines, current, key)
+    counted = (
+        lines.join(assigned, "line")
+        .groupBy("batch_number")
+        .agg(
+            *[
+                F.count_if(F.col("action") == action).alias(name)
+                for action, name in (
+                    ("created", "created"),
+                    ("updated", "updated"),
+                    ("unchanged", "unchanged"),
+                    ("error", "failed_lines"),
+                )
+            ]
+        )
+    )
+    return batches.join(counted, "batch_number").withColumn("status", F.lit("completed"))
