@@ -12,7 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-_AREAS = ("predicates", "scans", "relations")
+_AREAS = ("predicates", "scans", "relations", "writes", "files", "attachments", "checks")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

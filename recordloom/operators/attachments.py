@@ -6,7 +6,7 @@ A file cell is ``struct<fileName, versions: array<struct<versionNumber, fileName
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -122,21 +122,30 @@ def _strip(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _within_bytes(name: Column) -> Column:
+    """The longest prefix of whole characters that fits into NAME_BYTES."""
+    # A character is at least one byte, so longer prefixes than these cannot fit.
+    lengths = F.sequence(F.lit(1), F.least(F.length(name), F.lit(NAME_BYTES)))
+    fits = F.filter(lengths, lambda n: F.octet_length(F.substring(name, F.lit(1), n)) <= NAME_BYTES)
+    return F.when(F.octet_length(name) <= NAME_BYTES, name).otherwise(
+        F.substring(name, F.lit(1), F.array_max(fits))
+    )
+
+
 def archive_name(name: Column, field_id: Column, version: Column) -> Column:
     """Name of an archived file: also without control characters, outer dots or excess bytes."""
     clean = F.regexp_replace(name, ILLEGAL_CHARACTERS, "")
     clean = _strip(F.regexp_replace(clean, r"[\x00-\x1f\x7f]", ""))
-    clean = F.regexp_replace(clean, r"^\.+|\.+$", "")
+    clean = F.nullif(F.regexp_replace(clean, r"^\.+|\.+$", ""), F.lit(""))
     made = F.concat(
         F.lit("fid"), field_id.cast("string"), F.lit("_v"), version.cast("string"), F.lit(".bin")
     )
-    clean = F.when(clean == "", made).otherwise(clean)
-    # A character is at least one byte, so only the first NAME_BYTES prefixes can fit.
-    lengths = F.sequence(F.lit(1), F.least(F.length(clean), F.lit(NAME_BYTES)))
-    fitting = F.filter(lengths, lambda n: F.octet_length(F.substring(clean, F.lit(1), n)) <= NAME_BYTES)
-    return F.when(F.octet_length(clean) <= NAME_BYTES, clean).otherwise(
-        F.substring(clean, F.lit(1), F.array_max(fitting))
-    )
+    return _once(F.coalesce(clean, made), _within_bytes)
 
 
 def attachment_jobs(

@@ -12,6 +12,15 @@ from pyspark.sql import types as T
 from ..functions.labels import LabelError, col, resolve
 
 
+# Nulls are kept and timestamps keep their microseconds, so values survive a round trip.
+JSON_OPTIONS = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "mode": "FAILFAST",
+}
+
+
 @dataclass(frozen=True)
 class WireField:
     """One captured field: id, label and Spark type."""
@@ -52,7 +61,7 @@ def to_wire(df: DataFrame, fields: Sequence[WireField], alias: str = "value") ->
         if isinstance(types[field.label], (T.DoubleType, T.FloatType)):
             value = finite(value, field.label)
         cells.append(F.struct(value.alias("value")).alias(str(field.id)))
-    return F.to_json(F.struct(*cells), {"ignoreNullFields": "false"}).alias(alias)
+    return F.to_json(F.struct(*cells), JSON_OPTIONS).alias(alias)
 
 
 def finite(value: Column, label: str) -> Column:
@@ -89,7 +98,7 @@ def from_wire(df: DataFrame, fields: Sequence[WireField], line: str = "value") -
                 F.concat(F.lit("unknown fields "), F.array_join(extra, ", "), F.lit(" in: "), text)
             ),
         )
-        .otherwise(F.from_json(text, wire_schema(fields), {"mode": "FAILFAST"}))
+        .otherwise(F.from_json(text, wire_schema(fields), JSON_OPTIONS))
     )
     return df.select(parsed.alias("_record")).select(
         *[F.col(f"_record.`{field.id}`.value").alias(field.label) for field in fields]

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from datetime import date
 from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,7 +14,7 @@ from ..functions.labels import col, resolve
 from ..operators.query import TOP_K_LIMIT, Where, _count, select_where
 from ..operators.ordering import global_rank
 from ..session import publish, remove
-from .cells import finite
+from .cells import JSON_OPTIONS, finite
 
 
 def _in_key_order(df: DataFrame, key: str, record_limit: int | None) -> DataFrame:
@@ -72,7 +72,7 @@ def json_line(df: DataFrame, alias: str = "value"):
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             value = finite(value, field.name)
         columns.append(value.alias(field.name))
-    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias(alias)
+    return F.to_json(F.struct(*columns), JSON_OPTIONS).alias(alias)
 
 
 def write_json_lines(df: DataFrame, path: str, key: str) -> None:
@@ -81,6 +81,12 @@ def write_json_lines(df: DataFrame, path: str, key: str) -> None:
     ordered.select(json_line(df)).write.text(path)
 
 
+def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows written by ``write_json_lines``."""
+    parsed = F.from_json("value", schema, JSON_OPTIONS).alias("_row")
+    return spark.read.text(path).select(parsed).select("_row.*")
+
+
 def copy_tables(
     tables: Mapping[str, DataFrame], output_dir: str, with_rows: bool = True
 ) -> dict[str, DataFrame]:

@@ -130,6 +130,15 @@ def change_counts(
     )
 
 
+def _utc_instant(column):
+    """Zone-free wall-clock time as the instant it names in UTC."""
+    return F.from_utc_timestamp(column.cast("timestamp"), F.current_timezone())
+
+
+def _utc_wall_clock(column):
+    return F.to_utc_timestamp(column, F.current_timezone()).cast("timestamp_ntz")
+
+
 def stream_change_counts(
     stream: DataFrame,
     path: str,
@@ -141,11 +150,17 @@ def stream_change_counts(
 ) -> StreamingQuery:
     """Keep the counts of a stream in ``path``: updated windows, one folder per micro-batch.
 
-    The watermark bounds the state to open windows.
+    The watermark bounds the state to open windows. Watermarks need instants, so zone-free
+    times are taken as UTC.
     """
+    zone_free = isinstance(stream.schema[changed_at].dataType, T.TimestampNTZType)
+    if zone_free:
+        stream = stream.withColumn(changed_at, _utc_instant(col(changed_at)))
     counts = change_counts(stream.withWatermark(changed_at, delay), changed_at, change_type, window)
 
     def write(df: DataFrame, batch_id: int) -> None:
+        if zone_free:
+            df = df.withColumn("window_start", _utc_wall_clock(F.col("window_start")))
         df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return (
@@ -157,10 +172,12 @@ def stream_change_counts(
     )
 
 
-def read_change_counts(spark: SparkSession, path: str, change_type: str) -> DataFrame:
+def read_change_counts(
+    spark: SparkSession, path: str, change_type: str, time_type: str = "timestamp_ntz"
+) -> DataFrame:
     """The last value written for every window and type."""
     counts = spark.read.schema(
-        f"window_start timestamp, `{change_type}` string, changes bigint, batch_id bigint"
+        f"window_start {time_type}, `{change_type}` string, changes bigint, batch_id bigint"
     ).parquet(path)
     return counts.groupBy("window_start", col(change_type)).agg(
         F.max_by("changes", "batch_id").alias("changes")
