@@ -117,7 +117,6 @@ def _customer_summary(name, kind, field, sql, finish=None):
 
 
 _customer_summary("sum", "SUM", "o_totalprice", "round(sum(o_totalprice), 2)", lambda c: F.round(c, 2))
-_customer_summary("avg", "AVG", "o_totalprice", "round(avg(o_totalprice), 5)", lambda c: F.round(c, 5))
 _customer_summary("max", "MAX", "o_orderdate", "max(o_orderdate)")
 _customer_summary("min", "MIN", "o_orderdate", "min(o_orderdate)")
 _customer_summary(
@@ -138,6 +137,20 @@ _customer_summary(
 )
 
 
+@query(
+    "summary_avg",
+    """
+    SELECT p_partkey, avg(l_quantity) AS result
+    FROM part LEFT JOIN lineitem ON p_partkey = l_partkey GROUP BY p_partkey
+    """,
+)
+def summary_avg(spark, sf_dir):
+    parts = table(spark, sf_dir, "part").select("p_partkey")
+    lines = table(spark, sf_dir, "lineitem")
+    summary = Summary("AVG", "l_quantity", "result")
+    return add_summaries(parts, lines, "p_partkey", "l_partkey", [summary])
+
+
 @query(
     "summary_list_user",
     """

@@ -105,14 +105,22 @@ def from_wire(df: DataFrame, fields: Sequence[WireField], line: str = "value") -
     )
 
 
+def is_json(line: Column) -> Column:
+    """Whether the whole line is one JSON value.
+
+    Spark's parsers stop after the first value. The line is therefore parsed as the only
+    item of an array and as the only value of an object: text that closes one of them early
+    cannot fit the other.
+    """
+    options = {"allowSingleQuotes": "false"}
+    item = F.from_json(F.concat(F.lit("["), line, F.lit("]")), "array<string>", options)
+    value = F.from_json(F.concat(F.lit('{"v":'), line, F.lit("}")), "map<string,string>", options)
+    return F.coalesce((F.size(item) == 1) & (F.size(value) == 1), F.lit(False))
+
+
 def line_kinds(line: Column) -> Column:
     """What a JSON line holds: ``object``, ``other`` or ``invalid``."""
-    parsed = F.try_parse_json(line)
-    return (
-        F.when(parsed.isNull(), "invalid")
-        .when(F.schema_of_variant(parsed).startswith("OBJECT"), "object")
-        .otherwise("other")
-    )
+    return F.when(~is_json(line), "invalid").when(line.rlike(r"^\s*\{"), "object").otherwise("other")
 
 
 def check_json_lines(df: DataFrame, line: str, group: Sequence[str] = ()) -> DataFrame:
