@@ -18,7 +18,12 @@ from ..sources.files import _PIECE, _open, _three
 
 # Version modes, characters file names may not hold, longest stored name.
 VERSION_MODES = ("all", "latest", "none")
-ILLEGAL_CHARACTERS = r'[<>:"/\\|?*]'
+ILLEGAL_CHARACTERS = '<>:"/\\|?*'
+CONTROL_CHARACTERS = "".join(map(chr, [*range(32), 127]))
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 NAME_BYTES = 200
 
 _JOB_KEYS = ["record_id", "field_id", "version_number"]
@@ -114,12 +119,8 @@ def latest_rows(versions: DataFrame, group: Sequence[str], version: str) -> Data
 
 def clean_name(name: Column) -> Column:
     """Name of a downloaded file: illegal characters and outer blanks removed."""
-    clean = _strip(F.regexp_replace(name, ILLEGAL_CHARACTERS, ""))
-    return F.when(clean == "", "attachment.bin").otherwise(clean)
-
-
-def _strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    clean = F.btrim(F.translate(name, ILLEGAL_CHARACTERS, ""), F.lit(BLANKS))
+    return F.coalesce(F.nullif(clean, F.lit("")), F.lit("attachment.bin"))
 
 
 def _once(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -129,19 +130,21 @@ def _once(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def _within_bytes(name: Column) -> Column:
     """The longest prefix of whole characters that fits into NAME_BYTES."""
-    # A character is at least one byte, so longer prefixes than these cannot fit.
-    lengths = F.sequence(F.lit(1), F.least(F.length(name), F.lit(NAME_BYTES)))
-    fits = F.filter(lengths, lambda n: F.octet_length(F.substring(name, F.lit(1), n)) <= NAME_BYTES)
-    return F.when(F.octet_length(name) <= NAME_BYTES, name).otherwise(
-        F.substring(name, F.lit(1), F.array_max(fits))
+    cut = F.substring(name.cast("binary"), 1, NAME_BYTES).cast("string")
+    # Cutting bytes can only break the last character, which then has to go.
+    whole = F.substring(name, F.lit(1), F.length(cut) - 1)
+    return (
+        F.when(F.octet_length(name) <= NAME_BYTES, name)
+        .when(F.is_valid_utf8(cut), cut)
+        .otherwise(whole)
     )
 
 
 def archive_name(name: Column, field_id: Column, version: Column) -> Column:
     """Name of an archived file: also without control characters, outer dots or excess bytes."""
-    clean = F.regexp_replace(name, ILLEGAL_CHARACTERS, "")
-    clean = _strip(F.regexp_replace(clean, r"[\x00-\x1f\x7f]", ""))
-    clean = F.nullif(F.regexp_replace(clean, r"^\.+|\.+$", ""), F.lit(""))
+    clean = F.translate(name, ILLEGAL_CHARACTERS + CONTROL_CHARACTERS, "")
+    clean = F.btrim(F.btrim(clean, F.lit(BLANKS)), F.lit("."))
+    clean = F.nullif(clean, F.lit(""))
     made = F.concat(
         F.lit("fid"), field_id.cast("string"), F.lit("_v"), version.cast("string"), F.lit(".bin")
     )

@@ -41,8 +41,19 @@ def blank(column: Column, dtype: T.DataType) -> Column:
     return column.isNull() | (column == "") if is_text(dtype) else column.isNull()
 
 
-def cast_fails(column: Column, type_name: str) -> Column:
-    return column.isNotNull() & column.try_cast(type_name).isNull()
+def safe_cast(column: Column, given: T.DataType, wanted: str) -> Column:
+    """``try_cast`` that does not raise inside for text that is plainly no whole number.
+
+    A failing cast costs far more than the pattern, and a wrong column fails on every row.
+    """
+    cast = column.try_cast(wanted)
+    if is_text(given) and wanted in ("tinyint", "smallint", "int", "bigint"):
+        return F.when(column.rlike(r"^[\s\p{Cntrl}]*[+-]?[0-9]+[\s\p{Cntrl}]*$"), cast)
+    return cast
+
+
+def cast_fails(column: Column, given: T.DataType, wanted: str) -> Column:
+    return column.isNotNull() & safe_cast(column, given, wanted).isNull()
 
 
 def not_a_choice(column: Column, choices: Sequence[str]) -> Column:
@@ -60,7 +71,7 @@ def row_checks(df: DataFrame, rules: Sequence[FieldRule]) -> list[tuple[str, str
         if rule.choices is not None:
             checks.append((name, "choice", not_a_choice(col(name), rule.choices)))
         if rule.type and types[name].simpleString() != rule.type:
-            checks.append((name, "type", cast_fails(col(name), rule.type)))
+            checks.append((name, "type", cast_fails(col(name), types[name], rule.type)))
     return checks
 
 

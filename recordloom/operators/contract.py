@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.labels import LabelError, col
 from ..session import publish, scratch_path
-from .constraints import FieldRule, blank, cast_fails, counted, not_a_choice, repeats
+from .constraints import FieldRule, blank, cast_fails, counted, not_a_choice, repeats, safe_cast
 from .formulas import Formula
 
 REPORT = (
@@ -106,7 +106,7 @@ def _data_checks(rule: FieldRule, field: T.StructField):
     """Row-level predicates behind a rule, each true on a row that breaks it."""
     column = col(field.name)
     if rule.type and rule.type != field.dataType.simpleString():
-        yield "values do not cast", cast_fails(column, rule.type)
+        yield "values do not cast", cast_fails(column, field.dataType, rule.type)
     if rule.required:
         yield "values are missing", blank(column, field.dataType)
     if rule.choices is not None:
@@ -240,7 +240,7 @@ def conform(
             continue
         value = col(field.name)
         if rule.type and rule.type != field.dataType.simpleString():
-            value = value.try_cast(rule.type)
+            value = safe_cast(value, field.dataType, rule.type)
         columns.append(value.alias(rule.label, metadata=_metadata(rule, field.metadata)))
     result = df.select(*columns)
     created = {d["rule"].label: d["rule"] for d in decisions if d["action"] == "create"}

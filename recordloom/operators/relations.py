@@ -103,10 +103,12 @@ def _finish(summary: Summary, found: Column) -> Column:
 
 
 def summarize(child: DataFrame, fk: str, summaries: Sequence[Summary]) -> DataFrame:
-    """One row per foreign key with every summary, from one aggregation of the children.
+    """One row per foreign key with every summary.
 
-    Rows are combined before they are shuffled, so a parent owning most children costs no
-    more than another. List-user fields are flattened in a second, equally combined pass.
+    Plain, distinct-count and list-user summaries are aggregated apart, as mixing them makes
+    Spark copy every child row once per kind. All results are partitioned by the key, so
+    putting them together shuffles nothing. Rows are combined before each shuffle: a parent
+    owning most children costs no more than another.
     """
     fk = resolve(child.columns, fk)
     types = {field.name: field.dataType for field in child.schema.fields}
@@ -114,7 +116,7 @@ def summarize(child: DataFrame, fk: str, summaries: Sequence[Summary]) -> DataFr
     rows = child.where(col(fk).isNotNull())
     if all(condition is not None for condition in conditions):
         rows = rows.where(reduce(or_, conditions))
-    flat, nested = [], []
+    plain, distinct, nested = [], [], []
     for i, (summary, condition) in enumerate(zip(summaries, conditions)):
         keep = F.lit(True) if condition is None else condition
         field = resolve(child.columns, summary.field) if summary.field else None
@@ -122,13 +124,14 @@ def summarize(child: DataFrame, fk: str, summaries: Sequence[Summary]) -> DataFr
             nested.append((f"_v{i}", field, keep))
         else:
             value = col(field) if field else F.lit(1)
-            flat.append(_aggregate(summary, value, keep).alias(f"_v{i}"))
-    result = rows.groupBy(col(fk).alias("_fk")).agg(*(flat or [F.count(F.lit(1)).alias("_n")]))
+            group = distinct if summary.kind == "DISTINCT-COUNT" else plain
+            group.append(_aggregate(summary, value, keep).alias(f"_v{i}"))
+    key = col(fk).alias("_fk")
+    parts = [rows.groupBy(key).agg(*group) for group in (plain, distinct) if group]
     for alias, field, keep in nested:
-        users = rows.where(keep).select(col(fk).alias("_fk"), F.explode(col(field)).alias(alias))
-        found = users.groupBy("_fk").agg(F.collect_set(alias).alias(alias))
-        result = result.join(found, "_fk", "left")
-    return result
+        users = rows.where(keep).select(key, F.explode(col(field)).alias(alias))
+        parts.append(users.groupBy("_fk").agg(F.collect_set(alias).alias(alias)))
+    return reduce(lambda left, right: left.join(right, "_fk", "full"), parts)
 
 
 def add_summaries(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.labels import col, resolve, resolve_all
 from ..functions.predicates import truth
 from ..session import stage
-from .constraints import FieldRule, blank, cast_fails, not_a_choice
+from .constraints import FieldRule, blank, cast_fails, not_a_choice, safe_cast
 from .ordering import global_rank
 
 LINE, PRESENT = "_line", "_present"
@@ -51,7 +51,7 @@ def _row_errors(source: DataFrame, target: DataFrame, rules, names) -> list[Colu
         given, wanted = source.schema[name].dataType, target.schema[name].dataType
         rule = by_label.get(name)
         if given != wanted:
-            failed = cast_fails(col(name), wanted.simpleString())
+            failed = cast_fails(col(name), given, wanted.simpleString())
             message = F.lit(f"{name}: not a valid {wanted.simpleString()}")
             errors.append(F.when(failed, message))
         if rule and rule.choices is not None:
@@ -69,7 +69,12 @@ def _check_lines(source: DataFrame, target: DataFrame, merge_on: str | None, rul
     errors = _row_errors(source, target, rules, names)
     if merge_on:
         errors.append(F.when(col(merge_on).isNull(), F.lit(f"{merge_on}: the merge key is missing")))
-    typed = [col(name).try_cast(target.schema[name].dataType).alias(name) for name in names]
+    typed = [
+        safe_cast(
+            col(name), source.schema[name].dataType, target.schema[name].dataType.simpleString()
+        ).alias(name)
+        for name in names
+    ]
     listed = F.array_compact(F.array(*errors)) if errors else F.array().cast("array<string>")
     lines = source.select(LINE, PRESENT, *typed, listed.alias("_errors"))
     if not merge_on:

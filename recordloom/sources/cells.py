@@ -115,7 +115,9 @@ def is_json(line: Column) -> Column:
     options = {"allowSingleQuotes": "false"}
     item = F.from_json(F.concat(F.lit("["), line, F.lit("]")), "array<string>", options)
     value = F.from_json(F.concat(F.lit('{"v":'), line, F.lit("}")), "map<string,string>", options)
-    return F.coalesce((F.size(item) == 1) & (F.size(value) == 1), F.lit(False))
+    begins = line.rlike(r"^\s*[\[{\"\-0-9tfnNI]")
+    whole = F.when(begins & (F.size(item) == 1), F.size(value) == 1)
+    return F.coalesce(whole, F.lit(False))
 
 
 def line_kinds(line: Column) -> Column:
