@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import col, resolve, resolve_all
 from ..session import stage
-from ..sources.files import _PIECE, _open, _three
+from ..sources.files import _PIECE, _file_system, _open
 
 # Version modes, characters file names may not hold, longest stored name.
 VERSION_MODES = ("all", "latest", "none")
@@ -214,9 +214,7 @@ def _writer(root: str, has_uri: bool, keep_going: bool):
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import uuid
 
-        from pyarrow import fs
-
-        system, base = fs.FileSystem.from_uri(_three(root) if ":" in root else f"file://{root}")
+        system, base = _file_system(root)
         for batch in batches:
             out = []
             for row in batch.itertuples(index=False):

@@ -22,24 +22,31 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     return files.select(relative_path("uri", root).alias("path"), "uri", "bytes")
 
 
-def relative_path(column: str, root: str):
-    """The part of a file URI below ``root``."""
+def relative_path(column: str, root: str, encoded: bool = False):
+    """The part of a file path below ``root``; metadata columns hold it URL-encoded."""
     plain = root.rstrip("/").split(":", 1)[-1].lstrip("/")
-    decoded = F.url_decode(F.replace(F.col(column), F.lit("+"), F.lit("%2B")))
-    return F.substring_index(decoded, f"{plain}/", -1)
+    path = F.col(column)
+    if encoded:
+        path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.substring_index(path, f"{plain}/", -1)
 
 
-def _open(uri: str):
-    from urllib.parse import unquote
+def _file_system(location: str):
+    """The file system of a path or URI as Spark writes them, and the path on it."""
+    from urllib.parse import quote
 
     from pyarrow import fs
 
-    system, path = fs.FileSystem.from_uri(uri if uri.startswith("file:///") else _three(uri))
-    return system.open_input_stream(unquote(path))
+    if location.startswith("/"):
+        return fs.LocalFileSystem(), location
+    if location.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + location.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(quote(location, safe="/:@"))
 
 
-def _three(uri: str) -> str:
-    return uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") else uri
+def _open(uri: str):
+    system, path = _file_system(uri)
+    return system.open_input_stream(path)
 
 
 def _hash_pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
