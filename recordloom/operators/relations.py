@@ -102,12 +102,11 @@ def _finish(summary: Summary, found: Column) -> Column:
     return found
 
 
-def summarize(child: DataFrame, fk: str, summaries: Sequence[Summary]) -> DataFrame:
-    """One row per foreign key with every summary.
+def summarize(child: DataFrame, fk: str, summaries: Sequence[Summary]) -> list[DataFrame]:
+    """Summaries per foreign key, as one to three aggregations of the children.
 
     Plain, distinct-count and list-user summaries are aggregated apart, as mixing them makes
-    Spark copy every child row once per kind. All results are partitioned by the key, so
-    putting them together shuffles nothing. Rows are combined before each shuffle: a parent
+    Spark copy every child row once per kind. Rows are combined before each shuffle: a parent
     owning most children costs no more than another.
     """
     fk = resolve(child.columns, fk)
@@ -131,20 +130,23 @@ def summarize(child: DataFrame, fk: str, summaries: Sequence[Summary]) -> DataFr
     for alias, field, keep in nested:
         users = rows.where(keep).select(key, F.explode(col(field)).alias(alias))
         parts.append(users.groupBy("_fk").agg(F.collect_set(alias).alias(alias)))
-    return reduce(lambda left, right: left.join(right, "_fk", "full"), parts)
+    return parts
 
 
 def add_summaries(
     parent: DataFrame, child: DataFrame, key: str, fk: str, summaries: Sequence[Summary]
 ) -> DataFrame:
-    """Add summary fields to the parent."""
+    """Add summary fields to the parent.
+
+    The parent is shuffled once: every aggregation arrives partitioned by the key already.
+    """
     key = resolve(parent.columns, key)
     unique_labels([*parent.columns, *[summary.name for summary in summaries]])
-    found = summarize(child, fk, summaries)
+    result = parent
+    for part in summarize(child, fk, summaries):
+        result = result.join(part, col(key) == F.col("_fk"), "left").drop("_fk")
     outputs = [_finish(s, F.col(f"_v{i}")).alias(s.name) for i, s in enumerate(summaries)]
-    return parent.join(found, col(key) == F.col("_fk"), "left").select(
-        *[col(name) for name in parent.columns], *outputs
-    )
+    return result.select(*[col(name) for name in parent.columns], *outputs)
 
 
 def check_relationship(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -119,11 +120,11 @@ def _match(lines, target, key, merge_on, names) -> DataFrame:
     )
 
 
-def _unique_errors(lines, target, key, rules, names) -> DataFrame | None:
-    """Lines whose unique fields clash with an earlier line or with another record."""
-    found = None
+def _add_unique_errors(lines, target, key, unique, names) -> DataFrame:
+    """Mark lines whose unique fields clash with an earlier line or with another record."""
     valid = lines.where(F.size("_errors") == 0)
-    for name in [n for n in names if n in rules]:
+    parts = []
+    for name in [n for n in names if n in unique]:
         values = valid.where(col(name).isNotNull()).select(
             LINE, "record_id", col(name).alias("_value")
         )
@@ -134,9 +135,15 @@ def _unique_errors(lines, target, key, rules, names) -> DataFrame | None:
             ~F.col("_holder").eqNullSafe(F.col("record_id"))
         )
         message = F.lit(f"{name}: the value is already in use").alias("message")
-        clashes = in_source.select(LINE, message).union(in_target.select(LINE, message)).distinct()
-        found = clashes if found is None else found.union(clashes)
-    return found
+        parts += [in_source.select(LINE, message), in_target.select(LINE, message)]
+    messages = (
+        reduce(DataFrame.union, parts)
+        .groupBy(LINE)
+        .agg(F.sort_array(F.collect_set("message")).alias("_more"))
+    )
+    return lines.join(messages, LINE, "left").withColumn(
+        "_errors", F.coalesce("_more", "_errors")
+    )
 
 
 def upsert(
@@ -171,30 +178,27 @@ def upsert(
     )
     names = list(renamed.values())
     lines = stage(_check_lines(source, target, merge_on, rules), "upsert-lines")
-    unmatched_type = target.schema[key].dataType.simpleString()
     if merge_on:
         matches = _match(lines, target, key, merge_on, names)
         lines = lines.join(matches, LINE, "left")
     else:
-        lines = lines.withColumn("record_id", F.lit(None).cast(unmatched_type)).withColumn(
+        lines = lines.withColumn("record_id", F.lit(None).cast(target.schema[key].dataType)).withColumn(
             "action", F.lit(None).cast("string")
         )
     lines = _creation_errors(lines, target, names, rules, key)
-    lines = stage(lines, "upsert-matched")
     unique = {resolve(target.columns, r.label) for r in rules if r.unique} - {merge_on, key}
-    clashes = _unique_errors(lines, target, key, unique, names)
-    if clashes is not None:
-        grouped = clashes.groupBy(LINE).agg(F.sort_array(F.collect_set("message")).alias("_more"))
-        lines = lines.join(grouped, LINE, "left").withColumn(
-            "_errors", F.when(F.col("_more").isNull(), F.col("_errors")).otherwise(F.col("_more"))
-        )
-        lines = lines.drop("_more")
+    if unique & set(names):
+        lines = _add_unique_errors(stage(lines, "upsert-matched"), target, key, unique, names)
     failed = F.size("_errors") > 0
+    created = col(key) if merge_on == key else F.lit(None).cast(target.schema[key].dataType)
     lines = lines.withColumn(
         "action",
         F.when(failed, F.lit("error")).otherwise(F.coalesce(F.col("action"), F.lit("created"))),
-    ).withColumn("record_id", F.when(~failed, F.col("record_id")))
-    lines = _assign_ids(lines, target, key, merge_on)
+    ).withColumn("record_id", F.when(~failed, F.coalesce(F.col("record_id"), created)))
+    # Written once: the size of the files decides how the target is joined with its updates.
+    lines = stage(lines, "upsert-actions")
+    if merge_on != key:
+        lines = _assign_ids(lines, target, key)
     return UpsertResult(
         lines.select(
             F.col(LINE).alias("line"), "record_id", "action", F.col("_errors").alias("errors")
@@ -221,17 +225,12 @@ def _creation_errors(lines, target, names, rules, key) -> DataFrame:
     )
 
 
-def _assign_ids(lines, target, key, merge_on) -> DataFrame:
-    if merge_on == key:
-        created = F.when(F.col("action") == "created", col(key))
-        return lines.withColumn("record_id", F.coalesce(F.col("record_id"), created))
+def _assign_ids(lines: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """Number the created records after the highest id, in line order."""
     highest = target.agg(F.max(col(key))).first()[0] or 0
-    lines = stage(lines, "upsert-actions")
-    created = lines.where(F.col("action") == "created")
-    numbered = global_rank(created, [LINE], "_rank")
-    numbered = numbered.withColumn("record_id", F.col("_rank") + F.lit(highest)).drop("_rank")
-    others = lines.where(F.col("action") != "created")
-    return others.unionByName(numbered)
+    created = global_rank(lines.where(F.col("action") == "created"), [LINE], "_rank")
+    created = created.withColumn("record_id", F.col("_rank") + F.lit(highest)).drop("_rank")
+    return lines.where(F.col("action") != "created").unionByName(created)
 
 
 def _merged(target: DataFrame, lines: DataFrame, key: str, names: list[str]) -> DataFrame:
