@@ -88,10 +88,12 @@ _ARCHIVE = f"""
     , c AS (SELECT *, regexp_replace({_STRIPPED.format(_CLEAN.format('file_name'))}, '^\\.+|\\.+$', '', 'g') AS clean
             FROM f),
     m AS (SELECT *, CASE WHEN clean = '' THEN 'fid8_v' || version || '.bin' ELSE clean END AS made FROM c),
-    named AS (SELECT *, CASE WHEN strlen(made) <= 200 THEN made ELSE
-                substring(made, 1, list_max(list_filter(range(1, 201),
-                    lambda i: strlen(substring(made, 1, i)) <= 200))) END AS stored
-              FROM m)
+    cut AS (SELECT *, CASE WHEN strlen(made) <= 200 THEN made ELSE
+              substring(made, 1, list_max(list_filter(range(1, 201),
+                  lambda i: strlen(substring(made, 1, i)) <= 200))) END AS short
+            FROM m),
+    named AS (SELECT *, CASE WHEN starts_with(short, '_') THEN 'file' || short ELSE short END AS stored
+              FROM cut)
 """
 
 

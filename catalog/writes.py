@@ -210,9 +210,11 @@ def upsert_twice(spark, sf_dir):
 
 @query(
     "upsert_check",
-    """
+    _LINES
+    + """
     SELECT 'position out of range' AS rule
     UNION ALL SELECT 'processed differs from submitted'
+    UNION ALL SELECT DISTINCT 'record id not positive' FROM lines WHERE errors = '' AND k < 1
     """,
 )
 def upsert_check(spark, sf_dir):

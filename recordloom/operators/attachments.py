@@ -151,6 +151,11 @@ def archive_name(name: Column, field_id: Column, version: Column) -> Column:
     return _once(F.coalesce(clean, made), _within_bytes)
 
 
+def _visible(name: Column) -> Column:
+    """Spark does not list files starting with an underscore, so none is stored like that."""
+    return F.when(name.startswith("_"), F.concat(F.lit("file"), name)).otherwise(name)
+
+
 def attachment_jobs(
     df: DataFrame, key: str, fields: Mapping[str, int], table: str, mode: str = "all"
 ) -> DataFrame:
@@ -166,7 +171,9 @@ def attachment_jobs(
         file_name(F.col("cell"), F.col("version"), F.col("field_id")).alias("file_name"),
         F.col("version.size").alias("size"),
     )
-    stored = archive_name(F.col("file_name"), F.col("field_id"), F.col("version_number"))
+    stored = _once(
+        archive_name(F.col("file_name"), F.col("field_id"), F.col("version_number")), _visible
+    )
     parts = ["record_id", "field_id", "version_number"]
     path = F.concat_ws(
         "/",

@@ -297,8 +297,8 @@ def check_result(lines: DataFrame, submitted: int) -> DataFrame:
     facts = lines.agg(
         (F.count(F.lit(1)) != submitted).alias("processed differs from submitted"),
         (F.count_if(~F.col("line").between(1, submitted)) > 0).alias("position out of range"),
-        (F.count_if((F.col("action") != "error") & truth(F.col("record_id") < 0)) > 0).alias(
-            "negative record id"
+        (F.count_if((F.col("action") != "error") & truth(F.col("record_id") < 1)) > 0).alias(
+            "record id not positive"
         ),
         (F.count_if((F.col("action") != "error") & F.col("record_id").isNull()) > 0).alias(
             "record id missing"

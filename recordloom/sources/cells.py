@@ -17,6 +17,7 @@ JSON_OPTIONS = {
     "ignoreNullFields": "false",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "allowSingleQuotes": "false",
     "mode": "FAILFAST",
 }
 
@@ -89,7 +90,7 @@ def from_wire(df: DataFrame, fields: Sequence[WireField], line: str = "value") -
     extra = unknown_ids(text, fields)
     parsed = (
         F.when(
-            F.json_object_keys(text).isNull(),
+            F.json_object_keys(text).isNull() | ~_one_value(text),
             F.raise_error(F.concat(F.lit("not a record object: "), text)),
         )
         .when(
@@ -105,19 +106,24 @@ def from_wire(df: DataFrame, fields: Sequence[WireField], line: str = "value") -
     )
 
 
-def is_json(line: Column) -> Column:
-    """Whether the whole line is one JSON value.
+def _one_value(line: Column) -> Column:
+    """Whether nothing follows the first value of a line.
 
-    Spark's parsers stop after the first value. The line is therefore parsed as the only
-    item of an array and as the only value of an object: text that closes one of them early
-    cannot fit the other.
+    Spark's parsers stop there. The line is therefore looked at as the only item of an array
+    and as the only value of an object: text that closes one of them early cannot fit the
+    other.
     """
-    options = {"allowSingleQuotes": "false"}
-    item = F.from_json(F.concat(F.lit("["), line, F.lit("]")), "array<string>", options)
-    value = F.from_json(F.concat(F.lit('{"v":'), line, F.lit("}")), "map<string,string>", options)
+    items = F.json_array_length(F.concat(F.lit("["), line, F.lit("]")))
+    keys = F.json_object_keys(F.concat(F.lit('{"v":'), line, F.lit("}")))
+    return F.coalesce((items == 1) & (F.size(keys) == 1), F.lit(False))
+
+
+def is_json(line: Column) -> Column:
+    """Whether the whole line is one JSON value."""
+    item = F.concat(F.lit("["), line, F.lit("]"))
+    parsed = F.from_json(item, "array<string>", {"allowSingleQuotes": "false"})
     begins = line.rlike(r"^\s*[\[{\"\-0-9tfnNI]")
-    whole = F.when(begins & (F.size(item) == 1), F.size(value) == 1)
-    return F.coalesce(whole, F.lit(False))
+    return F.coalesce(F.when(begins & _one_value(line), F.size(parsed) == 1), F.lit(False))
 
 
 def line_kinds(line: Column) -> Column:

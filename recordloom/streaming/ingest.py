@@ -55,6 +55,7 @@ def _write_batch(changes: DataFrame, batch_id: int, log: str, feed: ChangeFeed)
     mark = _watermark(spark, log, batch_id, feed)
     time = col(feed.changed_at).cast("timestamp_ntz")
     late = F.lit(False) if mark is None else time < F.lit(str(mark)).cast("timestamp_ntz")
+    changes.persist()
     on_time = newest_per_key(changes.where(~late), feed)
 
     def write(df: DataFrame, part: str) -> None:
@@ -68,6 +69,7 @@ def _write_batch(changes: DataFrame, batch_id: int, log: str, feed: ChangeFeed)
         F.count_if(late).alias("late_lines"),
     )
     write(facts.select("seen", "lines", "late_lines"), "seen")
+    changes.unpersist()
 
 
 def ingest(stream: DataFrame, log: str, checkpoint: str, feed: ChangeFeed) -> StreamingQuery:

@@ -68,7 +68,7 @@ def test_wire_records(spark, rows):
         "value string",
     )
     assert rows(from_wire(lines, fields)) == [(1, "Alpha"), (2, None), (3, None)]
-    for bad in ('{"3":{"value":1},"9":{"value":1}}', "[1]", "oops"):
+    for bad in ('{"3":{"value":1},"9":{"value":1}}', "[1]", "oops", '{"3":{"value":1}} x', '{"3":{"value":1}}}'):
         with pytest.raises(PySparkException):
             from_wire(spark.createDataFrame([(bad,)], "value string"), fields).collect()
     for wrong in ([WireField(3, "A"), WireField(6, "A")], [WireField(3, "A"), WireField(3, "B")]):
@@ -137,6 +137,16 @@ def test_archive_and_index(spark, projects, contents, tmp_path):
         archive(jobs, contents.limit(0), str(tmp_path / "other"))
 
 
+def test_stored_names_stay_visible(spark, tmp_path):
+    df = spark.createDataFrame([(1, ("_x.txt", [(1, None, 1)]))], f"id bigint, f {CELL}")
+    contents = spark.createDataFrame(
+        [(1, 8, 1, bytearray(b"x"))], "record_id bigint, field_id int, version_number int, content binary"
+    )
+    index = archive(attachment_jobs(df, "id", {"f": 8}, "t"), contents, str(tmp_path))
+    assert {r.path for r in list_files(spark, str(tmp_path)).collect()} == {index.first().path}
+    assert index.first().file_name == "_x.txt"
+
+
 def test_statuses(spark, projects, contents, tmp_path):
     jobs = download_jobs(projects, "Record ID#", {"File": 8})
     assert {r.path for r in jobs.collect()} == {"10_..current.txt", "11_fid8_v1.bin"}
@@ -248,6 +258,8 @@ def test_snapshot_round_trip(spark, snapshot, projects, tmp_path):
     assert counts == {"p": (5, 3), "e": (0, 0)}
     with pytest.raises(SnapshotError):
         opened.table("missing")
+    with pytest.raises(FileExistsError):
+        take_snapshot({"p": Capture(projects, "Record ID#")}, snapshot.root, {"a": "b"})
     assert os.listdir(tmp_path) == ["snap"]
 
 
