@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import UTC, date, datetime
+from decimal import Decimal
 from typing import Any
 from zoneinfo import ZoneInfo
 
@@ -46,6 +47,21 @@ def to_minute(value: datetime) -> datetime:
     return value.replace(second=0, microsecond=0)
 
 
+_WHOLE_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+
+
+def _number(value: Any, dtype: T.DataType) -> Column:
+    """A numeric literal, of the column's type only where that does not change its value."""
+    number = Decimal(str(int(value) if isinstance(value, bool) else value).strip())
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return F.lit(float(number)).cast(dtype)
+    bits = _WHOLE_BITS.get(type(dtype))
+    whole = number.is_finite() and number == number.to_integral_value()
+    if bits and whole and -(2 ** (bits - 1)) <= number < 2 ** (bits - 1):
+        return F.lit(int(number)).cast(dtype)
+    return F.lit(float(number)) if bits else F.lit(number)
+
+
 def typed(value: Any, dtype: T.DataType) -> Column:
     """A literal of the column's own type, so that comparisons reach the scan."""
     if isinstance(dtype, T.ArrayType):
@@ -64,6 +80,8 @@ def typed(value: Any, dtype: T.DataType) -> Column:
         return F.lit(value if isinstance(value, str) else as_text(value))
     if isinstance(value, (list, tuple)):
         raise ValueError(f"a list cannot be compared with {dtype.simpleString()}")
+    if isinstance(dtype, T.NumericType):
+        return _number(value, dtype)
     return F.lit(value).cast(dtype)
 
 

@@ -63,6 +63,10 @@ class RecordFilter:
 
     def _positive(self, name: str, code: str, value: Any) -> Column:
         column, dtype = col(name), self._types[name]
+        bounds = value if isinstance(value, (list, tuple)) else [value]
+        if isinstance(dtype, T.DateType) and any(isinstance(b, datetime) for b in bounds):
+            # A time of day matters: compare as times, not as days.
+            column, dtype = column.cast("timestamp_ntz"), T.TimestampNTZType()
         if code == "EX":
             return self._equals(column, dtype, value)
         if code == "TV":

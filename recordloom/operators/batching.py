@@ -26,7 +26,7 @@ from .ordering import running_sum, sorted_slices
 MAX_BATCH_BYTES = 40_000_000
 SEPARATOR_BYTES = 2
 
-_BLOCK_BYTES = 1 << 30
+_BLOCK_BYTES = 256 << 20
 
 
 class BatchSizeError(ValueError):

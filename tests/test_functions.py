@@ -119,6 +119,29 @@ def test_predicates(edge, code, label, value, ids):
     assert {row.id for row in edge.where(RecordFilter(edge).expr(label, code, value)).collect()} == ids
 
 
+@pytest.mark.parametrize(
+    "code, label, value, ids",
+    [
+        ("GT", "n", 1.5, {2, 3}),
+        ("LT", "n", 2.5, {1, 2}),
+        ("LT", "n", 3_000_000_000, {1, 2, 3}),
+        ("EX", "n", "2", {2}),
+        ("EX", "n", 2.5, set()),
+        ("GTE", "price", 1.1, {2, 3}),
+        ("EX", "ratio", 0.1, {1}),
+        ("BF", "day", datetime(2024, 1, 2, 12), {1, 2}),
+        ("OAF", "day", datetime(2024, 1, 2, 12), {3}),
+        ("OAF", "day", date(2024, 1, 2), {2, 3}),
+    ],
+)
+def test_literals_keep_their_value(spark, code, label, value, ids):
+    df = spark.sql(
+        "SELECT n, CAST(n * 0.55 AS DECIMAL(10,2)) AS price, CAST(n * 0.1 AS FLOAT) AS ratio, "
+        "date_add(DATE'2024-01-01', n - 1) AS day FROM VALUES (1), (2), (3) AS t(n)"
+    )
+    assert {r.n for r in df.where(RecordFilter(df).expr(label, code, value)).collect()} == ids
+
+
 def test_all_codes_build(edge):
     where = RecordFilter(edge, as_of=date(2024, 1, 2))
     for code in OPERATOR_CODES:

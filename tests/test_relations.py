@@ -157,3 +157,31 @@ def test_cycle(spark):
     assert set(found.cycle) == {"t.a", "t.b"} and found.cycle[0] == found.cycle[-1]
     with pytest.raises(ValueError, match="unknown dependencies"):
         order(tables, Derivation({"t.a": Formula("x", None, ("t.x",))}))
+
+
+def test_hot_foreign_key_is_split(spark):
+    """A key owning a third of the children is spread over several tasks when joined."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "12",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        fk = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500)
+        child = spark.range(0, 60_000, 1, 8).select("id", fk.alias("parent"))
+        parent = spark.range(500).select(F.col("id").alias("key"), (F.col("id") * 2).alias("twice"))
+        found = add_lookups(child, parent, "parent", "key", ["twice"])
+        total = found.agg(F.sum("`parent - twice`"), F.count("*"))
+        assert tuple(total.first())[1] == 60_000
+        found.write.format("noop").mode("overwrite").save()
+        found.collect()
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
