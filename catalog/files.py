@@ -122,13 +122,19 @@ def jsonl_export(spark, sf_dir):
     return read_json_lines(spark, path, events.schema)
 
 
-@query("copy_tables", "SELECT 'nation' AS name, n_name AS value FROM nation UNION ALL SELECT 'region', r_name FROM region")
+@query(
+    "copy_tables",
+    """
+    SELECT 'customer' AS name, c_name AS value FROM customer
+    UNION ALL SELECT 'orders', o_orderpriority FROM orders
+    """,
+)
 def copied(spark, sf_dir):
-    tables = {name: table(spark, sf_dir, name) for name in ("nation", "region")}
+    tables = {name: table(spark, sf_dir, name) for name in ("customer", "orders")}
     copies = copy_tables(tables, scratch_path(spark, "copy"))
-    nation = copies["nation"].select(F.lit("nation").alias("name"), F.col("n_name").alias("value"))
-    return nation.unionByName(
-        copies["region"].select(F.lit("region").alias("name"), F.col("r_name").alias("value"))
+    customers = copies["customer"].select(F.lit("customer").alias("name"), F.col("c_name").alias("value"))
+    return customers.unionByName(
+        copies["orders"].select(F.lit("orders").alias("name"), F.col("o_orderpriority").alias("value"))
     )
 
 

@@ -51,33 +51,42 @@ def _open(uri: str):
 
 def _hash_pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        digests = []
+        digests, lines = [], []
         for uri in batch["uri"]:
-            digest = hashlib.sha256()
+            digest, ends = hashlib.sha256(), 0
             with _open(uri) as stream:
                 while piece := stream.read(_PIECE):
                     digest.update(piece)
+                    ends += piece.count(b"\n")
             digests.append(digest.hexdigest())
-        yield batch.assign(sha256=digests)[["path", "uri", "sha256", "bytes"]]
+            lines.append(ends)
+        found = batch.assign(sha256=digests, lines=lines)
+        yield found[["path", "uri", "sha256", "bytes", "lines"]]
 
 
 def hash_files(spark: SparkSession, root: str, whole: int = WHOLE_FILE_BYTES) -> DataFrame:
-    """``path, uri, sha256, bytes`` of every file below ``root``.
+    """``path, uri, sha256, bytes, lines`` of every file below ``root``; lines are line ends.
 
     Ordinary files are digested inside the scan. The scan cannot hold files beyond 2 GB, so
     large ones are listed without content and read piece by piece in the tasks.
     """
     scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    # Latin-1 has a character for every byte, so line ends can be counted in any file.
+    text = F.decode("content", "ISO-8859-1")
+    ends = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
     small = scan.where(F.col("length") <= whole).select(
         relative_path("path", root).alias("path"),
         F.col("path").alias("uri"),
         F.sha2("content", 256).alias("sha256"),
         F.col("length").alias("bytes"),
+        ends.cast("bigint").alias("lines"),
     )
     large = (
         list_files(spark, root)
         .where(F.col("bytes") > whole)
-        .mapInPandas(_hash_pieces, "path string, uri string, sha256 string, bytes bigint")
+        .mapInPandas(
+            _hash_pieces, "path string, uri string, sha256 string, bytes bigint, lines bigint"
+        )
     )
     return small.unionByName(large)
 

@@ -188,10 +188,11 @@ def test_bodies_and_digests(spark, tmp_path):
     assert [bytes(r[0]) for r in df.select(decode_body(F.col("b"))).collect()] == [b"hi", b"not base64", b"", b"abc"]
     for name, size in (("small", 10), ("big", 3_000_000)):
         (tmp_path / name).write_bytes(os.urandom(size))
-    found = {r.path: (r.sha256, r.bytes) for r in hash_files(spark, str(tmp_path), whole=1000).collect()}
+    files = hash_files(spark, str(tmp_path), whole=1000).collect()
+    found = {r.path: (r.sha256, r.bytes, r.lines) for r in files}
     for name in ("small", "big"):
         body = (tmp_path / name).read_bytes()
-        assert found[name] == (hashlib.sha256(body).hexdigest(), len(body))
+        assert found[name] == (hashlib.sha256(body).hexdigest(), len(body), body.count(b"\n"))
     assert total_bytes(list_files(spark, str(tmp_path))).first().total_bytes == 3_000_010
 
 
