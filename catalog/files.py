@@ -12,6 +12,7 @@ from recordloom.sources.snapshot import (
     compare_index,
     compare_items,
     compare_tables,
+    inventory_problems,
     inventory_summary,
     line_issues,
     open_snapshot,
@@ -349,6 +350,37 @@ def verify_summary(spark, sf_dir):
     return inventory_summary(_files(spark, sf_dir)[0])
 
 
+@query(
+    "verify_inventory",
+    """
+    WITH i AS (
+        SELECT CASE WHEN toxic = 1 THEN '../' || source ELSE 'docs/' || doc_id END AS path,
+               CASE WHEN lang = 'de' THEN 'note' ELSE 'records' END AS kind,
+               CASE WHEN quality = 0 THEN upper(sha256(text)) ELSE sha256(text) END AS sha256,
+               n_chars - 100 AS bytes, n_chars - 50 AS items
+        FROM documents LEFT JOIN labels USING (doc_id))
+    SELECT 'unsafe path' AS "check", path, NULL::VARCHAR AS detail FROM i WHERE starts_with(path, '../')
+    UNION ALL SELECT 'unknown kind', path, kind FROM i WHERE kind = 'note'
+    UNION ALL SELECT 'malformed digest', path, NULL FROM i WHERE sha256 <> lower(sha256)
+    UNION ALL SELECT 'negative byte count', path, bytes::VARCHAR FROM i WHERE bytes < 0
+    UNION ALL SELECT 'negative item count', path, items::VARCHAR FROM i WHERE items < 0
+    UNION ALL SELECT 'repeated path', path, count(*)::VARCHAR FROM i GROUP BY path HAVING count(*) > 1
+    """,
+)
+def verify_inventory(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    digest = F.sha2("text", 256)
+    plain = F.concat(F.lit("docs/"), F.col("doc_id").cast("string"))
+    inventory = documents.select(
+        F.when(F.col("toxic") == 1, F.concat(F.lit("../"), "source")).otherwise(plain).alias("path"),
+        F.when(F.col("lang") == "de", "note").otherwise("records").alias("kind"),
+        F.when(F.col("quality") == 0, F.upper(digest)).otherwise(digest).alias("sha256"),
+        (F.col("n_chars") - 100).alias("bytes"),
+        (F.col("n_chars") - 50).alias("item_count"),
+    )
+    return inventory_problems(inventory)
+
+
 @query(
     "unsafe_paths",
     r"""

@@ -1,8 +1,10 @@
 """Upserts, batches, differences, deletes and change feeds."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from recordloom.operators.batching import BatchRule, assign_batches, plan_batches
+from recordloom.functions.literals import utc_second_column
+from recordloom.operators.batching import BatchRule, assign_batches, plan_batches, to_global_lines
 from recordloom.operators.changes import (
     change_count,
     changed_tables,
@@ -264,6 +266,33 @@ def batch_lines(spark, sf_dir):
     return assign_batches(table(spark, sf_dir, "documents"), _batch_rule())
 
 
+@query(
+    "batch_rebase",
+    """
+    WITH RECURSIVE d AS (SELECT doc_id + 1 AS line, strlen(text) AS size FROM documents),
+    walk AS (
+        SELECT line, 1 AS batch, size AS used, 1 AS position FROM d WHERE line = 1
+        UNION ALL
+        SELECT d.line, CASE WHEN used + 2 + d.size > 262144 THEN batch + 1 ELSE batch END,
+               CASE WHEN used + 2 + d.size > 262144 THEN d.size ELSE used + 2 + d.size END,
+               CASE WHEN used + 2 + d.size > 262144 THEN 1 ELSE position + 1 END
+        FROM walk JOIN d ON d.line = walk.line + 1)
+    SELECT batch::BIGINT AS batch_number, position, line AS global_line FROM walk
+    """,
+)
+def batch_rebase(spark, sf_dir):
+    """All documents as one sequence; positions within a batch and the lines they stand for."""
+    lines = table(spark, sf_dir, "documents").select(
+        (F.col("doc_id") + 1).alias("line"), F.octet_length("text").cast("bigint").alias("size")
+    )
+    rule = BatchRule("line", F.col("size"), max_bytes=_BATCH_BYTES)
+    inside = Window.partitionBy("batch_number").orderBy("line")
+    local = assign_batches(lines, rule).select(
+        "batch_number", F.row_number().over(inside).alias("position")
+    )
+    return to_global_lines(local, plan_batches(lines, rule), "position")
+
+
 @query("batch_outcomes")
 def batch_outcomes(spark, sf_dir):
     """Outcome per batch of the order upsert. Checked against brute force in the tests."""
@@ -374,6 +403,16 @@ def since(spark, sf_dir):
     )
 
 
+@query(
+    "utc_seconds",
+    "SELECT event_id, date_trunc('second', ts + INTERVAL 5 HOUR)::TIMESTAMP AS at FROM events",
+)
+def utc_seconds(spark, sf_dir):
+    """Wall-clock times five hours behind UTC as whole UTC seconds."""
+    at = utc_second_column(F.col("ts"), "-05:00").cast("timestamp_ntz")
+    return table(spark, sf_dir, "events").select("event_id", at.alias("at"))
+
+
 @query(
     "changed_tables",
     """
