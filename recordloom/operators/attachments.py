@@ -30,16 +30,10 @@ _JOB_KEYS = ["record_id", "field_id", "version_number"]
 
 
 def _numbered(cell: Column) -> Column:
-    """The cell's versions as (number, version) pairs; empty cells give an empty array."""
-    pairs = F.transform(
+    """The cell's versions as (number, version) pairs, which sort by number; null if it has none."""
+    return F.transform(
         cell["versions"], lambda v: F.struct(v["versionNumber"].alias("number"), v.alias("version"))
     )
-    return F.coalesce(pairs, F.array().cast(_pair_type()))
-
-
-def _pair_type() -> str:
-    version = "struct<versionNumber:int,fileName:string,size:bigint>"
-    return f"array<struct<number:int,version:{version}>>"
 
 
 def file_name(cell: Column, version: Column, field_id: int | Column) -> Column:
