@@ -295,7 +295,7 @@ def batch_rebase(spark, sf_dir):
 
 @query("batch_outcomes")
 def batch_outcomes(spark, sf_dir):
-    """Outcome per batch of the order upsert. Checked against brute force in the tests."""
+    """Outcome per batch of the order upsert. The tests check it on a small fixture."""
     lines = stage(_status_upsert(spark, sf_dir).lines, "lines")
     sizes = table(spark, sf_dir, "orders").select(
         (F.col("o_orderkey") + 1).alias("line"),
