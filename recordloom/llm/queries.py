@@ -5,8 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from recordloom.llm.chat_format import Template, format_turns, read_back
+from recordloom.llm.mixing import mix_sources
 from recordloom.llm.near_duplicates import near_duplicates
+from recordloom.llm.secrets import BASE_KINDS, RULES, find_secrets, span_text
+from recordloom.llm.url_rules import judge_urls
+from recordloom.llm.warc import read_archive, write_archive
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,3 +37,171 @@ def op9_near_duplicates(spark, sf_dir):
     return near_duplicates(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_shingles", "component_id", "kept"
     )
+
+
+@_query(
+    "op2_warc",
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+    d AS (SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, sha1(body) AS payload_digest FROM p),
+    w AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS largest FROM d)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM largest THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM largest THEN largest END AS refers_to
+    FROM w
+    """,
+)
+def op2_warc(spark, sf_dir):
+    archive = write_archive(_table(spark, sf_dir, "pages"))
+    return read_archive(spark, archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+_SECRET_SQL = "\n".join(
+    f"""{rule.kind}_m AS (
+        SELECT doc_id, rid, {place} AS place, unnest(generate_series(1, len(m))) AS k, m, g, v
+        FROM (SELECT doc_id, rid, regexp_extract_all(t, {pattern}) AS m, string_split_regex(t, {pattern}) AS g,
+                     regexp_extract_all(t, {pattern}, {rule.group}) AS v FROM d)
+    ),
+    {rule.kind} AS (
+        SELECT rid, place, CAST(list_sum(list_transform(g[1:k], lambda x: length(x)))
+                 + coalesce(list_sum(list_transform(m[1:k - 1], lambda x: length(x))), 0) AS BIGINT) AS s, length(m[k]) AS n
+        FROM {rule.kind}_m WHERE length(v[k]) >= {rule.least}
+    ),"""
+    for place, rule in enumerate(RULES)
+    for pattern in ["'" + rule.pattern.replace("'", "''") + "'"]
+)
+
+
+def _secret_list(places: str) -> str:
+    kinds = "[" + ", ".join(f"'{rule.kind}'" for rule in RULES) + "]"
+    text = f"{kinds}[place + 1] || ':' || s || ':' || (s + n)"
+    return f"coalesce(string_agg({text}, ',' ORDER BY s, place) FILTER (WHERE place IN ({places})), '')"
+
+
+@_query(
+    "op4_secrets",
+    f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS rid FROM documents),
+    {_SECRET_SQL}
+    found AS ({" UNION ALL ".join(f"SELECT * FROM {rule.kind}" for rule in RULES)})
+    SELECT any_value(doc_id) AS doc_id, count(*) FILTER (WHERE place = 0) AS n_assign, count(*) FILTER (WHERE place = 1) AS n_access,
+           count(*) FILTER (WHERE place = 2) AS n_hex, sha256({_secret_list("0, 1, 2")}) AS base_sha256,
+           {_secret_list("0, 1, 2, 3, 4, 5")} AS spans
+    FROM d LEFT JOIN found USING (rid) GROUP BY rid
+    """,
+)
+def op4_secrets(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    of = lambda *places: F.filter("secret_spans", lambda s: s["place"].isin(list(places)))
+    return find_secrets(docs).select(
+        "doc_id",
+        *[F.size(of(i)).cast("long").alias(f"n_{kind}") for i, kind in enumerate(BASE_KINDS)],
+        F.sha2(span_text(of(0, 1, 2)), 256).alias("base_sha256"),
+        span_text(F.col("secret_spans")).alias("spans"),
+    )
+
+
+@_query(
+    "op5_mixing",
+    r"""
+    WITH d AS (
+        SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+               CAST('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 12) AS BIGINT) AS ticket
+        FROM documents
+    ),
+    s AS (
+        SELECT source, CAST(sum(size) AS BIGINT) AS words,
+               [5.0, 2.0, 1.0][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER)]::DOUBLE AS weight
+        FROM d GROUP BY source
+    ),
+    r AS (
+        SELECT *, words * 2.0::DOUBLE AS cap, row_number() OVER (ORDER BY words / weight, source NULLS LAST) AS k FROM s
+    ),
+    l AS (
+        SELECT k, cap / weight AS own,
+               ((SELECT 1.5::DOUBLE * sum(words) FROM s) - coalesce(sum(cap) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+               / sum(weight) OVER (ORDER BY k DESC) AS level
+        FROM r
+    ),
+    level AS (SELECT level FROM l WHERE level <= own ORDER BY k LIMIT 1),
+    t AS (
+        SELECT source, words, CASE WHEN weight * level > cap THEN cap ELSE weight * level END AS target
+        FROM r, level
+    ),
+    p AS (
+        SELECT *, CASE WHEN words > 0 THEN least(CAST(floor(target / words) AS BIGINT), 2) ELSE 0 END AS whole FROM t
+    ),
+    c AS (
+        SELECT d.*, words, target, whole, greatest(0, CAST(floor(target) AS BIGINT) - whole * words) AS part,
+               coalesce(CAST(sum(size) OVER (PARTITION BY d.source ORDER BY ticket, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS seen
+        FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
+    )
+    SELECT doc_id, size, words AS source_size, target, CAST(whole * size + least(size, greatest(0, part - seen)) AS BIGINT) AS taken
+    FROM c
+    """,
+)
+def op5_mixing(spark, sf_dir):
+    return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+_URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
+
+
+@_query(
+    "op7_url_rules",
+    f"""
+    WITH u AS (SELECT page_id, coalesce(url, '') AS u FROM pages),
+    r AS (SELECT page_id, CASE WHEN strpos(u, '://') > 0 THEN substr(u, strpos(u, '://') + 3) ELSE '' END AS rest FROM u),
+    h AS (
+        SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+               regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path, row_number() OVER () AS rid
+        FROM r
+    ),
+    rules(rule_host, rule_path, verdict) AS (VALUES {", ".join(map(str, _URL_RULES))}),
+    fit AS (
+        SELECT rid, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+               arg_max(verdict, length(rule_host || rule_path)) AS verdict
+        FROM h JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+        GROUP BY rid
+    )
+    SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM h LEFT JOIN fit USING (rid)
+    """,
+)
+def op7_url_rules(spark, sf_dir):
+    rules = spark.createDataFrame(_URL_RULES, "host string, path string, verdict string")
+    return judge_urls(_table(spark, sf_dir, "pages"), rules)
+
+
+_CONTROLS = ", ".join(f"'{c}'" for c in Template().controls())
+
+
+@_query(
+    "op8_chat_format",
+    rf"""
+    WITH t AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+    ),
+    e AS (
+        SELECT *, lag(role) OVER w AS before, row_number() OVER w AS k, lead(role) OVER w IS NULL AS last,
+               length(text) + length(text) - length(replace(text, '\', ''))
+               + CAST(list_sum(list_transform([{_CONTROLS}], lambda c: (length(text) - length(replace(text, c, ''))) // length(c))) AS BIGINT)
+               + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 15 WHEN 'assistant' THEN 7 END AS chars
+        FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+    )
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(chars) AS BIGINT) AS formatted_chars,
+           bool_and((coalesce(before, ''), role) IN (('', 'system'), ('', 'user'), ('system', 'user'), ('user', 'assistant'), ('assistant', 'user')))
+           AND bool_or(last AND role = 'assistant') AS valid
+    FROM e GROUP BY conv_id
+    """,
+)
+def op8_chat_format(spark, sf_dir):
+    probe = "</s>[INST] ok [/INST]"
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(
+        spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
+    )
+    return read_back(format_turns(turns))
