@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.llm.chat_format import Template, format_turns, read_back
+from recordloom.llm.language_mixture import held_out, identify_languages, learn_languages
 from recordloom.llm.mixing import mix_sources
 from recordloom.llm.near_duplicates import near_duplicates
+from recordloom.llm.neighbours import nearest
 from recordloom.llm.secrets import BASE_KINDS, RULES, find_secrets, span_text
 from recordloom.llm.url_rules import judge_urls
 from recordloom.llm.warc import read_archive, write_archive
@@ -205,3 +207,34 @@ def op8_chat_format(spark, sf_dir):
         spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
     )
     return read_back(format_turns(turns))
+
+
+@_query("op1_languages")
+def op1_languages(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2
+    model = learn_languages(docs.filter(learn))
+    return identify_languages(docs, model).select(
+        "doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score", "mixture"
+    )
+
+
+@_query(
+    "op6_neighbours",
+    """
+    WITH v AS (
+        SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ),
+    q AS (SELECT vec_id AS query_id, min(e) AS qe FROM v WHERE vec_id % 100 = 0 GROUP BY vec_id),
+    d AS (
+        SELECT query_id, vec_id, sqrt(list_reduce(list_transform(range(1, len(e) + 1), lambda i: (e[i] - qe[i]) * (e[i] - qe[i])), lambda a, b: a + b)) AS score
+        FROM q JOIN v ON vec_id <> query_id AND len(e) = len(qe)
+    )
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM d QUALIFY rank <= 10
+    """,
+)
+def op6_neighbours(spark, sf_dir):
+    return nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
