@@ -125,11 +125,12 @@ def document_mixtures(codes: np.ndarray, doc: np.ndarray, n: int, model: Languag
 
 def identify_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """``doc_id, text_hash, lang_pred, score, mixture`` for each row; mixture is ``language:share`` by share."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # plain arrays: tasks need no installed copy of this package to read them
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.grams, model.probability, model.seen))
     columns = ["doc_id", "text_hash", "lang_pred", "score", "mixture"]
 
     def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = LanguageModel(*shared.value)
         for batch in batches:
             letters = batch.column("letters").to_numpy(zero_copy_only=False)
             for low, high, data, bounds in slices(batch.column("text")):

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.llm.chat_format import Template, format_turns, read_back
+from recordloom.llm.decontamination import scan_documents
 from recordloom.llm.language_mixture import held_out, identify_languages, learn_languages
 from recordloom.llm.mixing import mix_sources
 from recordloom.llm.near_duplicates import near_duplicates
@@ -238,3 +239,40 @@ def op1_languages(spark, sf_dir):
 )
 def op6_neighbours(spark, sf_dir):
     return nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@_query(
+    "op3_decontamination",
+    r"""
+    WITH d AS (
+        SELECT doc_id, row_number() OVER () AS rid,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM documents
+    ),
+    b AS (
+        SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM benchmark
+    ),
+    s AS (SELECT item, w, least(10, len(w)) AS k FROM b WHERE len(w) > 0),
+    i AS (SELECT item, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM s),
+    windows AS (SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS words FROM i),
+    p AS (
+        SELECT rid, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM s) WHERE len(w) >= k
+    ),
+    hits AS (SELECT rid, i, x.k, item FROM (SELECT rid, i, k, array_to_string(w[i:i + k - 1], ' ') AS words FROM p) x JOIN windows USING (k, words)),
+    hit_words AS (SELECT rid, count(DISTINCT word) AS n FROM (SELECT rid, unnest(range(i, i + k)) AS word FROM hits) GROUP BY rid),
+    hit_items AS (SELECT rid, list_sort(list(DISTINCT item)) AS items FROM hits GROUP BY rid)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_hit, CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+           sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
+    FROM d LEFT JOIN hit_words USING (rid) LEFT JOIN hit_items USING (rid)
+    """,
+)
+def op3_decontamination(spark, sf_dir):
+    found = scan_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
