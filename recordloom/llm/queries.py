@@ -14,6 +14,7 @@ from recordloom.llm.mixing import mix_sources
 from recordloom.llm.near_duplicates import near_duplicates
 from recordloom.llm.neighbours import nearest
 from recordloom.llm.secrets import BASE_KINDS, RULES, find_secrets, span_text
+from recordloom.llm.toxicity import learn_letters, learn_toxicity, score_toxicity
 from recordloom.llm.url_rules import judge_urls
 from recordloom.llm.warc import read_archive, write_archive
 
@@ -276,3 +277,13 @@ def op3_decontamination(spark, sf_dir):
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@_query("op10_toxicity")
+def op10_toxicity(spark, sf_dir):
+    docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
+    learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0
+    model = learn_toxicity(docs, labels.filter(learn), learn_letters(docs))
+    return score_toxicity(docs, model).select(
+        "doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
