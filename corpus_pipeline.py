@@ -1,34 +1,101 @@
-"""The corpus pipeline: every stage reads what the one before it kept, as written Parquet."""
+"""The corpus pipeline: every stage reads what the one before it kept, as written Parquet.
+
+Stages keep all columns of ``documents``, whatever further ones there are, and decide on whole texts:
+
+1. language ID drops documents without a language, or in which no learned language makes half of the text;
+2. near duplicates keep one document of each group, that with the smallest id;
+3. decontamination cuts passages of ``benchmark`` out of texts and drops documents that are mostly such passages;
+4. secret scans replace secrets by a mark;
+5. mixing keeps what the target weights take: ``taken`` words of each document, none that takes nothing.
+
+Where a text changes, ``n_chars`` follows, if there is such a column. Empty tables give empty results. Null and
+empty texts have no language and go in the first stage. A document with a null id stands for itself.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordloom.llm.decontamination import decontaminate
+from recordloom.llm.language_mixture import identify_languages, learn_languages
+from recordloom.llm.mixing import mix_sources
 from recordloom.llm.near_duplicates import near_duplicates
+from recordloom.llm.secrets import find_secrets, redact
 from recordloom.session import scratch_path
+from recordloom.session import stage as written
+
+LEAST_LANGUAGE_SCORE = 0.5
+
+
+def _same_row(docs: DataFrame, found: DataFrame) -> Column:
+    """Rows of an operator's result belong to rows of the same id and text."""
+    return docs["doc_id"].cast("long").eqNullSafe(found["_id"]) & F.xxhash64(docs["text"]).eqNullSafe(found["_text"])
+
+
+def _keys(found: DataFrame, *columns: str) -> DataFrame:
+    return found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text"), *columns)
+
+
+def _with_length(docs: DataFrame) -> DataFrame:
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2
+    found = identify_languages(docs, learn_languages(docs.filter(learn)))
+    refused = _keys(found.filter((F.col("lang_pred") == "und") | (F.col("score") < LEAST_LANGUAGE_SCORE))).distinct()
+    # written first, so its size is known and texts are shuffled only where it is too large to send around
+    refused = written(refused, "refused")
+    return docs.join(refused, _same_row(docs, refused), "left_anti")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group; of repeated equal rows one."""
-    kept = (
-        near_duplicates(docs)
-        .filter("kept")
-        .select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash"))
-    )
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_kept_id")) & (F.xxhash64(docs["text"]) == F.col("_kept_hash"))
-    return docs.join(kept.dropDuplicates(), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    found = written(near_duplicates(docs), "near-duplicates")
+    others = written(_keys(found.filter(~F.col("kept"))).distinct(), "near-duplicates")
+    kept = docs.join(others, _same_row(docs, others), "left_anti")
+    # equal rows of a kept id are one document; where there are any, only they are shuffled
+    equal = _keys(found.filter("kept")).groupBy("_id", "_text").agg(F.count("*").alias("rows")).filter("rows > 1")
+    equal = written(equal.select("_id", "_text"), "near-duplicates")
+    if equal.isEmpty():
+        return kept
+    repeated = kept.join(equal, _same_row(kept, equal), "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(equal, _same_row(kept, equal), "left_anti").union(repeated)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _with_length(decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = find_secrets(docs)
+    return _with_length(found.withColumn("text", redact(F.col("text"), F.col("secret_spans"))).select(docs.columns))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    mixed = _keys(mix_sources(docs), "taken").groupBy("_id", "_text").agg(F.min("taken").alias("taken"))
+    taken = docs.drop("taken").join(mixed, _same_row(docs, mixed)).drop("_id", "_text")
+    return taken.filter("taken > 0")
 
 
-STAGES = [("near duplicates", near_duplicate_stage)]
+STAGES = [
+    ("language ID", language_stage),
+    ("near duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("secret scans", secret_stage),
+    ("mixing to target weights", mixing_stage),
+]
 
+#: SQL can express neither the language models nor the sketches' documents that they keep.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage_function in STAGES:
+    for _, step in STAGES:
         path = scratch_path(spark, "pipeline")
-        stage_function(spark, docs, sf_dir).write.parquet(path)
+        step(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
