@@ -2,7 +2,7 @@
 
 Stages keep all columns of ``documents``, whatever further ones there are, and decide on whole texts:
 
-1. language ID drops documents without a language, or in which no learned language makes half of the text;
+1. language ID drops documents without a language, or of whose text no learned language explains a fifth;
 2. near duplicates keep one document of each group, that with the smallest id;
 3. decontamination cuts passages of ``benchmark`` out of texts and drops documents that are mostly such passages;
 4. secret scans replace secrets by a mark;
@@ -21,11 +21,11 @@ from recordloom.llm.decontamination import decontaminate
 from recordloom.llm.language_mixture import identify_languages, learn_languages
 from recordloom.llm.mixing import mix_sources
 from recordloom.llm.near_duplicates import near_duplicates
-from recordloom.llm.secrets import find_secrets, redact
+from recordloom.llm.secrets import find_secrets, fresh_name, redact
 from recordloom.session import scratch_path
 from recordloom.session import stage as written
 
-LEAST_LANGUAGE_SCORE = 0.5
+LEAST_LANGUAGE_SCORE = 0.2
 
 
 def _same_row(docs: DataFrame, found: DataFrame) -> Column:
@@ -70,14 +70,16 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = find_secrets(docs)
-    return _with_length(found.withColumn("text", redact(F.col("text"), F.col("secret_spans"))).select(docs.columns))
+    spans = fresh_name(docs, "_spans")
+    found = find_secrets(docs, result=spans)
+    return _with_length(found.withColumn("text", redact(F.col("text"), F.col(spans))).drop(spans))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     mixed = _keys(mix_sources(docs), "taken").groupBy("_id", "_text").agg(F.min("taken").alias("taken"))
-    taken = docs.drop("taken").join(mixed, _same_row(docs, mixed)).drop("_id", "_text")
-    return taken.filter("taken > 0")
+    docs = docs.drop("taken")
+    taken = docs.join(mixed.filter("taken > 0"), _same_row(docs, mixed))
+    return taken.drop(mixed["_id"], mixed["_text"])
 
 
 STAGES = [

@@ -7,7 +7,7 @@ run on it. A rule without mandatory trigrams runs on every text. The text key is
 share one, both are candidates of either's rules, and verification stays exact.
 
 Spans count code points, the end is exclusive. A null text is empty. Repeated rows give repeated results. Other columns
-pass through ``find_secrets`` untouched; internal names start with ``_s_``.
+pass through ``find_secrets`` untouched, except one of the result's name.
 """
 
 from __future__ import annotations
@@ -97,19 +97,19 @@ def candidate_texts(postings: DataFrame, queries: dict[int, Query], names: Seque
     return stage(met.select("text_key", rules.alias("rules")).filter("rules != 0"), "candidates")
 
 
-def _spans(rule: Rule, place: int) -> Column:
-    """The passing matches of a rule in ``_s_text``.
+def _spans(rule: Rule, place: int, text: str) -> Column:
+    """The passing matches of a rule in column ``text``.
 
     Gaps and matches take turns in a text, so their lengths add up to the positions.
     """
     pattern = F.lit(rule.fast or rule.pattern)
-    matches = F.regexp_extract_all("_s_text", pattern, F.lit(0))
-    gaps = F.split("_s_text", pattern.cast("string"), -1)
+    matches = F.regexp_extract_all(text, pattern, F.lit(0))
+    gaps = F.split(text, pattern.cast("string"), -1)
     parts = [matches.alias("m"), gaps.alias("g")]
     if rule.fast or not rule.least:
         parts.append(matches.alias("v"))
     else:
-        parts.append(F.regexp_extract_all("_s_text", pattern, F.lit(rule.group)).alias("v"))
+        parts.append(F.regexp_extract_all(text, pattern, F.lit(rule.group)).alias("v"))
     least = 0 if rule.fast else rule.least
 
     def step(state: Column, piece: Column) -> Column:
@@ -126,30 +126,40 @@ def _spans(rule: Rule, place: int) -> Column:
     folded = F.aggregate(
         F.arrays_zip(*parts), F.struct(F.lit(0).alias("at"), empty.alias("spans")), step, lambda state: state["spans"]
     )
-    return F.when(F.regexp("_s_text", pattern), folded).otherwise(empty)
+    return F.when(F.regexp(text, pattern), folded).otherwise(empty)
 
 
-def find_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """``docs`` with ``secret_spans``: ``(start, place, end)`` by start and rule, ``place`` counting rules from 0."""
+def find_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES, result: str = "secret_spans") -> DataFrame:
+    """``docs`` with ``result``: ``(start, place, end)`` by start and rule, ``place`` counting rules from 0."""
     queries = {i: trigram_query(rule.pattern) for i, rule in enumerate(rules)}
     full = [i for i, query in queries.items() if query is True]
     queries = {i: query for i, query in queries.items() if query is not True}
     if len(rules) > _WORD_BITS:
         raise ValueError(f"at most {_WORD_BITS} rules in one scan")
-    rows = docs.withColumn("_s_text", F.coalesce(F.col("text"), F.lit("")))
+    text, key, due_rules = (fresh_name(docs, name) for name in ("_text", "_key", "_rules"))
+    rows = docs.withColumn(text, F.coalesce(F.col("text"), F.lit("")))
     if queries:
         names = sorted(set().union(*map(trigrams, queries.values())))
         found = candidate_texts(index_texts(docs, names), queries, names)
-        found = found.select(F.col("text_key").alias("_s_key"), F.col("rules").alias("_s_rules")).hint("shuffle_hash")
-        rows = rows.join(found, F.xxhash64("text") == F.col("_s_key"), "left")
+        found = found.select(F.col("text_key").alias(key), F.col("rules").alias(due_rules)).hint("shuffle_hash")
+        rows = rows.join(found, F.xxhash64("text") == F.col(key), "left").drop(key)
     else:
-        rows = rows.withColumn("_s_rules", F.lit(None).cast("long"))
+        rows = rows.withColumn(due_rules, F.lit(None).cast("long"))
     empty = F.array().cast(f"array<{_SPAN}>")
     parts = []
     for i, rule in enumerate(rules):
-        due = F.coalesce(F.col("_s_rules"), F.lit(0).cast("long")).bitwiseAND(F.lit(1 << i).cast("long")) != 0
-        parts.append(_spans(rule, i) if i in full else F.when(due, _spans(rule, i)).otherwise(empty))
-    return rows.withColumn("secret_spans", F.array_sort(F.concat(*parts))).drop("_s_text", "_s_key", "_s_rules")
+        due = F.coalesce(F.col(due_rules), F.lit(0).cast("long")).bitwiseAND(F.lit(1 << i).cast("long")) != 0
+        spans = _spans(rule, i, text)
+        parts.append(spans if i in full else F.when(due, spans).otherwise(empty))
+    return rows.withColumn(result, F.array_sort(F.concat(*parts))).drop(text, due_rules)
+
+
+def fresh_name(docs: DataFrame, name: str) -> str:
+    """``name``, longer by underscores if ``docs`` has such a column."""
+    taken = {column.lower() for column in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def span_text(spans: Column, rules: Sequence[Rule] = RULES) -> Column:
