@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from recordloom.session import scratch_path
 from recordloom.sources.cells import check_json_lines, from_wire, to_wire, wire_fields
-from recordloom.sources.export import copy_tables, export_csv, read_json_lines, write_json_lines
+from recordloom.sources.export import copy_tables, export_csv, read_csv, read_json_lines, write_json_lines
 from recordloom.sources.files import decode_body, hash_files, list_files, total_bytes
 from recordloom.sources.snapshot import (
     Capture,
@@ -115,6 +115,14 @@ def csv_export_limit(spark, sf_dir):
     return spark.read.schema(customers.schema).option("header", True).csv(path)
 
 
+@query("csv_export_text", "SELECT * FROM documents")
+def csv_export_text(spark, sf_dir):
+    """Whole texts with line ends, quotes and blanks, exported and read back."""
+    documents = table(spark, sf_dir, "documents")
+    path = export_csv(documents, "documents", scratch_path(spark, "csv"), "doc_id")
+    return read_csv(spark, path, documents.schema)
+
+
 @query("jsonl_export", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def jsonl_export(spark, sf_dir):
     events = table(spark, sf_dir, "events")

@@ -75,6 +75,34 @@ def upsert_lines(spark, sf_dir):
     return lines.withColumn("errors", F.array_join("errors", " | "))
 
 
+@query(
+    "upsert_hot_key",
+    """
+    WITH src AS (
+        SELECT o_orderkey + 1 AS line, o_totalprice AS v,
+               CASE WHEN o_orderkey % 10 < 6 THEN 5 WHEN o_orderkey % 10 < 9 THEN NULL ELSE o_custkey END AS k
+        FROM orders),
+    firsts AS (SELECT k, min(line) AS first FROM src WHERE k IS NOT NULL GROUP BY k)
+    SELECT line, CASE WHEN line = first THEN src.k END AS record_id,
+           CASE WHEN line IS DISTINCT FROM first THEN 'error' WHEN c_custkey IS NULL THEN 'created'
+                WHEN v IS DISTINCT FROM c_acctbal THEN 'updated' ELSE 'unchanged' END AS action,
+           CASE WHEN src.k IS NULL THEN 'c_custkey: the merge key is missing'
+                WHEN line <> first THEN 'c_custkey: already used on line ' || first ELSE '' END AS errors
+    FROM src LEFT JOIN firsts ON src.k = firsts.k LEFT JOIN customer ON c_custkey = src.k
+    """,
+)
+def upsert_hot_key(spark, sf_dir):
+    """Most lines hold one merge key, many hold none."""
+    key = F.col("o_orderkey") % 10
+    source = table(spark, sf_dir, "orders").select(
+        (F.col("o_orderkey") + 1).alias("line"),
+        F.when(key < 6, F.lit(5)).when(key < 9, F.lit(None)).otherwise(F.col("o_custkey")).alias("c_custkey"),
+        F.col("o_totalprice").alias("c_acctbal"),
+    )
+    lines = upsert(table(spark, sf_dir, "customer"), source, "c_custkey", "c_custkey").lines
+    return lines.withColumn("errors", F.array_join("errors", " | "))
+
+
 @query(
     "upsert_merged",
     _LINES

@@ -25,17 +25,15 @@ def is_text(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.StringType, T.VarcharType, T.CharType))
 
 
-def as_text(value: Any) -> str:
-    """The text form of a value: minute datetimes, ISO dates, true/false, joined lists."""
-    if isinstance(value, datetime):
-        return value.strftime("%Y-%m-%d %I:%M%p")
-    if isinstance(value, date):
-        return value.isoformat()
-    if isinstance(value, bool):
-        return "true" if value else "false"
+def text_literal(value: Any) -> Column:
+    """A value as Spark writes it when it casts a column of that kind to text; lists are joined."""
+    if isinstance(value, str):
+        return F.lit(value)
     if isinstance(value, (list, tuple)):
-        return LIST_SEPARATOR.join(as_text(item) for item in value)
-    return str(value)
+        return F.concat_ws(LIST_SEPARATOR, *[text_literal(item) for item in value])
+    if isinstance(value, datetime):
+        return F.lit(to_minute(value).isoformat(sep=" "))
+    return F.lit(value).cast("string")
 
 
 def to_minute(value: datetime) -> datetime:
@@ -77,7 +75,7 @@ def typed(value: Any, dtype: T.DataType) -> Column:
         value = value.date() if isinstance(value, datetime) else value
         return F.lit(value.isoformat() if isinstance(value, date) else value).cast(dtype)
     if is_text(dtype):
-        return F.lit(value if isinstance(value, str) else as_text(value))
+        return text_literal(value)
     if isinstance(value, (list, tuple)):
         raise ValueError(f"a list cannot be compared with {dtype.simpleString()}")
     if isinstance(dtype, T.NumericType):

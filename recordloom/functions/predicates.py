@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .labels import col, resolve
-from .literals import LIST_SEPARATOR, as_text, is_text, is_timestamp, typed
+from .literals import LIST_SEPARATOR, is_text, is_timestamp, text_literal, typed
 from .timeranges import date_range
 
 # Operator codes.
@@ -93,7 +93,7 @@ class RecordFilter:
         if is_text(dtype):
             if value is None or value == "":
                 return column.isNull() | (column == "")
-            return F.lower(column) == F.lower(F.lit(as_text(value)))
+            return F.lower(column) == F.lower(text_literal(value))
         if value is None:
             return column.isNull()
         if isinstance(dtype, T.ArrayType):
@@ -103,7 +103,12 @@ class RecordFilter:
 
     @staticmethod
     def _text_match(column: Column, dtype: T.DataType, code: str, value: Any) -> Column:
-        wanted = F.lower(F.lit(as_text(value)))
+        item = dtype.elementType if isinstance(dtype, T.ArrayType) else dtype
+        if isinstance(value, datetime) and is_timestamp(item):
+            # both sides take the text of the column's own type
+            wanted = typed(value, item).cast("string")
+        else:
+            wanted = F.lower(text_literal(value))
 
         def match(text: Column) -> Column:
             lowered = F.lower(text.cast("string"))

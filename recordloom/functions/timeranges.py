@@ -5,12 +5,20 @@ from __future__ import annotations
 import re
 from datetime import date, timedelta
 
+from pyspark.sql import SparkSession
+
 _FIXED = {"yesterday": -1, "today": 0, "tomorrow": 1}
 _RELATIVE = re.compile(r"^(this|last|next) (day|week|month|quarter|year)$")
 _LAST_N = re.compile(r"^last (\d+) (day|week|month|quarter|year)s?$")
 _MONTHS = {"month": 1, "quarter": 3, "year": 12}
 
 
+def session_today() -> date:
+    """The session's current date, in its own time zone."""
+    spark = SparkSession.getActiveSession()
+    return spark.sql("SELECT current_date()").first()[0] if spark else date.today()
+
+
 def _period_start(day: date, unit: str, offset: int) -> date:
     """First day of the period ``offset`` periods away from the one holding ``day``."""
     if unit == "day":
@@ -31,7 +39,7 @@ def date_range(spec: str | tuple, as_of: date | None = None) -> tuple:
         if len(spec) != 2:
             raise ValueError("a range needs a start and an end")
         return tuple(spec)
-    today = as_of or date.today()
+    today = as_of or session_today()
     text = " ".join(spec.lower().split())
     if text in _FIXED:
         start = today + timedelta(days=_FIXED[text])

@@ -309,7 +309,7 @@ def delete_version(
         if version_number
         else F.array_max(F.transform(cell["versions"], lambda v: v["versionNumber"]))
     )
-    left = F.filter(cell["versions"], lambda v: v["versionNumber"] != gone)
+    left = F.filter(cell["versions"], lambda v: ~v["versionNumber"].eqNullSafe(gone))
     changed = cell.withField("versions", left)
     hit = (col(key) == record_id) & cell["versions"].isNotNull()
     return df.withColumn(name, F.when(hit, changed).otherwise(cell))

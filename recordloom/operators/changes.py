@@ -119,6 +119,10 @@ def changed_tables(
     return result
 
 
+#: Up to so many ids are written into the predicate, where they reach the scan.
+FEW_IDS = 100
+
+
 @dataclass(frozen=True)
 class DeleteResult:
     kept: DataFrame
@@ -133,11 +137,14 @@ def delete_records(
 ) -> DeleteResult:
     """Split a table into kept and deleted rows by predicate, id list or id table.
 
-    Ids may repeat or be unknown. A long list or an id table becomes a join, which Spark
+    Ids may repeat or be unknown. A short list reaches the scan; a long list or an id table becomes a join, which Spark
     broadcasts only if the ids are measured small.
     """
     if isinstance(where, (list, tuple, set)):
         ids = sorted({int(i) for i in where})
+        if key is not None and len(ids) <= FEW_IDS:
+            listed = col(resolve(df.columns, key)).isin(ids)
+            return DeleteResult(df.where(~truth(listed)), df.where(listed))
         where = df.sparkSession.createDataFrame([(i,) for i in ids], "id bigint")
     if isinstance(where, DataFrame):
         if key is None:
@@ -151,7 +158,7 @@ def delete_records(
     return DeleteResult(df.where(~truth(predicate)), df.where(predicate))
 
 
-def filter_ids(df: DataFrame, key: str, ids: Sequence[int] | DataFrame, few: int = 100) -> DataFrame:
+def filter_ids(df: DataFrame, key: str, ids: Sequence[int] | DataFrame, few: int = FEW_IDS) -> DataFrame:
     """Keep the records with the given ids: a pushed-down list, or a semi join for many."""
     key = resolve(df.columns, key)
     if not isinstance(ids, DataFrame):

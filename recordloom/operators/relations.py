@@ -30,6 +30,8 @@ class Summary:
     field: str | None = None
     label: str | None = None
     where: Where = None
+    #: Child fields that ``where`` reads; a derivation adds those before the summary.
+    where_fields: Sequence[str] = ()
 
     def __post_init__(self):
         if self.kind not in ACCUMULATIONS:

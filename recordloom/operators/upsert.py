@@ -80,23 +80,32 @@ def _check_lines(source: DataFrame, target: DataFrame, merge_on: str | None, rul
     lines = source.select(LINE, PRESENT, *typed, listed.alias("_errors"))
     if not merge_on:
         return lines
-    # The first line per key is found by a combining aggregate, so a key repeated on very
-    # many lines is never gathered in one place.
-    firsts = (
-        lines.where(col(merge_on).isNotNull())
-        .groupBy(col(merge_on).alias("_key"))
-        .agg(F.min(LINE).alias("_first"))
-    )
-    joined = lines.join(firsts, col(merge_on) == F.col("_key"), "left")
+    # Lines without a key are errors already and take no part in the join.
+    keyed, blank_key = lines.where(col(merge_on).isNotNull()), lines.where(col(merge_on).isNull())
+    firsts = _repeated(keyed, col(merge_on)).withColumnRenamed("_value", "_key")
+    joined = keyed.join(firsts, col(merge_on) == F.col("_key"), "left")
     repeated = F.concat(
         F.lit(f"{merge_on}: already used on line "), F.col("_first").cast("string")
     )
-    return joined.withColumn(
+    marked = joined.withColumn(
         "_errors",
         F.when(
             truth(F.col(LINE) != F.col("_first")), F.array_append("_errors", repeated)
         ).otherwise(F.col("_errors")),
-    ).drop("_key", "_first")
+    )
+    return marked.drop("_key", "_first").unionByName(blank_key)
+
+
+def _repeated(lines: DataFrame, value: Column) -> DataFrame:
+    """Values that several lines hold, with the first of these lines.
+
+    Found by a combining aggregate and written: few rows are broadcast by their measured size, and
+    with many the join with them has two plain sides, whose hot values Spark splits.
+    """
+    counted = lines.groupBy(value.alias("_value")).agg(
+        F.min(LINE).alias("_first"), F.count(F.lit(1)).alias("_n")
+    )
+    return stage(counted.where("_n > 1").drop("_n"), "upsert-repeated")
 
 
 def _match(lines, target, key, merge_on, names) -> DataFrame:
@@ -115,9 +124,20 @@ def _match(lines, target, key, merge_on, names) -> DataFrame:
     changed = F.lit(False)
     for i, name in enumerate(compared):
         changed = changed | (_provided(name) & ~col(name).eqNullSafe(F.col(f"_t{i}")))
-    return current.join(valid, F.col("_key") == col(merge_on)).select(
+    met = current.join(valid, F.col("_key") == col(merge_on)).select(
         LINE, "record_id", F.when(changed, "updated").otherwise("unchanged").alias("action")
     )
+    # several records with one key can't be told apart
+    found = met.groupBy(LINE).agg(
+        F.min("record_id").alias("record_id"), F.min("action").alias("action"), F.count(F.lit(1)).alias("_n")
+    )
+    message = F.lit(f"{merge_on}: several records have this key")
+    return found.select(
+        LINE,
+        F.when(F.col("_n") == 1, F.col("record_id")).alias("record_id"),
+        F.when(F.col("_n") == 1, F.col("action")).alias("action"),
+        F.when(F.col("_n") > 1, message).alias("_shared"),
+    )
 
 
 def _add_unique_errors(lines, target, key, unique, names) -> DataFrame:
@@ -128,7 +148,7 @@ def _add_unique_errors(lines, target, key, unique, names) -> DataFrame:
         values = valid.where(col(name).isNotNull()).select(
             LINE, "record_id", col(name).alias("_value")
         )
-        firsts = values.groupBy("_value").agg(F.min(LINE).alias("_first"))
+        firsts = _repeated(values, F.col("_value"))
         in_source = values.join(firsts, "_value").where(F.col(LINE) > F.col("_first"))
         holders = target.select(col(name).alias("_value"), col(key).alias("_holder"))
         in_target = holders.join(values, "_value").where(
@@ -181,6 +201,10 @@ def upsert(
     if merge_on:
         matches = _match(lines, target, key, merge_on, names)
         lines = lines.join(matches, LINE, "left")
+        shared = F.array_append("_errors", F.col("_shared"))
+        lines = lines.withColumn(
+            "_errors", F.when(F.col("_shared").isNotNull(), shared).otherwise(F.col("_errors"))
+        ).drop("_shared")
     else:
         lines = lines.withColumn("record_id", F.lit(None).cast(target.schema[key].dataType)).withColumn(
             "action", F.lit(None).cast("string")

@@ -62,12 +62,14 @@ def _dependencies(tables: Mapping[str, DataFrame], plan: Derivation):
             add(f"{table}.{name}", "field")
     for relation in plan.relationships:
         link = f"@{relation.name}"
-        add(link, "relationship", [f"{relation.child}.{relation.fk}"])
+        ends = [f"{relation.child}.{relation.fk}", f"{relation.parent}.{relation.key}"]
+        add(link, "relationship", ends)
         for name in relation.lookups:
             label = lookup_label(relation.fk_label or relation.fk, name)
             add(f"{relation.child}.{label}", "lookup", [link, f"{relation.parent}.{name}"])
         for summary in relation.summaries:
-            source = [f"{relation.child}.{summary.field}"] if summary.field else []
+            read = [summary.field] if summary.field else []
+            source = [f"{relation.child}.{name}" for name in (*read, *summary.where_fields)]
             add(f"{relation.parent}.{summary.name}", "summary", [link, *source])
     for address, formula in plan.formulas.items():
         add(address, "formula", formula.depends_on)

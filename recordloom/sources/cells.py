@@ -58,13 +58,35 @@ def to_wire(df: DataFrame, fields: Sequence[WireField], alias: str = "value") ->
     types = {field.name: field.dataType for field in df.schema.fields}
     cells = []
     for field in sorted(fields, key=lambda f: str(f.id)):
-        value = col(field.label)
-        if isinstance(types[field.label], (T.DoubleType, T.FloatType)):
-            value = finite(value, field.label)
+        value = all_finite(col(field.label), types[field.label], field.label)
         cells.append(F.struct(value.alias("value")).alias(str(field.id)))
     return F.to_json(F.struct(*cells), JSON_OPTIONS).alias(alias)
 
 
+def _holds_numbers_with_fractions(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _holds_numbers_with_fractions(dtype.elementType)
+    if isinstance(dtype, T.MapType):
+        return _holds_numbers_with_fractions(dtype.valueType)
+    if isinstance(dtype, T.StructType):
+        return any(_holds_numbers_with_fractions(field.dataType) for field in dtype.fields)
+    return isinstance(dtype, (T.DoubleType, T.FloatType))
+
+
+def all_finite(value: Column, dtype: T.DataType, label: str) -> Column:
+    """The value, failing the job on NaN or infinity anywhere inside it."""
+    if not _holds_numbers_with_fractions(dtype):
+        return value
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(value, lambda item: all_finite(item, dtype.elementType, label))
+    if isinstance(dtype, T.MapType):
+        return F.transform_values(value, lambda _, item: all_finite(item, dtype.valueType, label))
+    if isinstance(dtype, T.StructType):
+        parts = [all_finite(value[f.name], f.dataType, label).alias(f.name) for f in dtype.fields]
+        return F.when(value.isNotNull(), F.struct(*parts))
+    return finite(value, label)
+
+
 def finite(value: Column, label: str) -> Column:
     """The value, failing the job on NaN or infinity: neither exists in JSON."""
     broken = F.isnan(value) | (F.abs(value) == float("inf"))

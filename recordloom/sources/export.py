@@ -14,7 +14,17 @@ from ..functions.labels import col, resolve
 from ..operators.query import TOP_K_LIMIT, Where, _count, select_where
 from ..operators.ordering import global_rank
 from ..session import publish, remove
-from .cells import JSON_OPTIONS, finite
+from .cells import JSON_OPTIONS, all_finite
+
+
+#: Values keep their blanks, quotes are doubled, null is an empty field and blank text is ``""``.
+CSV_OPTIONS = {
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "escape": '"',
+    "emptyValue": '""',
+    "nullValue": "",
+}
 
 
 def _in_key_order(df: DataFrame, key: str, record_limit: int | None) -> DataFrame:
@@ -56,7 +66,7 @@ def export_csv(
     if single_file:
         ordered = ordered.repartition(1).sortWithinPartitions(col(key))
     try:
-        ordered.write.option("header", True).option("emptyValue", "").csv(staged)
+        ordered.write.options(**CSV_OPTIONS, header=True).csv(staged)
         publish(spark, staged, final)
     except BaseException:
         remove(spark, staged)
@@ -64,14 +74,21 @@ def export_csv(
     return final
 
 
+def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows written by ``export_csv``, line ends inside values included.
+
+    Whatever the reader is told null looks like is what it takes empty fields for; a value that no text
+    holds keeps blank text apart.
+    """
+    options = {**CSV_OPTIONS, "emptyValue": "", "nullValue": "\0"}
+    return spark.read.schema(schema).options(**options, header=True, multiLine=True).csv(path)
+
+
 def json_line(df: DataFrame, alias: str = "value"):
-    """Each row as JSON with sorted keys, nulls kept, failing on NaN and infinity."""
+    """Each row as JSON with sorted keys, nulls kept, failing on NaN and infinity at any depth."""
     columns = []
     for field in sorted(df.schema.fields, key=lambda f: f.name):
-        value = col(field.name)
-        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            value = finite(value, field.name)
-        columns.append(value.alias(field.name))
+        columns.append(all_finite(col(field.name), field.dataType, field.name).alias(field.name))
     return F.to_json(F.struct(*columns), JSON_OPTIONS).alias(alias)
 
 

@@ -24,7 +24,7 @@ from recordloom.operators.attachments import (
     version_problems,
 )
 from recordloom.sources.cells import WireField, check_json_lines, from_wire, line_kinds, to_wire, wire_fields
-from recordloom.sources.export import export_csv, read_json_lines, write_json_lines
+from recordloom.sources.export import export_csv, read_csv, read_json_lines, write_json_lines
 from recordloom.sources.files import decode_body, hash_files, list_files, total_bytes
 from recordloom.sources.snapshot import (
     Capture,
@@ -215,6 +215,23 @@ def test_csv(spark, projects, tmp_path):
     assert sorted(os.listdir(tmp_path)) == ["projects_2026-07-18.csv"]
 
 
+def test_csv_keeps_every_value(spark, tmp_path):
+    values = ["  padded  ", 'say "hi"', "a\nb", "c\r\nd", "e\rf", "", None, "x,y", "\\", '\\"', '"', "\t", "é\u2028"]
+    df = spark.createDataFrame(list(enumerate(values)), "id bigint, text string")
+    path = export_csv(df, "texts", str(tmp_path), "id")
+    assert sorted(read_csv(spark, path, df.schema).collect()) == sorted(df.collect(), key=lambda r: r.id)
+
+
+def test_json_lines_refuse_nested_numbers_that_json_lacks(spark, tmp_path):
+    for n, value in enumerate(("array(double('NaN'))", "named_struct('x', array(float('inf')))", "map('k', double('NaN'))")):
+        bad = spark.sql(f"SELECT 1L AS id, {value} AS v")
+        with pytest.raises(PySparkException):
+            write_json_lines(bad, str(tmp_path / f"bad{n}"), "id")
+    good = spark.sql("SELECT 1L AS id, array(1.5D, null) AS v, CAST(null AS struct<x: double>) AS s, map('k', 2.5D) AS m")
+    write_json_lines(good, str(tmp_path / "good"), "id")
+    assert read_json_lines(spark, str(tmp_path / "good"), good.schema).collect() == good.collect()
+
+
 def test_json_lines_are_deterministic(spark, tmp_path):
     df = spark.createDataFrame(
         [(2, None, datetime(2024, 1, 1, 0, 0, 0, 1)), (1, "é", None)], "id bigint, b string, a timestamp_ntz"
@@ -287,6 +304,33 @@ def test_changed_manifest(snapshot):
     assert _kinds(snapshot) == {"manifest changed"}
 
 
+def _inventory_lines(root):
+    folder = f"{root}/inventory"
+    return {f"{folder}/{p}": open(f"{folder}/{p}").read().splitlines() for p in os.listdir(folder) if p.startswith("part-")}
+
+
+def test_inventory_is_bound_to_the_manifest(snapshot):
+    """A file removed together with its inventory line is noticed."""
+    root = _without_sidecars(snapshot)
+    os.remove(f"{root}/tables/p/fields.json")
+    for path, lines in _inventory_lines(root).items():
+        with open(path, "w") as stream:
+            stream.writelines(line + "\n" for line in lines if "p/fields.json" not in line)
+    found = _kinds(snapshot)
+    assert {"artifact count differs from the manifest", "total bytes differ from the manifest"} <= found
+    assert {"inventory differs from the manifest", "table needs one field list"} <= found
+    with pytest.raises(SnapshotError):
+        snapshot.verify()
+
+
+def test_broken_inventory_line_is_an_issue(snapshot):
+    root = _without_sidecars(snapshot)
+    path = next(iter(_inventory_lines(root)))
+    with open(path, "a") as stream:
+        stream.write("{broken\n")
+    assert _kinds(snapshot) == {"unreadable inventory line"}
+
+
 def test_failed_snapshot_leaves_nothing(projects, tmp_path):
     with pytest.raises(ValueError, match="no contents"):
         take_snapshot({"p": Capture(projects, "Record ID#", None, {"File": 8})}, str(tmp_path / "s"), {"a": "b"})
@@ -298,7 +342,7 @@ def test_manifest_rules():
         snapshot_id="12345678-1234-5678-1234-567812345678", source={"a": "b"},
         started_at="2026-07-18T17:30:00Z", completed_at="2026-07-18T17:30:01Z",
         options={"attachment_versions": "all"}, consistent=True, changed_tables=(),
-        tables=(TableEntry("t", "T", 1, 0),), artifact_count=1, total_bytes=1,
+        tables=(TableEntry("t", "T", 1, 0),), artifact_count=1, total_bytes=1, inventory_digest="",
     )
     assert manifest_problems(Manifest(**good)) == []
     for change in (

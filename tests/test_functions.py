@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recordloom.functions.labels import LabelError, resolve, resolve_all, unique_labels
-from recordloom.functions.literals import as_text, utc_second
+from recordloom.functions.literals import text_literal, utc_second
 from recordloom.functions.predicates import OPERATOR_CODES, RecordFilter, starts_with_or_false, truth
 from recordloom.functions.timeranges import date_range
 
@@ -23,11 +23,35 @@ def test_labels():
         unique_labels(["a", "A"])
 
 
-def test_text_forms():
-    assert as_text(datetime(2026, 7, 18, 14, 5, 59)) == "2026-07-18 02:05PM"
-    assert as_text(date(2026, 7, 18)) == "2026-07-18"
-    assert as_text(True) == "true" and as_text(12.5) == "12.5"
-    assert as_text(["a", 1, False]) == "a; 1; false"
+def test_text_forms(spark):
+    values = [datetime(2026, 7, 18, 14, 5, 59), date(2026, 7, 18), True, 12.5, ["a", 1, False], "A"]
+    row = spark.range(1).select(*[text_literal(v).alias(f"c{i}") for i, v in enumerate(values)]).first()
+    assert tuple(row) == ("2026-07-18 14:05:00", "2026-07-18", "true", "12.5", "a; 1; false", "A")
+
+
+def test_text_operators_on_times(spark):
+    """A datetime is compared as text of the column's own type."""
+    df = spark.sql("SELECT 1 AS id, TIMESTAMP_NTZ'2024-01-01 12:00:00' AS t, array(TIMESTAMP_NTZ'2024-01-01 12:00:00') AS l")
+    w = RecordFilter(df)
+    noon = datetime(2024, 1, 1, 12, 0, 30)
+    for code in ("CT", "SW"):
+        assert df.where(w.expr("t", code, noon)).count() == 1
+        assert df.where(w.expr("t", "X" + code, noon)).count() == 0
+        assert df.where(w.expr("t", code, "2024-01")).count() == 1
+        assert df.where(w.expr("l", code, noon)).count() == 1
+        assert df.where(w.expr("t", code, datetime(2024, 1, 1, 13))).count() == 0
+
+
+def test_ranges_follow_the_session_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        days = set()
+        for zone in ("Pacific/Kiritimati", "Etc/GMT+12"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            days.add(date_range("today"))
+        assert len(days) == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_utc_second():

@@ -185,3 +185,23 @@ def test_hot_foreign_key_is_split(spark):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_summary_filter_on_a_derived_field(spark):
+    """What a summary's filter reads is derived before the summary."""
+    from recordloom.operators.formulas import Formula
+    from recordloom.operators.relations import Summary
+    from recordloom.plans.derivation import Derivation, Relationship, derive
+
+    tables = {
+        "parents": spark.createDataFrame([(1,), (2,)], "id bigint"),
+        "children": spark.createDataFrame([(1, 2.0), (1, 5.0), (2, 1.0)], "parent bigint, amount double"),
+    }
+    formulas = {
+        "children.double": Formula("amount * 2", "double", ("children.amount",)),
+        "children.more": Formula("`double` + 1", "double", ("children.double",)),
+    }
+    total = Summary("SUM", "amount", "total", lambda w: w.greater_than("more", 5), where_fields=["more"])
+    plan = Derivation(formulas, [Relationship("r", "parents", "children", "id", "parent", summaries=[total])])
+    found = {r["id"]: r["total"] for r in derive(tables, plan)["parents"].collect()}
+    assert found == {1: 5.0, 2: None}

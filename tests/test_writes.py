@@ -269,3 +269,27 @@ def test_constraints(spark, records):
         "a": (True, True),
         "b": (False, False),
     }
+
+
+def test_shared_and_repeated_keys(spark, records):
+    """A key on most lines, lines without a key, and a key that two records of the target hold."""
+    target = records.unionByName(spark.createDataFrame([(4, "k2", "Ready", 1.0)], records.schema))
+    source = _source(spark, [(1, "k2", "Ready", "1")] + [(i, "k1" if i % 3 else None, "Ready", "1") for i in range(2, 60)] + [(60, "k9", "Ready", "1")])
+    result = upsert(target, source, "id", "key")
+    lines = _lines(result)
+    assert len(lines) == 60 and lines[1] == ("error", None, ["key: several records have this key"])
+    assert lines[2][:2] == ("updated", 1) and lines[60][:2] == ("created", 5)
+    assert all(lines[i] == ("error", None, ["key: already used on line 2"]) for i in range(4, 60) if i % 3)
+    assert all(lines[i] == ("error", None, ["key: the merge key is missing"]) for i in range(3, 60, 3))
+    assert result.merged.count() == 5
+
+
+def test_few_and_many_ids_delete_the_same(spark, records, monkeypatch):
+    from recordloom.operators import changes
+
+    few = delete_records(records, [1, 3, 99], "id")
+    monkeypatch.setattr(changes, "FEW_IDS", 0)
+    many = delete_records(records, [1, 3, 99], "id")
+    for a, b in ((few.kept, many.kept), (few.deleted, many.deleted)):
+        assert sorted(a.collect(), key=str) == sorted(b.collect(), key=str)
+    assert few.deleted.count() == 2
