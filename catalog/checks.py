@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from recordloom.operators.constraints import FieldRule, check_constraints, check_parts
+from recordloom.operators.constraints import FieldRule, check_constraints, check_parts, violating_rows
 from recordloom.operators.contract import (
     conform,
     conformance,
@@ -24,6 +24,25 @@ from recordloom.session import scratch_path
 from . import query, table
 
 
+@query(
+    "constraint_rows",
+    """
+    WITH e AS (SELECT event_id, nullif(event_type, 'view') AS event_type, user_id FROM events)
+    SELECT *, 'event_type' AS _field, 'required' AS _rule FROM e WHERE event_type IS NULL
+    UNION ALL SELECT *, 'event_type', 'choice' FROM e WHERE event_type <> 'click'
+    UNION ALL SELECT *, 'event_id', 'positive key' FROM e WHERE event_id < 1
+    UNION ALL SELECT *, 'user_id', 'unique' FROM e WHERE user_id IN (SELECT user_id FROM e GROUP BY user_id HAVING count(*) > 1)
+    """,
+)
+def constraint_rows(spark, sf_dir):
+    """The rows behind the counts."""
+    events = table(spark, sf_dir, "events").select(
+        "event_id", F.nullif(F.col("event_type"), F.lit("view")).alias("event_type"), "user_id"
+    )
+    rules = [FieldRule("event_type", required=True, choices=["click"]), FieldRule("user_id", unique=True)]
+    return violating_rows(events, "event_id", rules)
+
+
 @query(
     "constraint_violations",
     """
@@ -221,6 +240,20 @@ def median_by_rank(spark, sf_dir):
     return found.withColumn("median", F.round("median", 6))
 
 
+@query(
+    "median_hot_value",
+    """
+    SELECT l_returnflag, median(CASE WHEN l_orderkey % 10 < 9 THEN 7.5 ELSE l_extendedprice END) AS median
+    FROM lineitem GROUP BY l_returnflag
+    """,
+)
+def median_hot_value(spark, sf_dir):
+    """One value on nine rows of ten, on the path for large groups."""
+    hot = F.when(F.col("l_orderkey") % 10 < 9, F.lit(7.5)).otherwise(F.col("l_extendedprice"))
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", hot.alias("v"))
+    return exact_median(lines, ["l_returnflag"], "v", "median", small_group=1)
+
+
 _SIGNALS = """
     WITH a AS (SELECT event_type, user_id, median(value) AS m, min(value) AS lo, max(value) AS hi
                FROM events WHERE ts >= TIMESTAMP '2024-01-15' GROUP BY ALL),

@@ -119,6 +119,23 @@ def one_page(spark, sf_dir):
     return page
 
 
+@query(
+    "query_page_grouped",
+    """
+    WITH g AS (SELECT DISTINCT c_mktsegment, c_nationkey FROM customer)
+    SELECT c_mktsegment, c_nationkey, 2 AS num_fields, least(greatest(n - 10, 0), 20) AS num_records, n AS total_records, 10 AS skip
+    FROM (SELECT * FROM g ORDER BY c_mktsegment, c_nationkey LIMIT 20 OFFSET 10), (SELECT count(*) AS n FROM g)
+    """,
+)
+def query_page_grouped(spark, sf_dir):
+    """A page of distinct combinations with its facts."""
+    page, facts = query_page(
+        table(spark, sf_dir, "customer"), ["c_mktsegment", "c_nationkey"], sort_by=[("c_mktsegment", "ASC"), ("c_nationkey", "ASC")],
+        skip=10, top=20, group_by=["c_mktsegment", "c_nationkey"],
+    )
+    return page.crossJoin(facts)  # facts are one row
+
+
 @query(
     "page_facts",
     """

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import col, resolve, resolve_all
 from ..session import stage
-from ..sources.files import _PIECE, _file_system, _open
+from ..sources.files import _PIECE, _file_system, _open, qualified
 
 # Version modes, characters file names may not hold, longest stored name.
 VERSION_MODES = ("all", "latest", "none")
@@ -248,7 +248,12 @@ def _writer(root: str, has_uri: bool, keep_going: bool):
 
 def _write_jobs(jobs: DataFrame, contents: DataFrame, root: str, keep_going: bool) -> DataFrame:
     source = "uri" if "uri" in contents.columns else "content"
+    spark = jobs.sparkSession
     work = jobs.join(contents.select(*_JOB_KEYS, source), _JOB_KEYS, "left")
+    if source == "uri":
+        # Job rows are tiny and copying is not: spread them, whatever their bytes.
+        work = work.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    root = qualified(spark, root)
     kept = [f for f in work.schema.fields if f.name != source]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
     schema += ", sha256 string, bytes bigint, status string, error string"

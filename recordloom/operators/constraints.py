@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.labels import col, resolve, unique_labels
 from ..functions.literals import is_text
+from ..session import stage
 
 
 @dataclass(frozen=True)
@@ -125,6 +126,39 @@ def check_constraints(
     return reduce(DataFrame.unionByName, parts)
 
 
+def violating_rows(df: DataFrame, key: str, rules: Sequence[FieldRule] = ()) -> DataFrame:
+    """The rows behind the counts of ``check_constraints``: all columns, ``_field`` and ``_rule``.
+
+    A row stands there once for each rule it breaks. Repeated values are found by an aggregate
+    and written, so the join with them has two plain sides and hot values can be split.
+    """
+    key = resolve(df.columns, key)
+    checks = [(key, "null key", col(key).isNull())]
+    if isinstance(df.schema[key].dataType, T.NumericType):
+        checks.append((key, "positive key", col(key) < 1))
+    checks += row_checks(df, rules)
+    broken = F.array_compact(
+        F.array(*[
+            F.when(check, F.struct(F.lit(name).alias("_field"), F.lit(rule).alias("_rule")))
+            for name, rule, check in checks
+        ])
+    )
+    named = [F.col("_broken._field").alias("_field"), F.col("_broken._rule").alias("_rule")]
+    own = [col(name) for name in df.columns]
+    parts = [df.select(*own, F.explode(broken).alias("_broken")).select(*own, *named)]
+    unique = [key] + [resolve(df.columns, rule.label) for rule in rules if rule.unique]
+    for name in dict.fromkeys(unique):
+        counts = df.where(col(name).isNotNull()).groupBy(col(name).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+        shared = stage(counts.where("_n > 1").select("_v"), "repeated-values")
+        rule = "unique key" if name == key else "unique"
+        parts.append(
+            df.join(shared, col(name) == F.col("_v"), "left_semi").select(
+                *own, F.lit(name).alias("_field"), F.lit(rule).alias("_rule")
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def check_parts(
     parts: Mapping[str, DataFrame], expected_rows: Mapping[str, int] | None = None
 ) -> DataFrame:

@@ -77,27 +77,46 @@ def running_sum(slices: DataFrame, group: Sequence[str], value: str, total: str)
 
 
 def exact_median(
-    df: DataFrame, group: Sequence[str], value: str, alias: str, small_group: int = SMALL_GROUP
-) -> DataFrame:
+    df: DataFrame, group: Sequence[str], value: str, alias: str, small_group: int = SMALL_GROUP,
+    sizes: DataFrame | None = None,
+) -> DataFrame:
     """Exact median per group.
 
-    Groups whose checked size is small use the built-in aggregate. Otherwise values are
-    ranked globally and the middle one or two of each group are picked by position, so a
-    hot group is never gathered in one task.
+    Groups whose checked size is small use the built-in aggregate. Otherwise equal values are
+    counted first, the counts are ranked globally, and the middle one or two places of each
+    group are looked up in them: neither a hot group nor a hot value is gathered in one task.
+    ``sizes`` (group columns and ``_size``) saves a scan where they are known.
     """
     rows = df.where(col(value).isNotNull()).select(*[col(key) for key in group], col(value))
-    sizes = rows.groupBy(*[col(key) for key in group]).agg(F.count(F.lit(1)).alias("_size"))
+    if sizes is None:
+        sizes = rows.groupBy(*[col(key) for key in group]).agg(F.count(F.lit(1)).alias("_size"))
     largest = sizes.agg(F.max("_size")).first()[0] or 0
     if largest <= small_group:
         return rows.groupBy(*[col(key) for key in group]).agg(F.median(col(value)).alias(alias))
-    slices = sorted_slices(rows.withColumn("_one", F.lit(1)), [*group, value], "median")
-    ranked = running_sum(slices, group, "_one", "_rank")
-    middle = F.col("_rank").between(
-        F.floor((F.col("_size") - 1) / 2), F.floor(F.col("_size") / 2)
-    )
+    counts = rows.groupBy(*[col(key) for key in group], col(value)).agg(F.count(F.lit(1)).alias("_n"))
+    slices = sorted_slices(counts, [*group, value], "median")
+    ranked = running_sum(slices, group, "_n", "_rank")
+
+    def holds(place: Column) -> Column:
+        return (F.col("_rank") <= place) & (place < F.col("_rank") + F.col("_n"))
+
+    low, high = holds(F.floor((F.col("_size") - 1) / 2)), holds(F.floor(F.col("_size") / 2))
     return (
         ranked.join(sizes, list(group))
-        .where(middle)
+        .where(low | high)
         .groupBy(*[col(key) for key in group])
-        .agg(F.avg(col(value)).alias(alias))
+        .agg(
+            ((F.sum(F.when(low, col(value))) + F.sum(F.when(high, col(value)))) / 2).alias(alias)
+        )
+    )
+
+
+def first_rows(df: DataFrame, count: int) -> DataFrame:
+    """Any ``count`` rows, taken in parallel: whole files of one write, and part of one more."""
+    slices = (
+        stage(df, "prefix")
+        .withColumn(SLICE, F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int"))
+        .withColumn(POSITION, F.col("_metadata.row_index"))
     )
+    placed = slices.join(_slice_offsets(slices), SLICE)
+    return placed.where(F.col("_before") + F.col(POSITION) < count).drop(SLICE, POSITION, "_before")

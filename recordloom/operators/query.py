@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import col, resolve, resolve_all
 from ..functions.predicates import RecordFilter
-from .ordering import global_rank
+from .ordering import first_rows, global_rank
 
 # Fixed value: records in one page unless asked otherwise.
 PAGE_SIZE = 1000
@@ -101,7 +101,8 @@ def run_query(
         else:
             if skip:
                 raise ValueError("skip needs sort_by or key: rows have no order of their own")
-            matching = matching.limit(top)
+            # a limit without an order sends all its rows through one task
+            matching = matching.limit(top) if top <= TOP_K_LIMIT else first_rows(matching, top)
     return matching.select(*[col(name) for name in wanted])
 
 
@@ -175,15 +176,22 @@ def page_facts(
     where: Where = None,
     skip: int = 0,
     top: int | None = PAGE_SIZE,
+    group_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row describing a page: fields, records in it, records in all, rows skipped."""
+    """One row describing a page: fields, records in it, records in all, rows skipped.
+
+    With ``group_by`` the records are the distinct combinations of these labels.
+    """
     _count(skip, "skip")
     _count(top, "top", optional=True)
+    matching = select_where(df, where)
+    if group_by:
+        matching = matching.select(*[col(n) for n in resolve_all(df.columns, group_by)]).distinct()
     fields = len(resolve_all(df.columns, select))
     total = F.col("total_records")
     rest = F.greatest(total - F.lit(skip), F.lit(0))
     return (
-        select_where(df, where)
+        matching
         .agg(F.count(F.lit(1)).alias("total_records"))
         .select(
             F.lit(fields).alias("num_fields"),
@@ -202,10 +210,11 @@ def query_page(
     skip: int = 0,
     top: int = PAGE_SIZE,
     key: str | None = None,
+    group_by: Sequence[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """One bounded page together with its facts."""
-    page = run_query(df, select, where, sort_by, None, skip, top, key)
-    return page, page_facts(df, select, where, skip, top)
+    """One bounded page, of records or of distinct combinations, together with its facts."""
+    page = run_query(df, select, where, sort_by, group_by, skip, top, key)
+    return page, page_facts(df, select, where, skip, top, group_by)
 
 
 def assign_pages(

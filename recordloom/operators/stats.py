@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.labels import col
+from ..session import stage
 from .ordering import SMALL_GROUP, exact_median
 
 # Fixed values of generated workloads.
@@ -23,6 +24,7 @@ def sample_summary(
 ) -> DataFrame:
     """Per group: samples, median, min, max, sample deviation and coefficient of variation."""
     rows = df.where(col(value).isNotNull())
+    # one row per group, read again for the sizes
     stats = rows.groupBy(*[col(name) for name in group]).agg(
         F.count(F.lit(1)).alias("samples"),
         F.min(col(value)).alias("min"),
@@ -30,7 +32,9 @@ def sample_summary(
         F.avg(col(value)).alias("_mean"),
         F.coalesce(F.stddev_samp(col(value)), F.lit(0.0)).alias("stdev"),
     )
-    medians = exact_median(rows, group, value, "median", small_group)
+    stats = stage(stats, "samples")
+    sizes = stats.select(*[col(name) for name in group], F.col("samples").alias("_size"))
+    medians = exact_median(rows, group, value, "median", small_group, sizes)
     ratio = F.when(F.col("_mean") == 0, 0.0).otherwise(F.col("stdev") / F.col("_mean"))
     return stats.join(medians, list(group)).select(
         *[col(name) for name in group],

@@ -31,6 +31,19 @@ def relative_path(column: str, root: str, encoded: bool = False):
     return F.substring_index(path, f"{plain}/", -1)
 
 
+def qualified(spark: SparkSession, location: str) -> str:
+    """The location with its scheme, as Spark's own readers and writers would take it.
+
+    Tasks open files themselves; without a scheme they would look on their own disks.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+#: Hadoop's names of schemes that pyarrow knows by another one.
+_SCHEMES = {"s3a:": "s3:", "s3n:": "s3:", "abfs:": "abfss:"}
+
+
 def _file_system(location: str):
     """The file system of a path or URI as Spark writes them, and the path on it."""
     from urllib.parse import quote
@@ -41,6 +54,9 @@ def _file_system(location: str):
         return fs.LocalFileSystem(), location
     if location.startswith("file:"):
         return fs.LocalFileSystem(), "/" + location.removeprefix("file:").lstrip("/")
+    for hadoop, arrow in _SCHEMES.items():
+        if location.startswith(hadoop):
+            location = arrow + location.removeprefix(hadoop)
     return fs.FileSystem.from_uri(quote(location, safe="/:@"))
 
 

@@ -149,3 +149,20 @@ def test_ingest_late_rows_and_replay(spark, tmp_path):
     _write_batch(again, 1, log, FEED)
     assert {r.id: r.v for r in overlay(base, read_log(spark, log, schema), FEED).collect()} == state
     assert compact(base, read_log(spark, log, schema), FEED, str(tmp_path / "t")).count() == 3
+
+
+def test_median_of_hot_values(spark):
+    from recordloom.operators.ordering import exact_median
+
+    values = [7.5] * 180 + [float(i) for i in range(20)]
+    df = spark.createDataFrame([("a", v) for v in values] + [("b", 1.0), ("b", 2.0), ("c", 4.0), ("d", None)], "g string, v double")
+    small = exact_median(df, ["g"], "v", "m").collect()
+    large = exact_median(df, ["g"], "v", "m", small_group=0).collect()
+    assert sorted(small) == sorted(large) and dict(map(tuple, small)) == {"a": 7.5, "b": 1.5, "c": 4.0}
+
+
+def test_locations_take_the_scheme_of_the_session(spark, tmp_path):
+    from recordloom.sources.files import _file_system, qualified
+
+    assert qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    assert _file_system(qualified(spark, str(tmp_path)))[1] == str(tmp_path)

@@ -111,3 +111,19 @@ def test_no_single_partition_for_whole_tables(people, ranked):
     else:
         df = run_query(people, ["Name"], sort_by=[("Name", "ASC")], key="Record ID#")
     assert "SinglePartition" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_large_limits_without_an_order(spark, monkeypatch):
+    """Beyond the limit for one task any rows are taken in parallel, as many as asked for."""
+    from recordloom.operators import query
+
+    monkeypatch.setattr(query, "TOP_K_LIMIT", 10)
+    df = spark.range(1000).repartition(7)
+    for top, want in ((5, 5), (11, 11), (400, 400), (5000, 1000)):
+        found = run_query(df, ["id"], top=top)
+        assert found.count() == want == found.distinct().count()
+
+
+def test_grouped_page_facts(people):
+    facts = page_facts(people, ["Name"], group_by=["Name"]).first()
+    assert facts.total_records == people.select("Name").distinct().count()
