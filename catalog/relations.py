@@ -325,6 +325,40 @@ def formula_chain_child(spark, sf_dir):
     )
 
 
+@query(
+    "formula_chain_deep",
+    f"""
+    WITH t AS (SELECT l_orderkey, sum({_NET}) FILTER (WHERE {_NET} > 1000) AS big FROM lineitem GROUP BY l_orderkey),
+    o AS (SELECT o_orderkey, o_custkey, big / o_totalprice AS score FROM orders LEFT JOIN t ON l_orderkey = o_orderkey),
+    c AS (SELECT o_custkey, max(score) AS best FROM o GROUP BY o_custkey)
+    SELECT o_orderkey, round(score, 6) AS score, round(score / best, 6) AS share
+    FROM o LEFT JOIN c ON o.o_custkey = c.o_custkey AND EXISTS (SELECT 1 FROM customer WHERE c_custkey = c.o_custkey)
+    """,
+)
+def formula_chain_deep(spark, sf_dir):
+    """Formula, filtered summary, formula, summary, lookup and formula over three tables."""
+    tables, _ = _chain(spark, sf_dir)
+    tables["orders"] = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    tables["customers"] = table(spark, sf_dir, "customer").select("c_custkey")
+    big = Summary("SUM", "net", "big", lambda w: w.greater_than("net", 1000), where_fields=["net"])
+    plan = Derivation(
+        {
+            "lines.net": Formula(_NET, depends_on=("lines.l_extendedprice", "lines.l_discount")),
+            "orders.score": Formula("big / o_totalprice", depends_on=("orders.big", "orders.o_totalprice")),
+            "orders.share": Formula("score / `customer - best`", depends_on=("orders.score", "orders.customer - best")),
+        },
+        [
+            Relationship("items", "orders", "lines", "o_orderkey", "l_orderkey", summaries=[big]),
+            Relationship(
+                "buyers", "customers", "orders", "c_custkey", "o_custkey", lookups=["best"],
+                summaries=[Summary("MAX", "score", "best")], fk_label="customer",
+            ),
+        ],
+    )
+    orders = derive(tables, plan)["orders"]
+    return orders.select("o_orderkey", F.round("score", 6).alias("score"), F.round("share", 6).alias("share"))
+
+
 @query(
     "derivation_counts",
     """

@@ -12,6 +12,7 @@ from recordloom.operators.changes import (
     modified_since,
     table_diff,
 )
+from recordloom.operators.commits import commit_delete, commit_upsert
 from recordloom.operators.constraints import FieldRule
 from recordloom.operators.query import select_where
 from recordloom.operators.upsert import batch_report, check_result, line_errors, upsert
@@ -54,6 +55,11 @@ _LINES = """
 def _status_upsert(spark, sf_dir):
     """Order statuses with missing, repeated, known and new keys and a choice not allowed."""
     orders = table(spark, sf_dir, "orders")
+    source, rules = _status_lines(orders)
+    return upsert(orders, source, "o_orderkey", "o_orderkey", rules=rules)
+
+
+def _status_lines(orders):
     source = orders.select(
         (F.col("o_orderkey") + 1).alias("line"),
         F.when(F.col("o_orderpriority") != "5-LOW", F.floor(F.col("o_orderkey") / 2) * 3).alias(
@@ -61,8 +67,7 @@ def _status_upsert(spark, sf_dir):
         ),
         "o_orderstatus",
     )
-    rules = [FieldRule("o_orderstatus", required=True, choices=["F", "O"])]
-    return upsert(orders, source, "o_orderkey", "o_orderkey", rules=rules)
+    return source, [FieldRule("o_orderstatus", required=True, choices=["F", "O"])]
 
 
 @query(
@@ -75,6 +80,37 @@ def upsert_lines(spark, sf_dir):
     return lines.withColumn("errors", F.array_join("errors", " | "))
 
 
+@query(
+    "upsert_commit",
+    _LINES
+    + """
+    SELECT o_orderkey + 1 AS o_orderkey, coalesce(s, o_orderstatus) AS o_orderstatus
+    FROM orders LEFT JOIN (SELECT * FROM lines WHERE action = 'updated') ON k = o_orderkey
+    UNION ALL SELECT k + 1, s FROM lines WHERE action = 'created'
+    """,
+)
+def upsert_commit(spark, sf_dir):
+    """The table as it is read after two equal commits, of which the second does nothing.
+
+    Record ids start at 1, so all keys are one higher here.
+    """
+    path, orders = scratch_path(spark, "orders"), table(spark, sf_dir, "orders")
+    orders.withColumn("o_orderkey", F.col("o_orderkey") + 1).write.parquet(path)
+    source, rules = _status_lines(orders)
+    source = source.withColumn("o_orderkey", F.col("o_orderkey") + 1)
+    for _ in range(2):
+        commit_upsert(spark, path, source, "o_orderkey", "statuses", merge_on="o_orderkey", rules=rules)
+    return spark.read.parquet(path).select("o_orderkey", "o_orderstatus")
+
+
+@query("delete_commit", "SELECT * FROM customer WHERE c_acctbal >= 0 OR c_acctbal IS NULL")
+def delete_commit(spark, sf_dir):
+    path = scratch_path(spark, "customer")
+    table(spark, sf_dir, "customer").write.parquet(path)
+    commit_delete(spark, path, lambda w: w.less_than("c_acctbal", 0))
+    return spark.read.parquet(path)
+
+
 @query(
     "upsert_hot_key",
     """

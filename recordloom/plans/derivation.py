@@ -14,8 +14,10 @@ from graphlib import CycleError, TopologicalSorter
 
 from pyspark.sql import DataFrame
 
+from ..functions.labels import col, resolve
 from ..operators.formulas import Formula, add_formulas
 from ..operators.relations import Summary, add_lookups, add_summaries, lookup_label
+from ..session import stage
 
 # Among fields that are ready, these come first.
 _PRIORITY = {"field": 0, "relationship": 1, "formula": 2, "lookup": 3, "summary": 3}
@@ -100,7 +102,11 @@ def order(tables: Mapping[str, DataFrame], plan: Derivation) -> Ordering:
 
 
 def derive(tables: Mapping[str, DataFrame], plan: Derivation) -> dict[str, DataFrame]:
-    """Every table with its derived fields, as lazy plans."""
+    """Every table with its derived fields.
+
+    What a relationship reads of a table that has derived fields already is written first, only
+    the columns it needs: each plan then grows by one join per relationship and level.
+    """
     needs, kinds = _dependencies(tables, plan)
     sorter = TopologicalSorter(needs)
     sorter.prepare()
@@ -116,25 +122,39 @@ def derive(tables: Mapping[str, DataFrame], plan: Derivation) -> dict[str, DataF
         for table, group in formulas.items():
             result[table] = add_formulas(result[table], group)
         for relation in plan.relationships:
-            _add_relationship(result, before, relation, set(level))
+            _add_relationship(tables, result, before, relation, set(level))
         sorter.done(*level)
     return result
 
 
-def _add_relationship(result, before, relation: Relationship, level: set[str]) -> None:
+def _side(tables, before, table: str, columns: list[str] | None) -> DataFrame:
+    """A table as a relationship reads it; written, and only these columns, once it has derived fields."""
+    df = before[table]
+    if df is tables[table]:
+        return df
+    if columns is not None:
+        df = df.select(*[col(name) for name in dict.fromkeys(resolve(df.columns, n) for n in columns)])
+    return stage(df, "derived")
+
+
+def _add_relationship(tables, result, before, relation: Relationship, level: set[str]) -> None:
     label = relation.fk_label or relation.fk
     lookups = [n for n in relation.lookups if f"{relation.child}.{lookup_label(label, n)}" in level]
     summaries = [s for s in relation.summaries if f"{relation.parent}.{s.name}" in level]
     if lookups:
         result[relation.child] = add_lookups(
             result[relation.child],
-            before[relation.parent],
+            _side(tables, before, relation.parent, [relation.key, *lookups]),
             relation.fk,
             relation.key,
             lookups,
             label,
         )
     if summaries:
+        # a filter that doesn't name what it reads may read any column
+        known = all(s.where is None or s.where_fields for s in summaries)
+        read = [relation.fk, *[n for s in summaries for n in (s.field, *s.where_fields) if n]]
+        child = _side(tables, before, relation.child, read if known else None)
         result[relation.parent] = add_summaries(
-            result[relation.parent], before[relation.child], relation.key, relation.fk, summaries
+            result[relation.parent], child, relation.key, relation.fk, summaries
         )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,8 +48,10 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the scratch folder."""
-    return f"{scratch_root(spark)}/recordloom/{name}-{uuid.uuid4().hex}"
+    """A new, unused path below the scratch folder; ``drop_staged`` removes what is put there."""
+    path = f"{scratch_root(spark)}/recordloom/{name}-{uuid.uuid4().hex}"
+    _staged.append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -58,7 +62,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.option("maxRecordsPerFile", 0).parquet(path)
-    _staged.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -70,6 +73,22 @@ def drop_staged(spark: SparkSession) -> int:
     return removed
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove what is staged inside this block when it ends.
+
+    For operations whose results are written within it: frames built on staged tables are
+    unreadable afterwards.
+    """
+    before = len(_staged)
+    try:
+        yield
+    finally:
+        for path in _staged[before:]:
+            remove(spark, path)
+        del _staged[before:]
+
+
 def _file_system(spark: SparkSession, path: str):
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)

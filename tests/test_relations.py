@@ -205,3 +205,36 @@ def test_summary_filter_on_a_derived_field(spark):
     plan = Derivation(formulas, [Relationship("r", "parents", "children", "id", "parent", summaries=[total])])
     found = {r["id"]: r["total"] for r in derive(tables, plan)["parents"].collect()}
     assert found == {1: 5.0, 2: None}
+
+
+def test_plans_grow_by_one_join_a_level(spark):
+    from recordloom.operators.formulas import Formula
+    from recordloom.operators.relations import Summary
+    from recordloom.plans.derivation import Derivation, Relationship, derive
+
+    def joins(levels):
+        tables = {"p": spark.range(5).withColumnRenamed("id", "pid"), "c": spark.range(20).selectExpr("id", "id % 5 AS fk", "1.0D AS v0")}
+        formulas, relations = {}, []
+        for n in range(levels):
+            relations.append(Relationship(f"r{n}", "p", "c", "pid", "fk", lookups=[f"s{n}"], summaries=[Summary("SUM", f"v{n}", f"s{n}")], fk_label=f"up{n}"))
+            formulas[f"c.v{n + 1}"] = Formula(f"`up{n} - s{n}` + 1", depends_on=(f"c.up{n} - s{n}",))
+        plan = derive(tables, Derivation(formulas, relations))["c"]
+        return plan._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+
+    assert [joins(n) for n in (1, 2, 3)] == [1, 2, 3]
+
+
+def test_order_as_rows(spark):
+    from pathlib import Path
+
+    from catalog.relations import _chain
+    from recordloom.plans.derivation import order
+
+    folder = "/root/testdata/sf0.001"
+    if not Path(folder).is_dir():
+        pytest.skip("no test tables")
+    assert order(*_chain(spark, folder)).ordered == (
+        "lines.l_discount", "lines.l_extendedprice", "lines.l_linenumber", "lines.l_orderkey", "lines.l_partkey",
+        "orders.o_orderkey", "orders.o_totalprice", "@order_lines", "lines.net", "orders.taxed", "lines.order - taxed",
+        "lines.plus_one", "orders.net_total", "orders.final",
+    )

@@ -293,3 +293,35 @@ def test_few_and_many_ids_delete_the_same(spark, records, monkeypatch):
     for a, b in ((few.kept, many.kept), (few.deleted, many.deleted)):
         assert sorted(a.collect(), key=str) == sorted(b.collect(), key=str)
     assert few.deleted.count() == 2
+
+
+def test_commits(spark, records, tmp_path):
+    from recordloom.operators import commits
+
+    path = str(tmp_path / "table")
+    records.write.parquet(path)
+    source = _source(spark, [(1, "k1", "Ready", "11"), (2, "k9", "Ready", "1")])
+    first = commits.commit_upsert(spark, path, source, "id", "one", merge_on="key")
+    assert {r.action for r in first.collect()} == {"updated", "created"}
+    assert commits.commit_upsert(spark, path, source, "id", "one", merge_on="key") is None
+    assert spark.read.parquet(path).count() == 4
+    assert commits.commit_delete(spark, path, [1, 2], "id", "two") == 2
+    assert commits.commit_delete(spark, path, [3], "id", "two") is None
+    assert spark.read.parquet(path).count() == 2
+    broken = source.withColumn("amount", F.raise_error(F.lit("boom")).cast("string"))
+    with pytest.raises(Exception, match="boom"):
+        commits.commit_upsert(spark, path, broken, "id", "three", merge_on="key")
+    assert spark.read.parquet(path).count() == 2 and [p.name for p in tmp_path.iterdir()] == ["table"]
+
+
+def test_staged_tables_have_an_owner(spark, records):
+    from recordloom.session import exists, scratch_path, stage, staging
+
+    outside = scratch_path(spark, "outside")
+    records.write.parquet(outside)
+    with staging(spark):
+        inside = scratch_path(spark, "inside")
+        records.write.parquet(inside)
+        staged = stage(records, "kept")
+        file = staged.inputFiles()[0]
+    assert exists(spark, outside) and not exists(spark, inside) and not exists(spark, file)
