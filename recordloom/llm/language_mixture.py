@@ -67,13 +67,15 @@ def _mixture(p: np.ndarray, count: np.ndarray, starts: np.ndarray, lengths: np.n
     """Shares and log-likelihood of each document over its allowed languages, by EM."""
     total = _sums(count, starts)
     shares = (allowed / allowed.sum(axis=1, keepdims=True)).astype(np.float32)
+    moving = np.ones(len(shares), bool)  # each document stops by itself, whatever others are in its slice
     for _ in range(ROUNDS):
         weighted = p * np.repeat(shares, lengths, axis=0)
         weighted *= (count / weighted.sum(axis=1))[:, None]
         after = _sums(weighted, starts) / total[:, None]
-        moved = np.abs(after - shares).max()
-        shares = after
-        if moved < TOLERANCE:
+        moved = np.abs(after - shares).max(axis=1)
+        shares[moving] = after[moving]
+        moving &= moved >= TOLERANCE
+        if not moving.any():
             break
     level = (p * np.repeat(shares, lengths, axis=0)).sum(axis=1)
     return shares, _sums(count * np.log(np.maximum(level, 1e-30)), starts)

@@ -254,6 +254,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, letters: LetterModel, sam
     order = np.argsort(wanted[keep])
     model = ToxicityModel(wanted[keep][order], weight[keep][order], None, letters)
     seen = _evidence(rows.withColumn("label", F.col("toxic").cast("double")), model, "label", "label double").toPandas()
+    seen = seen.sort_values([*_EVIDENCE, "label"])  # sums in the fit don't depend on the order of tasks
     model.judgement = _fit(seen[list(_EVIDENCE)].to_numpy(), seen["label"].to_numpy())
     return model
 
