@@ -594,6 +594,30 @@ def stream_statuses(spark, sf_dir):
     return batch_statuses(spark, log)
 
 
+@query(
+    "stream_late_rows",
+    """
+    WITH p AS (SELECT *, event_id % 3 AS part FROM events),
+    m AS (SELECT b.part, (SELECT max(ts) - INTERVAL 10 DAY FROM p WHERE p.part < b.part) AS mark FROM (SELECT DISTINCT part FROM p) b)
+    SELECT part AS batch_id, count(*) AS lines, count(*) FILTER (WHERE ts < mark) AS late_lines,
+           count(DISTINCT user_id) FILTER (WHERE mark IS NULL OR ts >= mark) AS changed_keys
+    FROM p JOIN m USING (part) GROUP BY part
+    """,
+)
+def stream_late_rows(spark, sf_dir):
+    """Three micro-batches over files of events, the later ones with rows behind the watermark."""
+    root = scratch_path(spark, "late-rows")
+    kind = F.when(F.col("event_type") == "error", "DELETE").otherwise("MODIFY")
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", kind.alias("change_type"), "value")
+    feed = ChangeFeed("user_id", "ts", "change_type", "event_id", "10 days")
+    for part in range(3):
+        events.where(F.col("event_id") % 3 == part).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{root}/in")
+        ingest(stream, f"{root}/log", f"{root}/checkpoint", feed).awaitTermination()
+    keys = read_log(spark, f"{root}/log", events.schema).groupBy("batch_id").agg(F.count(F.lit(1)).alias("changed_keys"))
+    return batch_statuses(spark, f"{root}/log").join(keys, "batch_id").select("batch_id", "lines", "late_lines", "changed_keys")
+
+
 _COUNTS = """
     SELECT date_trunc('day', ts) AS window_start,
            CASE WHEN event_type = 'error' THEN 'DELETE' ELSE 'MODIFY' END AS change_type,

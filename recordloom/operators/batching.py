@@ -10,6 +10,7 @@ packed independently.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -26,7 +27,10 @@ from .ordering import running_sum, sorted_slices
 MAX_BATCH_BYTES = 40_000_000
 SEPARATOR_BYTES = 2
 
+# A block is packed in one task: its bytes and, for tiny records, its rows are bounded. One batch
+# always fits into a block.
 _BLOCK_BYTES = 256 << 20
+_BLOCK_ROWS = 2_000_000
 
 
 class BatchSizeError(ValueError):
@@ -99,10 +103,12 @@ def _opened_blocks(df: DataFrame, rule: BatchRule) -> DataFrame:
     )
     slices = sorted_slices(sized, [*names, "_line"], "batch-lines")
     oversize = F.when(F.col("_step") > room, F.col("_line"))
-    worst = slices.agg(F.min(oversize).alias("line")).first()["line"]
+    facts = slices.agg(F.min(oversize).alias("line"), F.avg("_step").alias("mean")).first()
+    worst = facts["line"]
     if worst is not None:
         raise BatchSizeError(f"record at position {worst} exceeds {rule.max_bytes} bytes")
-    width = max(room, min(64 * room, rule.block_bytes))
+    mean = math.ceil(facts["mean"] or 1)
+    width = max(room, min(64 * room, rule.block_bytes, _BLOCK_ROWS * mean))
     placed = running_sum(slices, names, "_step", "_at").select(*names, "_line", "_step", "_at")
     blocks = stage(_with_halo(placed, width, room), "batch-blocks")
     return blocks.join(_block_openings(blocks, names, width, room), [*names, "_block"])

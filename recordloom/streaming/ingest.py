@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.labels import col
-from ..session import exists, publish, scratch_path
+from ..session import exists, publish, remove, scratch_path
 from ..operators.changes import DELETE
 
 
@@ -119,6 +119,26 @@ def compact(base: DataFrame, changes: DataFrame, feed: ChangeFeed, path: str) ->
     return spark.read.schema(base.schema).parquet(path)
 
 
+def compact_log(
+    base: DataFrame, log: str, schema: T.StructType, feed: ChangeFeed, path: str
+) -> DataFrame:
+    """Apply all logged changes to ``base``, write the result to ``path``, and trim the log.
+
+    Only micro-batches that were there at the start are applied and removed; what a running
+    ingestion adds meanwhile stays for the next time. The sightings behind the watermark stay.
+    A restarted ingestion repeats its last micro-batch at most, which changes nothing any more.
+    """
+    spark = base.sparkSession
+    changes = read_log(spark, log, schema)
+    last = changes.agg(F.max("batch_id").alias("last")).first()["last"]
+    if last is None:
+        return compact(base, changes.drop("batch_id"), feed, path)
+    result = compact(base, changes.where(F.col("batch_id") <= last).drop("batch_id"), feed, path)
+    for batch_id in [row["batch_id"] for row in batch_statuses(spark, log).where(F.col("batch_id") <= last).collect()]:
+        remove(spark, f"{log}/changes/batch_id={batch_id}")
+    return result
+
+
 def change_counts(
     changes: DataFrame, changed_at: str, change_type: str, window: str = "1 day"
 ) -> DataFrame:

@@ -18,6 +18,7 @@ from recordloom.streaming.ingest import (
     ChangeFeed,
     batch_statuses,
     compact,
+    compact_log,
     ingest,
     overlay,
     read_log,
@@ -149,6 +150,11 @@ def test_ingest_late_rows_and_replay(spark, tmp_path):
     _write_batch(again, 1, log, FEED)
     assert {r.id: r.v for r in overlay(base, read_log(spark, log, schema), FEED).collect()} == state
     assert compact(base, read_log(spark, log, schema), FEED, str(tmp_path / "t")).count() == 3
+    for round_ in range(2):  # the second time there is nothing left to apply
+        compacted = compact_log(base, log, schema, FEED, str(tmp_path / f"compacted{round_}"))
+        assert {r.id: r.v for r in compacted.collect()} == state
+        assert read_log(spark, log, schema).count() == 0
+        base = compacted
 
 
 def test_median_of_hot_values(spark):
