@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.llm.arrow_text import slices
+from recordloom.llm.hash_bits import hash_bits, split_by_bits
 from recordloom.llm.sketching import band_keys, fast_sketches, set_digest, shingle_sets
 from recordloom.session import stage
 
@@ -91,6 +92,8 @@ def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     texts = docs.select(
         F.col("doc_id").cast("long").alias("owner_id"), F.xxhash64("text").alias("owner_text"), "text"
     )
+    # most texts own no candidate class and are left where they are
+    texts, _ = split_by_bits(texts, F.col("owner_text"), hash_bits(nodes, "text_hash"))
     # null-safe on the id: a null id may own a class
     owned = texts.join(
         nodes.hint("shuffle_hash"),

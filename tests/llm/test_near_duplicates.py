@@ -102,3 +102,20 @@ def test_least_agreement_keeps_the_bound():
         least = module._least_agreement(percent / 100, 96) / 96
         kl = least * np.log(least * 100 / percent) + (1 - least) * np.log((1 - least) / (1 - percent / 100))
         assert least < percent / 100 and np.exp(-96 * kl) <= module.MISS
+
+
+def test_bits_never_lose_a_key(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from recordloom.llm import hash_bits as bits_module
+    from tests.llm.edges import with_clashes
+
+    rows = with_clashes(spark.range(3000).select(F.when(F.col("id") > 0, F.xxhash64("id")).alias("h"), "id"))
+    keys = rows.filter("id % 7 = 0")
+    for words in (1, 64, 1 << 18):
+        monkeypatch.setattr(bits_module, "WORDS", words)
+        maybe, sure = bits_module.split_by_bits(rows, F.col("h"), bits_module.hash_bits(keys, "h"))
+        assert maybe.columns == sure.columns == rows.columns
+        found = {r["id"] for r in maybe.select("id").collect()}
+        assert {i for i in range(0, 3000, 7)} <= found and len(found) + sure.count() == 3000
+    assert len(found) < 500
