@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.llm.decontamination import decontaminate
+from recordloom.llm.hash_bits import hash_bits, split_by_bits
 from recordloom.llm.language_mixture import identify_languages, learn_languages
 from recordloom.llm.mixing import mix_sources
 from recordloom.llm.near_duplicates import near_duplicates
@@ -55,7 +56,9 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = written(near_duplicates(docs), "near-duplicates")
     others = written(_keys(found.filter(~F.col("kept"))).distinct(), "near-duplicates")
-    kept = docs.join(others, _same_row(docs, others), "left_anti")
+    # documents that can't be among the others pass without a shuffle
+    maybe, sure = split_by_bits(docs, F.xxhash64("text"), hash_bits(others, "_text"))
+    kept = sure.union(maybe.join(others, _same_row(maybe, others), "left_anti"))
     # equal rows of a kept id are one document; where there are any, only they are shuffled
     equal = _keys(found.filter("kept")).groupBy("_id", "_text").agg(F.count("*").alias("rows")).filter("rows > 1")
     equal = written(equal.select("_id", "_text"), "near-duplicates")
