@@ -32,7 +32,7 @@ BANDS, ROWS = 24, 4
 #: Agreeing coordinates below this share rule a pair out: at a similarity of 0.85 the Chernoff bound
 #: for so few of 96 is 2.3e-8; at 0.8 and more the bound is chosen anew by ``_least_agreement``.
 MISS = 3e-8
-BLOCK_MEMBERS = 1024
+BLOCK_MEMBERS = 256
 
 
 def _least_agreement(similarity: float, size: int) -> int:
