@@ -48,8 +48,8 @@ RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 18, r"AKIA[A-Z0-9]{14,}"),
     Rule("hex", r"[0-9a-f]+", 0, 16, r"(?<![0-9a-f])[0-9a-f]{16,}"),
     Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 0, 40, r"gh[pousr]_[A-Za-z0-9]{36,}"),
-    Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", 0, 15, r"xox[abprs]-[A-Za-z0-9-]{10,}"),
+    Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
 )
 BASE_KINDS = ("assign", "access", "hex")
 _WORD_BITS = 62
