@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 from recordloom.llm.arrow_text import byte_values, mix, span_hashes, word_bounds
@@ -86,6 +88,4 @@ def band_keys(sketch: np.ndarray, rows: int) -> np.ndarray:
 
 def set_digest(items: np.ndarray) -> bytes:
     """16 bytes that are equal for equal sets."""
-    import hashlib
-
     return hashlib.blake2b(items.tobytes(), digest_size=16).digest()
