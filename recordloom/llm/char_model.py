@@ -18,6 +18,7 @@ from recordloom.llm.arrow_text import slices
 CLASSES = 155
 #: Groups that a task counts at a time; beyond, it hands on what it has.
 _GROUPS_HELD = 12
+_WAITING = 2_000_000
 
 
 def letter_classes() -> np.ndarray:
@@ -45,8 +46,17 @@ def trigram_counts(texts: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
+        waiting: dict[str, list[np.ndarray]] = {}
+
+        def add(least: int) -> None:
+            """Count what waits for a kind, once it is as much as a pass over its table is worth."""
+            for name, codes in waiting.items():
+                if sum(map(len, codes)) > least:
+                    held[name] += np.bincount(np.concatenate(codes), minlength=CLASSES**3).astype(np.int32)
+                    codes.clear()
 
         def emit() -> Iterator[pa.RecordBatch]:
+            add(0)
             for kind, counts in held.items():
                 gram = np.flatnonzero(counts)
                 yield pa.RecordBatch.from_arrays(
@@ -54,6 +64,7 @@ def trigram_counts(texts: DataFrame) -> DataFrame:
                     ["kind", "gram", "n"],
                 )
             held.clear()
+            waiting.clear()
 
         for batch in batches:
             kinds = batch.column("kind").to_pylist()
@@ -65,8 +76,9 @@ def trigram_counts(texts: DataFrame) -> DataFrame:
                     if name not in held:
                         if len(held) >= _GROUPS_HELD:
                             yield from emit()
-                        held[name] = np.zeros(CLASSES**3, np.int32)
-                    held[name] += np.bincount(codes[number == i], minlength=CLASSES**3).astype(np.int32)
+                        held[name], waiting[name] = np.zeros(CLASSES**3, np.int32), []
+                    waiting[name].append(codes[number == i])
+                add(_WAITING)
         yield from emit()
 
     return texts.select("kind", "text").mapInArrow(count, "kind string, gram int, n long").groupBy("kind", "gram").agg(

@@ -81,14 +81,21 @@ def _mixture(p: np.ndarray, count: np.ndarray, starts: np.ndarray, lengths: np.n
     return shares, _sums(count * np.log(np.maximum(level, 1e-30)), starts)
 
 
-def document_mixtures(codes: np.ndarray, doc: np.ndarray, n: int, model: LanguageModel) -> tuple[np.ndarray, np.ndarray]:
+def gram_places(model: LanguageModel) -> np.ndarray:
+    """The row of every possible trigram in the model's table."""
+    place = np.full(CLASSES**3, len(model.grams), np.int32)
+    place[model.grams] = np.arange(len(model.grams))
+    return place
+
+
+def document_mixtures(
+    codes: np.ndarray, doc: np.ndarray, n: int, model: LanguageModel, place: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
     """Language shares (documents by languages) and the share of known trigrams; zeros without trigrams."""
     shares = np.zeros((n, len(model.languages)), np.float32)
     known = np.zeros_like(shares)
     if not len(codes) or not len(model.languages):
         return shares, known
-    place = np.full(CLASSES**3, len(model.grams), np.int32)
-    place[model.grams] = np.arange(len(model.grams))
     width = len(model.grams) + 1
     keys = np.sort(doc.astype(np.int64) * width + place[codes])
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
@@ -133,11 +140,12 @@ def identify_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = LanguageModel(*shared.value)
+        place = gram_places(model)
         for batch in batches:
             letters = batch.column("letters").to_numpy(zero_copy_only=False)
             for low, high, data, bounds in slices(batch.column("text")):
                 codes, doc = trigram_codes(data, bounds)
-                shares, known = document_mixtures(codes, doc, high - low, model)
+                shares, known = document_mixtures(codes, doc, high - low, model, place)
                 langs, scores, mixtures = [], [], []
                 for i in range(high - low):
                     if not letters[low + i] or not shares[i].any():

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recordloom.llm.char_model import CLASSES, letter_classes, trigram_codes, trigram_counts
-from recordloom.llm.language_mixture import LanguageModel, document_mixtures, held_out, identify_languages, learn_languages
+from recordloom.llm.language_mixture import LanguageModel, document_mixtures, gram_places, held_out, identify_languages, learn_languages
 from tests.llm.edges import EDGE_TEXTS, documents, empty
 
 ENGLISH = "the quick brown fox and the lazy dog were seen with their friends in the old town where they had been living"
@@ -61,7 +61,7 @@ def test_em_matches_a_plain_loop():
     p = rng.dirichlet(np.ones(41), 3).T.astype(np.float32)
     model = LanguageModel(["a", "b", "c"], grams, p, np.ones((41, 3), bool))
     codes = np.concatenate([rng.choice(grams, 400, p=p[:40, 0] / p[:40, 0].sum()), rng.choice(grams, 400, p=p[:40, 2] / p[:40, 2].sum())])
-    shares, known = document_mixtures(codes, np.zeros(800, np.int32), 1, model)
+    shares, known = document_mixtures(codes, np.zeros(800, np.int32), 1, model, gram_places(model))
     x, pi = p[codes - grams[0]][:, [0, 2]].astype(float), np.array([0.5, 0.5])
     for _ in range(400):
         pi = (x * pi / (x * pi).sum(axis=1, keepdims=True)).mean(axis=0)
