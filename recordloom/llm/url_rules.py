@@ -79,6 +79,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, key: str = "page_id", default
     )
     # written: two plain sides let Spark split a hot URL in this join
     best = stage(best.select("host", "path", "best.rule", "best.verdict"), "url-verdicts")
-    return urls.join(best, ["host", "path"], "left").select(
+    # merged, not broadcast: verdicts grow with the pages, and their files are small beside their rows
+    return urls.join(best.hint("merge"), ["host", "path"], "left").select(
         key, "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict")
     )
