@@ -3,7 +3,7 @@
 Stages keep all columns of ``documents``, whatever further ones there are, and decide on whole texts:
 
 1. language ID drops documents without a language, or of whose text no learned language explains a fifth;
-2. near duplicates keep one document of each group, that with the smallest id;
+2. near duplicates, linked from 80 percent of their five-word shingles on, keep one document of each group, the smallest id;
 3. decontamination cuts passages of ``benchmark`` out of texts and drops documents that are mostly such passages;
 4. secret scans replace secrets by a mark;
 5. mixing keeps what the target weights take: ``taken`` words of each document, none that takes nothing.
@@ -27,6 +27,7 @@ from recordloom.session import scratch_path
 from recordloom.session import stage as written
 
 LEAST_LANGUAGE_SCORE = 0.2
+NEAR_DUPLICATE_PERCENT = 80
 
 
 def _same_row(docs: DataFrame, found: DataFrame) -> Column:
@@ -54,7 +55,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = written(near_duplicates(docs), "near-duplicates")
+    found = written(near_duplicates(docs, NEAR_DUPLICATE_PERCENT), "near-duplicates")
     others = written(_keys(found.filter(~F.col("kept"))).distinct(), "near-duplicates")
     # documents that can't be among the others pass without a shuffle
     maybe, sure = split_by_bits(docs, F.xxhash64("text"), hash_bits(others, "_text"))

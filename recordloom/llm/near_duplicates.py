@@ -27,14 +27,19 @@ from recordloom.llm.hash_bits import hash_bits, split_by_bits
 from recordloom.llm.sketching import band_keys, fast_sketches, set_digest, shingle_sets
 from recordloom.session import stage
 
-#: 24 bands of 4 coordinates: a pair of similarity 0.85 shares none with a chance of 2e-8.
-BANDS, ROWS = 24, 4
+#: 24 bands of 4 coordinates: a pair of similarity 0.85 shares none with a chance of 2e-8. Below 0.85 there are
+#: 32 bands, which a pair of similarity 0.8 misses with 5e-8; ``fast_sketches`` orders at most 128 coordinates.
+BANDS, WIDE_BANDS, ROWS = 24, 32, 4
 #: Agreeing coordinates below this share rule a pair out: at a similarity of 0.85 the Chernoff bound
 #: for so few of 96 is 2.3e-8; at 0.8 and more the bound is chosen anew by ``_least_agreement``.
 MISS = 3e-8
 BLOCK_MEMBERS = 256
 
 
+def _bands(percent: int) -> int:
+    return BANDS if percent >= 85 else WIDE_BANDS
+
+
 def _least_agreement(similarity: float, size: int) -> int:
     """The most coordinates that may be asked for while a linked pair fails with at most ``MISS``."""
     for agree in range(int(size * similarity), 0, -1):
@@ -49,14 +54,14 @@ def _linked(common: int, left: int, right: int, percent: int) -> bool:
     return 100 * common >= percent * (left + right - common)
 
 
-def sketch_documents(docs: DataFrame, width: int = 5) -> DataFrame:
+def sketch_documents(docs: DataFrame, width: int = 5, bands: int = BANDS) -> DataFrame:
     """One row per document: id, text hash, shingle count, set digest, sketch bytes, band keys."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, high, data, bounds in slices(batch.column("text")):
                 sets = shingle_sets(data, bounds, width)
-                coordinates = fast_sketches(sets, BANDS * ROWS)
+                coordinates = fast_sketches(sets, bands * ROWS)
                 keys = band_keys(coordinates, ROWS).view(np.int64)
                 small = (coordinates & np.uint64(255)).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
@@ -160,7 +165,7 @@ def _contested_links(members: DataFrame, labels: DataFrame, sets: DataFrame, per
     ``BLOCK_MEMBERS``; rest against rest and rest against the largest are compared, never the
     largest with itself.
     """
-    least = _least_agreement(percent / 100, BANDS * ROWS)
+    least = _least_agreement(percent / 100, _bands(percent) * ROWS)
 
     def compare(block: pd.DataFrame) -> pd.DataFrame:
         size = block["n"].to_numpy()
@@ -236,7 +241,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5) -> DataF
     """
     if not 80 <= percent <= 100:
         raise ValueError("the bands are laid out for similarities of 80 percent and more")
-    rows = stage(sketch_documents(docs, width), "sketches")
+    rows = stage(sketch_documents(docs, width, _bands(percent)), "sketches")
     classes = stage(
         rows.filter("n > 0").groupBy("node").agg(
             F.min("doc_id").alias("least_id"),

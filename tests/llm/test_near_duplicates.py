@@ -104,6 +104,18 @@ def test_least_agreement_keeps_the_bound():
         assert least < percent / 100 and np.exp(-96 * kl) <= module.MISS
 
 
+def test_bands_keep_pairs_at_the_threshold():
+    for percent in (80, 84, 85, 95):
+        assert (1 - (percent / 100) ** module.ROWS) ** module._bands(percent) <= 5e-8
+        assert module._bands(percent) * module.ROWS <= 128
+
+
+def test_threshold_of_80_against_all_pairs(spark):
+    rows = [(100 + i, t) for i, t in corpus(4, 25, 10, 8)] + EDGE_TEXTS
+    found = near_duplicates(documents(spark, rows), 80).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert sorted(map(tuple, found), key=repr) == brute(rows, 80) != brute(rows)
+
+
 def test_bits_never_lose_a_key(spark, monkeypatch):
     from pyspark.sql import functions as F
 

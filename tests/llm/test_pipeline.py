@@ -65,6 +65,16 @@ def test_stages(spark, tmp_path):
     assert all(r["n_chars"] == len(r["text"]) for r in docs.collect())
 
 
+def test_near_duplicates_from_80_percent(spark):
+    """80 of 100 shingles are near copies for the stage, 79 are not."""
+    rows = []
+    for start, shared in ((10, 84), (20, 83)):
+        words = [f"t{start}x{i}" for i in range(104)]
+        rows += [(start, " ".join(words)), (start + 1, " ".join(words[:shared]))]
+    kept = corpus_pipeline.near_duplicate_stage(spark, documents(spark, rows), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [10, 20, 21]
+
+
 def test_run_without_further_columns(spark, tmp_path):
     folder = str(tmp_path / "tables")
     rng = random.Random(1)
