@@ -132,11 +132,28 @@ def document_mixtures(
     return shares, known
 
 
+def explained_shares(
+    codes: np.ndarray, doc: np.ndarray, shares: np.ndarray, model: LanguageModel, place: np.ndarray
+) -> np.ndarray:
+    """The share of each document's trigrams that any language of its mixture knows."""
+    total, held = np.zeros(len(shares)), np.zeros(len(shares))
+    if len(codes) and len(model.languages):
+        rows, mixed = place[codes], shares > 0
+        hit = np.zeros(len(codes), bool)
+        for k in range(len(model.languages)):
+            hit |= model.seen[rows, k] & mixed[doc, k]
+        total, held = np.bincount(doc, minlength=len(shares)), np.bincount(doc, hit, len(shares))
+    return held / np.maximum(total, 1)
+
+
 def identify_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """``doc_id, text_hash, lang_pred, score, mixture`` for each row; mixture is ``language:share`` by share."""
+    """``doc_id, text_hash, lang_pred, score, mixture, explained`` for each row.
+
+    Mixture is ``language:share`` by share, explained the share of trigrams that any of these languages knows.
+    """
     # plain arrays: tasks need no installed copy of this package to read them
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.grams, model.probability, model.seen))
-    columns = ["doc_id", "text_hash", "lang_pred", "score", "mixture"]
+    columns = ["doc_id", "text_hash", "lang_pred", "score", "mixture", "explained"]
 
     def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = LanguageModel(*shared.value)
@@ -146,6 +163,7 @@ def identify_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
             for low, high, data, bounds in slices(batch.column("text")):
                 codes, doc = trigram_codes(data, bounds)
                 shares, known = document_mixtures(codes, doc, high - low, model, place)
+                explained = explained_shares(codes, doc, shares, model, place)
                 langs, scores, mixtures = [], [], []
                 for i in range(high - low):
                     if not letters[low + i] or not shares[i].any():
@@ -157,7 +175,8 @@ def identify_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
                     mixtures.append(",".join(f"{model.languages[k]}:{shares[i, k]:.3f}" for k in order if shares[i, k] >= 5e-4))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(low, high - low), batch.column("text_hash").slice(low, high - low),
-                     pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(mixtures, pa.string())],
+                     pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(mixtures, pa.string()),
+                     pa.array(explained, pa.float64())],
                     columns,
                 )
 
@@ -165,4 +184,4 @@ def identify_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"),
         F.coalesce(F.regexp("text", F.lit(r"\p{L}")), F.lit(False)).alias("letters"),
     )
-    return rows.mapInArrow(identify, "doc_id long, text_hash long, lang_pred string, score double, mixture string")
+    return rows.mapInArrow(identify, "doc_id long, text_hash long, lang_pred string, score double, mixture string, explained double")

@@ -65,6 +65,17 @@ def test_stages(spark, tmp_path):
     assert all(r["n_chars"] == len(r["text"]) for r in docs.collect())
 
 
+def test_many_languages_in_one_document(spark):
+    """Seven languages in equal parts: each explains a small share, all together explain everything."""
+    rng = random.Random(2)
+    letters, rows = "abcdefghijklmnopqrstu", []
+    texts = [" ".join("".join(rng.choice(letters[3 * k : 3 * k + 3]) for _ in range(6)) for _ in range(80)) for k in range(7)]
+    rows = [(k, text, f"l{k}") for k, text in enumerate(texts)] + [(100, " ".join(texts), None), (101, "vwxyz zyxwv " * 40, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = corpus_pipeline.language_stage(spark, docs, "")
+    assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] >= 100) == [100]
+
+
 def test_near_duplicates_from_80_percent(spark):
     """80 of 100 shingles are near copies for the stage, 79 are not."""
     rows = []
