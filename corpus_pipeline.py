@@ -3,6 +3,7 @@
 Stages keep all columns of ``documents``, whatever further ones there are, and decide on whole texts:
 
 1. language ID drops documents without a language, or of whose text the languages of its mixture explain less than a fifth;
+   it learns from all documents with a language;
 2. near duplicates, linked from 80 percent of their five-word shingles on, keep one document of each group, the smallest id;
 3. decontamination cuts passages of ``benchmark`` out of texts and drops documents that are mostly such passages;
 4. secret scans replace secrets by a mark;
@@ -46,8 +47,7 @@ def _with_length(docs: DataFrame) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2
-    found = identify_languages(docs, learn_languages(docs.filter(learn)))
+    found = identify_languages(docs, learn_languages(docs))
     refused = _keys(found.filter((F.col("lang_pred") == "und") | (F.col("explained") < LEAST_EXPLAINED))).distinct()
     # written first, so its size is known and texts are shuffled only where it is too large to send around
     refused = written(refused, "refused")

@@ -6,7 +6,7 @@ log-likelihood pays for a penalty that grows with the document's logarithm. The
 largest share; the score is that share times the share of trigrams the language knows.
 
 A text that is null or has no letter is ``und`` with score 0, and so is every text where nothing was learned. Ties go to the
-language that sorts first. Rows with a null language or id are predicted but not learned from, repeated rows count as often as
+language that sorts first. Rows with a null language are predicted but not learned from, repeated rows count as often as
 they stand there. The model has at most ``CLASSES ** 3`` numbers per language and is what tasks get broadcast. Only
 ``doc_id``, ``text`` and, to learn, ``lang`` are read.
 """

@@ -1,6 +1,7 @@
 """The pipeline against a brute-force version of each stage's decision on small, awkward documents."""
 
 import random
+from zlib import crc32
 
 import corpus_pipeline
 from tests.llm.edges import EDGE_TEXTS, documents
@@ -76,6 +77,16 @@ def test_many_languages_in_one_document(spark):
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] >= 100) == [100]
 
 
+def test_language_stage_learns_from_all_documents(spark):
+    """A language whose only documents op1 would hold out is known to the stage."""
+    rows = [(i, "the garden was quiet and people were walking " * 5, "en") for i in range(40) if crc32(b"%d" % i) % 4 != 2]
+    held = [i for i in range(100, 200) if crc32(b"%d" % i) % 4 == 2][:2]
+    rows += [(i, "xyzzy qwxq zyqx xqyz wqzx " * 5, "xx") for i in held]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = corpus_pipeline.language_stage(spark, docs, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, _, _ in rows)
+
+
 def test_near_duplicates_from_80_percent(spark):
     """80 of 100 shingles are near copies for the stage, 79 are not."""
     rows = []
