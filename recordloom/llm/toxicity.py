@@ -1,9 +1,9 @@
 """Toxicity by a noisy channel: disguised words are restored by Viterbi decoding, then texts are scored.
 
 A token of letters, digits and signs is a lattice: letters stay or, repeated, may fall away; signs and digits stand for the
-letters they look like or fall away; separators between single letters fall away. The path with the best sum of channel
-costs and a letter-trigram model of the whole corpus is the restored word. Plain tokens are single paths and
-need no decoding.
+letters they look like or fall away; separators between letters and pieces fall away. The path with the best sum of channel
+costs and a letter-trigram model of the whole corpus is the restored word. Tokens with a single path
+need no decoding; all others are decoded, see ``disguised``.
 
 Scores come from the distinct words of a text, plain and restored: a word counts by its strongest feature, itself or its
 first 4, 5 or 6 bytes, and a logistic regression judges sum, largest, number and rate of such words. Both are learned
@@ -41,16 +41,17 @@ LOOK_COST, TWICE_COST, REPEAT_COST, SEPARATOR_COST, DROP_COST = 0.7, 4.0, 0.1, 0
 _PREFIXES = (0, 4, 5, 6)  # 0: the whole word
 _SALTS = mix(np.arange(1, 5, dtype=np.uint64))
 _LEAST_POSITIVE = 4
+_JOINED = 6
+#: Restored tokens that a task holds at most; beyond, it starts anew.
+_MEMO = 200_000
 
 
 def _byte_kinds() -> dict[str, np.ndarray]:
-    kinds = {name: np.zeros(256, bool) for name in ("letter", "sign", "weak", "gap")}
+    kinds = {name: np.zeros(256, bool) for name in ("letter", "sign", "look", "gap")}
     kinds["letter"][97:123] = kinds["letter"][65:91] = kinds["letter"][128:] = True
     for sign in LOOKS_LIKE:
-        kinds["sign"][ord(sign)] = True
+        kinds["sign"][ord(sign)] = kinds["look"][ord(sign)] = True
     kinds["sign"][48:58] = True
-    for sign in "!|+":
-        kinds["weak"][ord(sign)] = True
     for sign in " .-_*":
         kinds["gap"][ord(sign)] = True
     return kinds
@@ -112,61 +113,104 @@ def restore(token: str, cost: list) -> str:
     return "".join(reversed(letters))
 
 
-def disguised(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """``(document, start, end)`` of tokens that may be disguised words.
+def disguised(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Rows ``document, start, end`` of the spans that may be disguised words: those with more than one path.
 
-    These are tokens with a letter and an inner digit or sign, or with a letter three times in a row, and single
-    characters that stand apart, four or more in a row.
+    These are tokens with a letter and a digit or sign, with a doubled letter, or of look-alikes only; three or more single
+    characters with nothing but gap characters between them; and tokens joined by gap characters without a space: all of
+    such a chain, and every two to ``_JOINED`` neighbours in it. Exclamation marks that end a token are read as punctuation
+    and, where the token has other signs, also as letters. Longer pieces are not joined across spaces, which part
+    ordinary short words.
     """
     kinds = _byte_kinds()
     inside = kinds["letter"][data] | kinds["sign"][data]
     starts, ends, doc = word_bounds(~inside, bounds)
     if not len(starts):
-        return
-    letter, sign, weak = (kinds[k][data].astype(np.int64) for k in ("letter", "sign", "weak"))
-    followed = np.zeros(len(data), np.int64)
-    followed[:-1] = letter[1:] * inside[:-1]
-    strong = sign * (1 - weak * (1 - followed))
-    folded = letter_classes()[data]
-    triple = np.zeros(len(data), np.int64)
-    triple[2:] = (folded[2:] > 0) & (folded[2:] < 27) & (folded[2:] == folded[1:-1]) & (folded[1:-1] == folded[:-2])
-    per_token = lambda x: np.add.reduceat(x, starts)  # noqa: E731  signs between tokens count as zero
-    odd = ((per_token(letter) > 0) & (per_token(strong) > 0)) | (per_token(triple * inside) > 0)
-    for i in np.flatnonzero(odd):
-        yield int(doc[i]), int(starts[i]), int(ends[i])
+        return np.zeros((0, 3), np.int64)
+    folded, places = letter_classes()[data], np.arange(1, len(data) + 1)
+    double = np.zeros(len(data), bool)
+    double[1:] = (folded[1:] > 0) & (folded[1:] < 27) & (folded[1:] == folded[:-1])
+
+    def within(which: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        total = np.concatenate(([0], np.cumsum(which)))
+        return total[high] - total[low]
+
+    # signs between tokens are not inside and count as zero
+    body = np.maximum(np.maximum.reduceat(np.where(inside & (data != ord("!")), places, 0), starts), starts)
+    letter, sign, look = (kinds[k][data] for k in ("letter", "sign", "look"))
+    signs, letters = within(sign, starts, body), within(letter, starts, body)
+    doubled = within(double, np.minimum(starts + 1, body), body)  # the byte before a start may be another document's
+    alike = (body - starts > 1) & (within(look, starts, body) == body - starts)
+    mixed = (letters > 0) & (signs > 0)
+    odd = mixed | (doubled > 0) | alike
+    ended = (mixed | alike) & (ends > body)
+    found = [(doc[odd], starts[odd], body[odd]), (doc[ended], starts[ended], ends[ended])]
+
+    # linked[i]: only gap characters part token i from the one before it; tight[i]: and no space
+    linked, tight = np.zeros(len(starts), bool), np.zeros(len(starts), bool)
+    linked[1:] = (doc[1:] == doc[:-1]) & (within(~kinds["gap"][data], ends[:-1], starts[1:]) == 0) & (starts[1:] > ends[:-1])
+    tight[1:] = linked[1:] & (within(data == ord(" "), ends[:-1], starts[1:]) == 0)
     single = ends - starts == 1
-    linked = np.zeros(len(starts), bool)
-    linked[1:] = single[1:] & single[:-1] & (doc[1:] == doc[:-1]) & (starts[1:] == ends[:-1] + 1)
-    linked[1:] &= kinds["gap"][data[np.minimum(ends[:-1], len(data) - 1)]]
-    edge = np.flatnonzero(np.diff(np.concatenate(([False], linked, [False])).astype(np.int8)))
-    for low, high in zip(edge[::2], edge[1::2]):
-        if high - low >= 3:
-            yield int(doc[low]), int(starts[low - 1]), int(ends[high - 1])
+    alone = linked & single
+    alone[1:] &= single[:-1]
+
+    def runs(links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last tokens of maximal runs."""
+        edge = np.flatnonzero(np.diff(np.concatenate((links, [False])).astype(np.int8)))
+        return edge[::2], edge[1::2]
+
+    first, last = runs(alone)
+    long_ = last - first >= 2
+    joins = [(first[long_], last[long_])]
+    if tight.any():
+        joins.append(runs(tight))
+        chained = np.cumsum(tight)
+        for size in range(1, _JOINED):
+            low = np.arange(len(starts) - size)
+            joins.append((low := low[chained[low + size] - chained[low] == size], low + size))
+        singles = np.concatenate(([0], np.cumsum(single)))
+        joins[1:] = [(low[keep], high[keep]) for low, high in joins[1:] for keep in [singles[high + 1] - singles[low] < high + 1 - low]]
+    for low, high in joins:
+        begin, end = starts[low], ends[high]
+        word = (within(letter, begin, end) > 0) | (within(look, begin, end) == within(inside, begin, end))
+        found.append((doc[low][word], begin[word], end[word]))
+    return np.unique(np.concatenate([np.stack(part, axis=1) for part in found]).astype(np.int64), axis=0)
 
 
 class WordFeatures:
     """Hashed features of the words of a slice, plain ones and those that decoding restores."""
 
-    def __init__(self, cost: list, memo: dict[bytes, str]) -> None:
+    def __init__(self, cost: list, memo: dict[bytes, bytes]) -> None:
         self.cost, self.memo, self.values = cost, memo, byte_values(lower=True)
         self.apart = ~_byte_kinds()["letter"]
 
-    def of(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Documents of all words, and a row of feature hashes for each word; column 0 is the word itself."""
+    def of(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """Documents of all words, a row of feature hashes for each (column 0 is the word itself), the number of plain ones.
+
+        Plain words come first; a restored word follows only where it differs from what stands there.
+        """
         doc, hashes = self._of_words(data, bounds)
-        found: list[tuple[int, str]] = []
-        for owner, start, end in disguised(data, bounds):
-            token = data[start:end].tobytes().lower()
-            if token not in self.memo:
-                self.memo[token] = restore(token.decode(errors="replace"), self.cost)
-            found.append((owner, self.memo[token]))
-        if found:
-            words = [word.encode() + b" " for _, word in found]
+        plain, found = len(doc), disguised(data, bounds)
+        if len(found):
+            _, first, same = np.unique(span_hashes(data, found[:, 1], found[:, 2], self.values), return_index=True, return_inverse=True)
+            words = [self._restored(data[start:end].tobytes().lower()) + b" " for _, start, end in found[first].tolist()]
             edges = np.concatenate(([0], np.cumsum([len(w) for w in words])))
             place, more = self._of_words(np.frombuffer(b"".join(words), np.uint8), edges)
-            doc = np.concatenate((doc, np.array([owner for owner, _ in found])[place]))
-            hashes = np.concatenate((hashes, more))
-        return doc, hashes
+            row = np.full(len(words), -1)
+            row[place] = np.arange(len(place))
+            row = row[same]
+            doc = np.concatenate((doc, found[row >= 0, 0]))
+            hashes = np.concatenate((hashes, more[row[row >= 0]]))
+        return doc, hashes, plain
+
+    def _restored(self, token: bytes) -> bytes:
+        """The restored word, nothing if that is the token."""
+        if token not in self.memo:
+            if len(self.memo) >= _MEMO:
+                self.memo.clear()
+            word = restore(token.decode(errors="replace"), self.cost).encode()
+            self.memo[token] = b"" if word == token else word
+        return self.memo[token]
 
     def _of_words(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts, ends, doc = word_bounds(self.apart[data], bounds)
@@ -201,7 +245,7 @@ def _feature_counts(rows: DataFrame, letters: LetterModel, wanted: np.ndarray |
         maker = WordFeatures(cost.tolist(), {})
         for batch in batches:
             for _, _, data, bounds in slices(batch.column("text")):
-                doc, hashes = maker.of(data, bounds)
+                doc, hashes, _ = maker.of(data, bounds)
                 flat, owner = hashes.ravel(), np.repeat(doc, hashes.shape[1])
                 if only is not None:
                     held = np.isin(flat, only)
@@ -274,7 +318,7 @@ def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 #: What a text shows: the sum and the largest of its words' weights, the logarithm of their number, and their number
-#: among a hundred words.
+#: among a hundred plain words.
 _EVIDENCE = ("total", "largest", "words", "rate")
 
 
@@ -293,8 +337,8 @@ def _evidence(docs: DataFrame, model: ToxicityModel, key: str, key_type: str) ->
             for low, high, data, bounds in slices(batch.column("text")):
                 seen = np.zeros((4, high - low))
                 if len(features):
-                    doc, hashes = maker.of(data, bounds)
-                    count = np.maximum(np.bincount(doc, minlength=high - low), 1)
+                    doc, hashes, plain = maker.of(data, bounds)
+                    count = np.maximum(np.bincount(doc[:plain], minlength=high - low), 1)
                     at = np.flatnonzero(maybe[hashes & low_bits].any(axis=1))
                     doc, hashes = doc[at], hashes[at]
                     place = np.minimum(np.searchsorted(features, hashes), len(features) - 1)
@@ -307,7 +351,7 @@ def _evidence(docs: DataFrame, model: ToxicityModel, key: str, key_type: str) ->
                     np.add.at(seen[0], doc, best)
                     np.maximum.at(seen[1], doc, best)
                     found = np.bincount(doc, minlength=high - low)
-                    seen[2], seen[3] = np.log1p(found), 100 * found / count
+                    seen[2], seen[3] = np.log1p(found), 100 * found / np.maximum(count, found)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(key).slice(low, high - low), *map(pa.array, seen)], [key, *_EVIDENCE]
                 )

@@ -50,6 +50,28 @@ def test_scores(spark, model):
     assert got[0] == got[5] == got[6]
 
 
+def test_scores_of_disguised_words(spark, model):
+    plain = "the river was quiet"
+    forms = "stuupid idiiot st_u_pid stu.pid STU--PID i__d__i__o__t l0s3r 1d10+ $tup!d! you.stu.pid".split()
+    forms += ["i  d  i  o  t", "s - t - u - p - i - d", "l.o.s.e.r"]
+    got = scores(spark, model, [f"{plain} {form}" for form in forms])
+    assert [form for form, score in zip(forms, got) if score < 0.5] == []
+    clean = ["the well-known river.The garden", "3.14 and 1.000", "a b", "all been seen", "now!! hello!", "| a | b |"]
+    assert all(s < 0.5 for s in scores(spark, model, [f"{plain} {text}" for text in clean]))
+
+
+def test_more_tokens_found():
+    def found(text):
+        text = text.encode()
+        return sorted(text[s:e].decode() for _, s, e in disguised(np.frombuffer(text, np.uint8), np.array([0, len(text)])))
+
+    assert found("stuupid a s s 455 sh!+ 2023 end. The") == ["455", "a s s", "sh!+", "stuupid"]
+    assert found("x  y .. z") == ["x  y .. z"] and found("st_u_pid") == ["st_u", "st_u_pid", "u_pid"]
+    assert found("") == found("one.") == found("as she is") == []
+    # the last letter of a document and the first of the next are no double
+    assert len(disguised(np.frombuffer(b"abba", np.uint8), np.array([0, 2, 4]))) == 0
+
+
 def test_edges(spark, model):
     found = score_toxicity(documents(spark), model).collect()
     assert len(found) == len(EDGE_TEXTS) and all(0 <= r["score"] <= 1 for r in found)
