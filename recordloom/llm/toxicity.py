@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from recordloom.llm.arrow_text import byte_values, mix, slices, span_hashes, word_bounds
 from recordloom.llm.char_model import CLASSES, letter_classes, trigram_counts
 
-#: The classifier is fitted on at most about this many labelled rows, chosen by a hash of their ids.
+#: The classifier is fitted on at most about this many labelled rows, chosen by a hash of their ids, then of id and text;
+#: equal rows stay or go together and count as often as they stand there.
 SAMPLE_ROWS = 40_000
 #: The letters that a digit or sign stands for.
 LOOKS_LIKE = {
@@ -272,7 +273,7 @@ def _surprise(a: np.ndarray, n1: float, b: np.ndarray, n0: float) -> np.ndarray:
 
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame, letters: LetterModel, sample_rows: int = SAMPLE_ROWS) -> ToxicityModel:
-    """Learn from ``labels`` (doc_id, toxic), at most about ``sample_rows`` of them."""
+    """Learn from ``labels`` (doc_id, toxic), at most about ``sample_rows`` of them and as many distinct rows of documents."""
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna()
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -282,7 +283,12 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, letters: LetterModel, sam
     chosen = known.filter(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
     # broadcast: the sample is bounded by sample_rows, two numbers a row
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
-    sizes = {row["toxic"]: row["n"] for row in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    sizes = _sizes(rows)
+    if sum(sizes.values()) > sample_rows:
+        # ids that repeat bring more rows than labels; rows with equal id and text stay or go together
+        part = math.ceil(sample_rows / sum(sizes.values()) * (1 << 20))
+        rows = rows.filter(F.pmod(F.xxhash64("doc_id", "text", F.lit(7)), F.lit(1 << 20)) < part)
+        sizes = _sizes(rows)
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     if not n1 or not n0:
         return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), None, letters)
@@ -297,20 +303,30 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, letters: LetterModel, sam
     keep = (_surprise(a, n1, b, n0) > 2 * math.log(tried) + 8) & (weight > math.log(n0 / n1 + 1))
     order = np.argsort(wanted[keep])
     model = ToxicityModel(wanted[keep][order], weight[keep][order], None, letters)
-    seen = _evidence(rows.withColumn("label", F.col("toxic").cast("double")), model, "label", "label double").toPandas()
-    seen = seen.sort_values([*_EVIDENCE, "label"])  # sums in the fit don't depend on the order of tasks
-    model.judgement = _fit(seen[list(_EVIDENCE)].to_numpy(), seen["label"].to_numpy())
+    model.judgement = _fit(*_fit_rows(rows, model))
     return model
 
 
-def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Ridge-regularised logistic regression by Newton steps; the first number is the intercept."""
+def _sizes(rows: DataFrame) -> dict[int, int]:
+    return {row["toxic"]: row["n"] for row in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+
+
+def _fit_rows(rows: DataFrame, model: ToxicityModel) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct evidence, labels, and how many rows have them: equal rows reach the driver once."""
+    seen = _evidence(rows.withColumn("label", F.col("toxic").cast("double")), model, "label", "label double")
+    seen = seen.groupBy(*_EVIDENCE, "label").agg(F.count("*").alias("n")).toPandas()
+    seen = seen.sort_values([*_EVIDENCE, "label"])  # sums in the fit don't depend on the order of tasks
+    return seen[list(_EVIDENCE)].to_numpy(), seen["label"].to_numpy(), seen["n"].to_numpy().astype(float)
+
+
+def _fit(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Ridge-regularised logistic regression by Newton steps, ``n`` times each row; the first number is the intercept."""
     x = np.column_stack([np.ones(len(x)), x])
     beta, ridge = np.zeros(x.shape[1]), np.diag([1e-6] + [1e-2] * (x.shape[1] - 1))
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        slope = x.T @ (p - y) + ridge @ beta
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, slope)
+        slope = x.T @ (n * (p - y)) + ridge @ beta
+        step = np.linalg.solve((x * (n * p * (1 - p))[:, None]).T @ x + ridge, slope)
         beta -= step
         if np.abs(step).max() < 1e-8:
             break

@@ -91,6 +91,23 @@ def test_sample_is_bounded(spark):
     assert len(small.features) == 0
 
 
+def test_rows_of_a_repeated_id_are_bounded(spark, monkeypatch):
+    from recordloom.llm import toxicity as module
+
+    rows, labels = corpus()
+    rows += [(1, f"{text} {i}") for i, text in rows] + [(2, rows[2][1])] * 300
+    table, fitted = spark.createDataFrame(labels, "doc_id long, toxic int"), []
+    fit, docs = module._fit, documents(spark, rows)
+    monkeypatch.setattr(module, "_fit", lambda x, y, n: fitted.append((x, y, n)) or fit(x, y, n))
+    learn_toxicity(docs, table, learn_letters(docs), sample_rows=400)
+    x, _, n = fitted[0]
+    assert len(x) <= 400 and n.sum() <= 400 * 1.3 + 301
+    # all rows are within the bound: every one has its weight
+    learn_toxicity(docs, table, learn_letters(docs), sample_rows=5000)
+    x, _, n = fitted[1]
+    assert n.sum() == len(rows) and len(x) <= len(set(rows))
+
+
 def test_tokens_found():
     text = b"you 1d10t i d i o t loooser now!! a b ok AAA 123 x2"
     tokens = sorted(text[s:e] for _, s, e in disguised(np.frombuffer(text, np.uint8), np.array([0, len(text)])))
