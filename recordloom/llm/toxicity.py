@@ -114,6 +114,10 @@ def restore(token: str, cost: list) -> str:
     return "".join(reversed(letters))
 
 
+def _running(which: np.ndarray) -> np.ndarray:
+    return np.concatenate(([0], np.cumsum(which)))
+
+
 def disguised(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Rows ``document, start, end`` of the spans that may be disguised words: those with more than one path.
 
@@ -132,25 +136,23 @@ def disguised(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     double = np.zeros(len(data), bool)
     double[1:] = (folded[1:] > 0) & (folded[1:] < 27) & (folded[1:] == folded[:-1])
 
-    def within(which: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        total = np.concatenate(([0], np.cumsum(which)))
-        return total[high] - total[low]
-
     # signs between tokens are not inside and count as zero
     body = np.maximum(np.maximum.reduceat(np.where(inside & (data != ord("!")), places, 0), starts), starts)
     letter, sign, look = (kinds[k][data] for k in ("letter", "sign", "look"))
-    signs, letters = within(sign, starts, body), within(letter, starts, body)
-    doubled = within(double, np.minimum(starts + 1, body), body)  # the byte before a start may be another document's
-    alike = (body - starts > 1) & (within(look, starts, body) == body - starts)
-    mixed = (letters > 0) & (signs > 0)
+    signs, letters, looks, all_ = map(_running, (sign, letter, look, inside))
+    signs, pairs = signs[body] - signs[starts], _running(double)
+    doubled = pairs[body] - pairs[np.minimum(starts + 1, body)]  # the byte before a start may be another document's
+    alike = (body - starts > 1) & (looks[body] - looks[starts] == body - starts)
+    mixed = (letters[body] > letters[starts]) & (signs > 0)
     odd = mixed | (doubled > 0) | alike
     ended = (mixed | alike) & (ends > body)
     found = [(doc[odd], starts[odd], body[odd]), (doc[ended], starts[ended], ends[ended])]
 
     # linked[i]: only gap characters part token i from the one before it; tight[i]: and no space
     linked, tight = np.zeros(len(starts), bool), np.zeros(len(starts), bool)
-    linked[1:] = (doc[1:] == doc[:-1]) & (within(~kinds["gap"][data], ends[:-1], starts[1:]) == 0) & (starts[1:] > ends[:-1])
-    tight[1:] = linked[1:] & (within(data == ord(" "), ends[:-1], starts[1:]) == 0)
+    others, spaces = _running(~kinds["gap"][data]), _running(data == ord(" "))
+    linked[1:] = (doc[1:] == doc[:-1]) & (others[starts[1:]] == others[ends[:-1]])
+    tight[1:] = linked[1:] & (spaces[starts[1:]] == spaces[ends[:-1]])
     single = ends - starts == 1
     alone = linked & single
     alone[1:] &= single[:-1]
@@ -173,9 +175,11 @@ def disguised(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         joins[1:] = [(low[keep], high[keep]) for low, high in joins[1:] for keep in [singles[high + 1] - singles[low] < high + 1 - low]]
     for low, high in joins:
         begin, end = starts[low], ends[high]
-        word = (within(letter, begin, end) > 0) | (within(look, begin, end) == within(inside, begin, end))
+        word = (letters[end] > letters[begin]) | (looks[end] - looks[begin] == all_[end] - all_[begin])
         found.append((doc[low][word], begin[word], end[word]))
-    return np.unique(np.concatenate([np.stack(part, axis=1) for part in found]).astype(np.int64), axis=0)
+    spans = np.concatenate([np.stack(part, axis=1) for part in found]).astype(np.int64)
+    _, first = np.unique(spans[:, 1] * (len(data) + 1) + spans[:, 2], return_index=True)
+    return spans[first]
 
 
 class WordFeatures:
@@ -183,7 +187,7 @@ class WordFeatures:
 
     def __init__(self, cost: list, memo: dict[bytes, bytes]) -> None:
         self.cost, self.memo, self.values = cost, memo, byte_values(lower=True)
-        self.apart = ~_byte_kinds()["letter"]
+        self.apart, self.table = ~_byte_kinds()["letter"], np.array(cost)
 
     def of(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
         """Documents of all words, a row of feature hashes for each (column 0 is the word itself), the number of plain ones.
@@ -192,6 +196,7 @@ class WordFeatures:
         """
         doc, hashes = self._of_words(data, bounds)
         plain, found = len(doc), disguised(data, bounds)
+        found = found[self._open(data, bounds, found)]
         if len(found):
             _, first, same = np.unique(span_hashes(data, found[:, 1], found[:, 2], self.values), return_index=True, return_inverse=True)
             words = [self._restored(data[start:end].tobytes().lower()) + b" " for _, start, end in found[first].tolist()]
@@ -204,6 +209,27 @@ class WordFeatures:
             hashes = np.concatenate((hashes, more[row[row >= 0]]))
         return doc, hashes, plain
 
+    def _open(self, data: np.ndarray, bounds: np.ndarray, found: np.ndarray) -> np.ndarray:
+        """Spans that decoding may change.
+
+        In a span of letters without triples each double is decided by its neighbours alone, as the best path would: one
+        letter falls away if that costs less than the two trigrams that end and start with the double. Spans that
+        keep all doubles are what they were.
+        """
+        classes, letter = np.minimum(letter_classes()[data], 27), _running(~self.apart[data])
+        place = np.flatnonzero((classes[1:] == classes[:-1]) & (classes[1:] > 0) & (classes[1:] < 27)) + 1
+        cut = np.zeros(len(data) + 1, bool)
+        cut[bounds] = True
+        before = np.where((place > 1) & ~cut[place - 1], classes[place - 2], 0)
+        after = np.where(cut[place + 1], 0, classes[np.minimum(place + 1, len(data) - 1)])
+        middle = classes[place]
+        gain = np.zeros(len(data), bool)
+        gain[place] = (
+            TWICE_COST + self.table[before, middle, after] < self.table[before, middle, middle] + self.table[middle, middle, after]
+        ) | (before == middle)
+        gains, (start, end) = _running(gain), found[:, 1:].T
+        return (letter[end] - letter[start] < end - start) | (gains[end] > gains[np.minimum(start + 1, end)])
+
     def _restored(self, token: bytes) -> bytes:
         """The restored word, nothing if that is the token."""
         if token not in self.memo:

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from recordloom.llm.toxicity import disguised, learn_letters, learn_toxicity, restore, score_toxicity
+from recordloom.llm.toxicity import WordFeatures, disguised, learn_letters, learn_toxicity, restore, score_toxicity
 from tests.llm.edges import EDGE_TEXTS, documents, empty
 
 CLEAN = "the garden was quiet and the people were walking along the river with their friends after lunch".split()
@@ -72,6 +72,21 @@ def test_more_tokens_found():
     assert len(disguised(np.frombuffer(b"abba", np.uint8), np.array([0, 2, 4]))) == 0
 
 
+def test_doubles_are_decided_as_by_decoding(model):
+    cost, rng = model.letters.cost.tolist(), random.Random(3)
+    tokens = {"".join(rng.choice("aeilnorst") * rng.choice((1, 1, 1, 2, 2, 3)) for _ in range(rng.randrange(1, 7))) for _ in range(1500)}
+    tokens = sorted(t for t in tokens if any(x == y for x, y in zip(t, t[1:])))
+    data = np.frombuffer("".join(tokens).encode(), np.uint8)  # each token is a document
+    bounds = np.concatenate(([0], np.cumsum([len(t) for t in tokens])))
+    spans = disguised(data, bounds)
+    open_ = WordFeatures(cost, {})._open(data, bounds, spans)
+    assert len(spans) == len(tokens)
+    for token, may_change in zip(tokens, open_):
+        changed = restore(token, cost) != token
+        triple = any(x == y == z for x, y, z in zip(token, token[1:], token[2:]))
+        assert changed <= may_change and (triple or changed == may_change), token
+
+
 def test_edges(spark, model):
     found = score_toxicity(documents(spark), model).collect()
     assert len(found) == len(EDGE_TEXTS) and all(0 <= r["score"] <= 1 for r in found)
