@@ -14,6 +14,7 @@ from recordloom.llm.mixing import mix_sources
 from recordloom.llm.near_duplicates import near_duplicates
 from recordloom.llm.neighbours import nearest
 from recordloom.llm.secrets import BASE_KINDS, RULES, find_secrets, span_text
+from recordloom.llm.token_alignment import align_tokens
 from recordloom.llm.toxicity import learn_letters, learn_toxicity, score_toxicity
 from recordloom.llm.url_rules import judge_urls
 from recordloom.llm.warc import read_archive, write_archive
@@ -287,3 +288,12 @@ def op10_toxicity(spark, sf_dir):
     return score_toxicity(docs, model).select(
         "doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+TOKENIZERS = "/opt/tokenizers"
+
+
+@_query("op12_token_alignment")
+def op12_token_alignment(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return align_tokens(docs, f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
