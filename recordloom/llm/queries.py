@@ -13,6 +13,7 @@ from recordloom.llm.language_mixture import held_out, identify_languages, learn_
 from recordloom.llm.mixing import mix_sources
 from recordloom.llm.near_duplicates import near_duplicates
 from recordloom.llm.neighbours import nearest
+from recordloom.llm.quality_rules import judge_quality, learn_quality
 from recordloom.llm.secrets import BASE_KINDS, RULES, find_secrets, span_text
 from recordloom.llm.token_alignment import align_tokens
 from recordloom.llm.toxicity import learn_letters, learn_toxicity, score_toxicity
@@ -297,3 +298,11 @@ TOKENIZERS = "/opt/tokenizers"
 def op12_token_alignment(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     return align_tokens(docs, f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
+@_query("op11_quality_rules")
+def op11_quality_rules(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return judge_quality(docs, learn_quality(docs, _table(spark, sf_dir, "labels"))).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "probability"
+    )
