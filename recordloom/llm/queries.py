@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from recordloom.llm.chat_format import Template, format_turns, read_back
 from recordloom.llm.decontamination import scan_documents
+from recordloom.llm.hard_negatives import mine_hard_negatives
 from recordloom.llm.language_mixture import held_out, identify_languages, learn_languages
 from recordloom.llm.mixing import mix_sources
 from recordloom.llm.near_duplicates import near_duplicates
@@ -306,3 +307,36 @@ def op11_quality_rules(spark, sf_dir):
     return judge_quality(docs, learn_quality(docs, _table(spark, sf_dir, "labels"))).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "probability"
     )
+
+
+@_query(
+    "op13_hard_negatives",
+    """
+    WITH r AS (
+        SELECT vec_id, row_number() OVER () AS rid, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    s AS (
+        SELECT a.vec_id AS anchor_id, a.label AS anchor_label, r.vec_id, r.label, r.rid,
+               CAST(coalesce(list_sum(list_transform(range(1, len(a.e) + 1), lambda i: a.e[i] * r.e[i])), 0) AS BIGINT) AS score
+        FROM (SELECT vec_id, min(ROW(label, e)) AS m, m[1] AS label, m[2] AS e FROM r WHERE vec_id % 50 = 0 GROUP BY vec_id) a
+        JOIN r ON r.vec_id IS DISTINCT FROM a.vec_id AND len(r.e) = len(a.e)
+    ),
+    p AS (
+        SELECT anchor_id, vec_id AS positive_id, rid AS positive, score AS positive_score FROM s WHERE label = anchor_label
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+    ),
+    n AS (
+        SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+               CAST(row_number() OVER (PARTITION BY p.anchor_id, positive ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+        FROM p JOIN s ON p.anchor_id = s.anchor_id AND label <> anchor_label
+             AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+    )
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+    """,
+)
+def op13_hard_negatives(spark, sf_dir):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(_table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 50 == 0)
