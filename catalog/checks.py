@@ -254,6 +254,24 @@ def median_hot_value(spark, sf_dir):
     return exact_median(lines, ["l_returnflag"], "v", "median", small_group=1)
 
 
+@query(
+    "summary_null_group",
+    """
+    WITH e AS (SELECT nullif(event_type, 'click') AS g, value, unnest([1, 1000000]) AS small_group FROM events)
+    SELECT g, small_group, count(value) AS samples, round(median(value), 6) AS median, round(max(value), 6) AS max FROM e GROUP BY ALL
+    """,
+)
+def summary_null_group(spark, sf_dir):
+    """A null group, on both sides of the size from which groups are ranked instead of gathered."""
+    events = table(spark, sf_dir, "events").withColumn("g", F.when(F.col("event_type") != "click", F.col("event_type")))
+    found = [
+        sample_summary(events, ["g"], "value", small).withColumn("small_group", F.lit(small)) for small in (1, 1_000_000)
+    ]
+    return found[0].unionByName(found[1]).select(
+        "g", "small_group", "samples", F.round("median", 6).alias("median"), F.round("max", 6).alias("max")
+    )
+
+
 _SIGNALS = """
     WITH a AS (SELECT event_type, user_id, median(value) AS m, min(value) AS lo, max(value) AS hi
                FROM events WHERE ts >= TIMESTAMP '2024-01-15' GROUP BY ALL),

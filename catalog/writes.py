@@ -12,11 +12,13 @@ from recordloom.operators.changes import (
     modified_since,
     table_diff,
 )
-from recordloom.operators.commits import commit_delete, commit_upsert
+from recordloom.operators.commits import commit_delete, commit_delete_files, commit_upsert, commit_upsert_files
 from recordloom.operators.constraints import FieldRule
+from recordloom.operators.journal import BatchError, execute_batches
 from recordloom.operators.query import select_where
 from recordloom.operators.upsert import batch_report, check_result, line_errors, upsert
 from recordloom.session import scratch_path, stage
+from recordloom.sources.keyed import KeyedTable
 from recordloom.streaming.ingest import (
     ChangeFeed,
     batch_statuses,
@@ -103,6 +105,97 @@ def upsert_commit(spark, sf_dir):
     return spark.read.parquet(path).select("o_orderkey", "o_orderstatus")
 
 
+_FILE_ROWS = 1000
+
+
+@query(
+    "upsert_commit_files",
+    f"""
+    WITH t0 AS (SELECT o_orderkey + 1 AS k, o_orderpriority AS p, (row_number() OVER (ORDER BY o_orderkey) - 1) // {_FILE_ROWS} AS file FROM orders),
+    s1 AS (SELECT k FROM t0 WHERE k % 100 < 4 AND k < 4000), created AS (SELECT k + 1000000000 AS k, p FROM t0 WHERE k % 50 = 7),
+    u1 AS (SELECT * FROM t0 WHERE k % 100 < 4 AND k < 4000 AND p <> '1-URGENT'),
+    gone AS (SELECT * FROM t0 WHERE k % 1000 = 999 AND k > 6000),
+    final AS (
+        SELECT k, CASE WHEN k % 100 < 4 AND k < 4000 THEN '1-URGENT' ELSE p END AS p FROM t0 WHERE NOT (k % 1000 = 999 AND k > 6000)
+        UNION ALL SELECT k, p FROM created),
+    n AS (SELECT (SELECT count(DISTINCT file) FROM t0) AS files, (SELECT count(DISTINCT file) FROM u1) AS touched,
+                 ((SELECT count(*) FROM created) + {_FILE_ROWS} - 1) // {_FILE_ROWS} AS added, (SELECT count(DISTINCT file) FROM gone) AS cut,
+                 (SELECT count(*) FROM t0) AS rows, (SELECT count(*) FROM created) AS more, (SELECT count(*) FROM gone) AS less)
+    SELECT 'record' AS kind, k AS id, p AS priority, NULL::BIGINT AS kept, NULL::BIGINT AS rewritten, NULL::BIGINT AS added, NULL::BIGINT AS rows FROM final
+    UNION ALL SELECT 'commit', 0, NULL, 0, 0, files, rows FROM n
+    UNION ALL SELECT 'commit', 1, NULL, files - touched, touched, 0, rows FROM n
+    UNION ALL SELECT 'commit', 2, NULL, files, 0, added, rows + more FROM n
+    UNION ALL SELECT 'commit', 3, NULL, files + added - cut, cut, 0, rows + more - less FROM n
+    """,
+)
+def upsert_commit_files(spark, sf_dir):
+    """Updates, new records and deletes committed one after the other, and what each commit did to the files."""
+    orders = table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).alias("k"), F.col("o_orderpriority").alias("p"))
+    line = F.col("k")
+    stored = KeyedTable.create(orders, scratch_path(spark, "keyed"), "k", _FILE_ROWS)
+    urgent = orders.where("k % 100 < 4 AND k < 4000").select(line.alias("line"), "k", F.lit("1-URGENT").alias("p"))
+    new = orders.where("k % 50 = 7").select(line.alias("line"), (F.col("k") + 1_000_000_000).alias("k"), "p")
+    stored, _ = commit_upsert_files(stored, urgent, "urgent", merge_on="k", file_rows=_FILE_ROWS)
+    stored, _ = commit_upsert_files(stored, new, "new", merge_on="k", file_rows=_FILE_ROWS)
+    stored, _ = commit_delete_files(stored, (F.col("k") % 1000 == 999) & (F.col("k") > 6000))
+    none = F.lit(None).cast("bigint")
+    records = stored.read().select(
+        F.lit("record").alias("kind"), F.col("k").alias("id"), F.col("p").alias("priority"),
+        none.alias("kept"), none.alias("rewritten"), none.alias("added"), none.alias("rows"),
+    )
+    commits = stored.history().select(
+        F.lit("commit").alias("kind"), F.col("number").alias("id"), F.lit(None).cast("string").alias("priority"),
+        "kept", "rewritten", "added", "rows",
+    )
+    return records.union(commits)
+
+
+_EXECUTED = 800_000
+
+
+@query(
+    "batch_execute",
+    f"""
+    WITH RECURSIVE d AS (SELECT doc_id + 1 AS line, strlen(text) AS size, row_number() OVER (ORDER BY doc_id) AS i FROM documents),
+    walk AS (
+        SELECT i, line, 1 AS batch, 30 + size AS used FROM d WHERE i = 1
+        UNION ALL
+        SELECT d.i, d.line, CASE WHEN used + 2 + d.size > {_EXECUTED} THEN batch + 1 ELSE batch END,
+               CASE WHEN used + 2 + d.size > {_EXECUTED} THEN 30 + d.size ELSE used + 2 + d.size END
+        FROM walk JOIN d ON d.i = walk.i + 1),
+    bad AS (SELECT batch FROM walk WHERE line = 501),
+    act AS (
+        SELECT line, batch, CASE WHEN n_chars < 0 THEN 'error' WHEN (line - 1) % 3 = 2 THEN 'created'
+               WHEN (line - 1) % 2 = 0 THEN 'updated' ELSE 'unchanged' END AS action
+        FROM walk JOIN documents ON doc_id = line - 1)
+    SELECT batch::BIGINT AS batch_number, min(walk.line) AS start_line, max(walk.line) AS end_line, count(*) AS records,
+           max(used)::BIGINT AS payload_bytes, CASE WHEN batch < (SELECT batch FROM bad) THEN 'completed' ELSE 'failed' END AS status,
+           CASE WHEN batch < (SELECT batch FROM bad) THEN count(*) FILTER (WHERE action = 'created') END AS created,
+           CASE WHEN batch < (SELECT batch FROM bad) THEN count(*) FILTER (WHERE action = 'updated') END AS updated,
+           CASE WHEN batch < (SELECT batch FROM bad) THEN count(*) FILTER (WHERE action = 'unchanged') END AS unchanged
+    FROM walk JOIN act USING (line, batch) WHERE batch <= (SELECT batch FROM bad) GROUP BY batch
+    """,
+)
+def batch_execute(spark, sf_dir):
+    """The lengths of documents written in batches, of which the one with line 501 is refused."""
+    docs = table(spark, sf_dir, "documents")
+    third, even, line = F.col("doc_id") % 3, F.col("doc_id") % 2, F.col("doc_id") + 1
+    stored = KeyedTable.create(docs.where(third != 2).select(line.alias("id"), "n_chars"), scratch_path(spark, "batches"), "id")
+    source = docs.select(
+        line.alias("line"), line.alias("id"), F.when(even == 0, -1 - F.col("n_chars")).otherwise(F.col("n_chars")).alias("n_chars"),
+        F.octet_length("text").cast("bigint").alias("size"),
+    )
+    rule = BatchRule("line", F.col("size"), envelope_bytes=30, max_bytes=_EXECUTED)
+    commit = lambda table, lines, **options: commit_upsert_files(table, lines.drop("size"), **options)
+    try:
+        _, journal = execute_batches(stored, source, rule, "lengths", F.col("line") == 501, commit, merge_on="id")
+    except BatchError as error:
+        journal = error.journal
+    return journal.report().select(
+        "batch_number", "start_line", "end_line", "records", "payload_bytes", "status", "created", "updated", "unchanged"
+    )
+
+
 @query("delete_commit", "SELECT * FROM customer WHERE c_acctbal >= 0 OR c_acctbal IS NULL")
 def delete_commit(spark, sf_dir):
     path = scratch_path(spark, "customer")
@@ -322,6 +415,23 @@ def batch_plan(spark, sf_dir):
     return plan_batches(table(spark, sf_dir, "documents"), _batch_rule())
 
 
+@query(
+    "batch_null_shard",
+    _BATCH_SQL.replace("FROM documents)", "FROM (SELECT nullif(source, (SELECT min(source) FROM documents)) AS source, doc_id, text FROM documents))")
+    .replace("d.source = walk.source", "d.source IS NOT DISTINCT FROM walk.source")
+    + """
+    SELECT source, batch::BIGINT AS batch_number, min(doc_id) AS start_line, max(doc_id) AS end_line,
+           count(*) AS records, max(used)::BIGINT AS payload_bytes
+    FROM walk GROUP BY source, batch
+    """,
+)
+def batch_null_shard(spark, sf_dir):
+    """One source is unknown; its lines are a shard like any other."""
+    docs = table(spark, sf_dir, "documents")
+    first = docs.agg(F.min("source")).first()[0]
+    return plan_batches(docs.withColumn("source", F.when(F.col("source") != first, F.col("source"))), _batch_rule())
+
+
 @query(
     "batch_lines",
     _BATCH_SQL + "SELECT source, doc_id, batch::BIGINT AS batch_number FROM walk",

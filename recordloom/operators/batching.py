@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import col, resolve_all
 from ..session import stage
-from .ordering import running_sum, sorted_slices
+from .ordering import join_groups, running_sum, sorted_slices
 
 # Largest request, and the bytes between two records.
 MAX_BATCH_BYTES = 40_000_000
@@ -49,7 +49,7 @@ class BatchRule:
     """How lines are ordered, measured and grouped into batches.
 
     ``line`` orders the rows of a shard and is unique in it; ``size`` is the row's serialized
-    size. Without ``shard`` the whole table is one sequence.
+    size. Without ``shard`` the whole table is one sequence; lines without a shard are a shard.
     """
 
     line: str
@@ -111,7 +111,7 @@ def _opened_blocks(df: DataFrame, rule: BatchRule) -> DataFrame:
     width = max(room, min(64 * room, rule.block_bytes, _BLOCK_ROWS * mean))
     placed = running_sum(slices, names, "_step", "_at").select(*names, "_line", "_step", "_at")
     blocks = stage(_with_halo(placed, width, room), "batch-blocks")
-    return blocks.join(_block_openings(blocks, names, width, room), [*names, "_block"])
+    return join_groups(blocks, _block_openings(blocks, names, width, room), names, ["_block"])
 
 
 def _numbered(packed: DataFrame, rule: BatchRule) -> DataFrame:
@@ -125,7 +125,7 @@ def _numbered(packed: DataFrame, rule: BatchRule) -> DataFrame:
     before = per_block.select(
         *names, "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
     )
-    return packed.join(before, [*names, "_block"]).withColumn(
+    return join_groups(packed, before, names, ["_block"]).withColumn(
         "batch_number", F.col("_before") + F.col("_index")
     )
 
@@ -197,7 +197,7 @@ def _compose(level: DataFrame, names: list[str]) -> DataFrame:
         F.col("_exit").alias("_beyond"),
         F.lit(True).alias("_met"),
     )
-    return left.join(right, [*names, "_seg", "_exit"], "left").select(
+    return join_groups(left, right, names, ["_seg", "_exit"], "left").select(
         *names,
         (F.col("_seg") / 2).cast("bigint").alias("_seg"),
         "_entry",
@@ -209,7 +209,7 @@ def _descend(known: DataFrame, level: DataFrame, names: list[str]) -> DataFrame:
     """From the openings of double segments to those of their halves."""
     halves = known.withColumn("_seg", F.col("_seg") * 2)
     second = (
-        halves.join(level, [*names, "_seg", "_entry"])
+        join_groups(halves, level, names, ["_seg", "_entry"])
         .where(F.col("_exit").isNotNull())
         .select(*names, (F.col("_seg") + 1).alias("_seg"), F.col("_exit").alias("_entry"))
     )

@@ -9,7 +9,9 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import exists, publish, remove, stage, write_text
+from ..functions.labels import col, resolve
+from ..session import exists, publish, read_text, recover, remove, stage, write_text
+from ..sources.keyed import FILE, FILE_ROWS, CommitError, KeyedTable
 from .changes import delete_records
 from .query import Where
 from .upsert import UpsertResult, check_result, upsert
@@ -18,25 +20,11 @@ from .upsert import UpsertResult, check_result, upsert
 _LEDGER = "_commits.json"
 
 
-class CommitError(RuntimeError):
-    """A write that was not carried out; the table is as it was."""
-
-
 def _done(spark: SparkSession, path: str) -> list[str]:
     ledger = f"{path.rstrip('/')}/{_LEDGER}"
     if not exists(spark, ledger):
         return []
-    return json.loads(_read_text(spark, ledger))
-
-
-def _read_text(spark: SparkSession, path: str) -> str:
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
-    try:
-        return bytes(stream.readAllBytes()).decode()
-    finally:
-        stream.close()
+    return json.loads(read_text(spark, ledger))
 
 
 def _swap(spark: SparkSession, path: str, table: DataFrame, rows: int, commit_id: str | None) -> None:
@@ -64,6 +52,7 @@ def commit_upsert(
     and its result is sound. A ``commit_id`` that the table has seen writes nothing and
     returns None, so a run that was cut short can be started again.
     """
+    recover(spark, path)
     if commit_id and commit_id in _done(spark, path):
         return None
     target = spark.read.parquet(path)
@@ -81,6 +70,7 @@ def commit_delete(
     commit_id: str | None = None,
 ) -> int | None:
     """Delete records of the Parquet table at ``path``; return how many, or None for a repeated commit."""
+    recover(spark, path)
     if commit_id and commit_id in _done(spark, path):
         return None
     target = spark.read.parquet(path)
@@ -88,3 +78,58 @@ def commit_delete(
     deleted = result.number_deleted().first()["number_deleted"]
     _swap(spark, path, result.kept, target.count() - deleted, commit_id)
     return deleted
+
+
+def commit_upsert_files(
+    table: KeyedTable, source: DataFrame, commit_id: str | None = None, file_rows: int = FILE_ROWS, **options
+) -> tuple[KeyedTable, DataFrame | None]:
+    """Merge ``source`` into a keyed table; return its next version and the outcome of every line.
+
+    Only files that hold an updated record are rewritten, created records go to files of their own. Merged on the record
+    key, files beyond the keys of the lines are not even read, unless a rule asks for unique values. A ``commit_id`` that the
+    table has seen writes nothing and returns no lines.
+    """
+    if commit_id and commit_id in table.version.commits:
+        return table, None
+    key, merge_on = table.version.key, options.get("merge_on")
+    by_key = merge_on is not None and resolve(table.schema.names, merge_on) == key
+    if by_key and not any(rule.unique for rule in options.get("rules", ()) if resolve(table.schema.names, rule.label) != key):
+        others = (options.get("line", "line"), options.get("present"))
+        given = next(name for name in source.columns if name not in others and resolve(table.schema.names, name) == key)
+        target = table._read(table.touched(source.select(col(given))))
+    else:
+        target = table.read()
+    result: UpsertResult = upsert(target, source, key, **options)
+    lines = stage(result.lines, "commit-lines")
+    if broken := [row["rule"] for row in check_result(lines, source.count(), numbered=False).collect()]:
+        raise CommitError(f"the outcome is not sound: {', '.join(broken)}")
+    counts = {row["action"]: row["count"] for row in lines.groupBy("action").count().collect()}
+    if not counts.keys() & {"created", "updated"}:
+        rows = table.version.rows
+        return table.rewrite([], None, None, rows, commit_id) if commit_id else table, lines
+    updated = lines.where(F.col("action") == "updated").select("record_id")
+    old = table.touched(updated) if "updated" in counts else []
+    changed = result.updated_rows(table.with_files(old)) if old else None
+    created = result.created_rows() if "created" in counts else None
+    rows = table.version.rows + counts.get("created", 0)
+    return table.rewrite(old, changed, created, rows, commit_id, file_rows), lines
+
+
+def commit_delete_files(
+    table: KeyedTable, where: Where | Sequence[int] | DataFrame, commit_id: str | None = None
+) -> tuple[KeyedTable, int | None]:
+    """Delete records of a keyed table; return its next version and how many there were.
+
+    Only files that hold one of them are rewritten, and dropped if nothing is left in them.
+    """
+    if commit_id and commit_id in table.version.commits:
+        return table, None
+    key = table.version.key
+    deleted = stage(delete_records(table.read(), where, key).deleted.select(col(key)), "deleted")
+    n = deleted.count()
+    if not n:
+        return table.rewrite([], None, None, table.version.rows, commit_id) if commit_id else table, 0
+    old = table.touched(deleted)
+    rows = table.with_files(old)
+    kept = rows.join(deleted.select(col(key).alias("_gone")), col(key) == F.col("_gone"), "left_anti")
+    return table.rewrite(old, kept.select(*table.schema.names, FILE), None, table.version.rows - n, commit_id), n

@@ -21,6 +21,26 @@ SLICE, POSITION = "_slice", "_position"
 SMALL_GROUP = 1_000_000
 
 
+def join_groups(
+    left: DataFrame, right: DataFrame, group: Sequence[str], on: Sequence[str] = (), how: str = "inner"
+) -> DataFrame:
+    """Join on group columns, where null is a group like any other, and on plain columns ``on``.
+
+    The columns joined on come from ``left`` only, as in a join by names.
+    """
+    names = [*group, *on]
+    right = right.select(
+        *[col(name).alias(f"_right{i}") for i, name in enumerate(names)],
+        *[col(name) for name in right.columns if name not in names],
+    )
+    met = [
+        col(name).eqNullSafe(F.col(f"_right{i}")) if i < len(group) else col(name) == F.col(f"_right{i}")
+        for i, name in enumerate(names)
+    ]
+    joined = left.join(right, met, how) if met else left.crossJoin(right)
+    return joined.drop(*[f"_right{i}" for i in range(len(names))])
+
+
 def sorted_slices(df: DataFrame, order: Sequence[str | Column], name: str) -> DataFrame:
     """Write ``df`` globally sorted; return it with task number and 0-based place in its file."""
     keys = [col(key) if isinstance(key, str) else key for key in order]
@@ -68,9 +88,9 @@ def running_sum(slices: DataFrame, group: Sequence[str], value: str, total: str)
         .orderBy(POSITION)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    added = slices.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
     return (
-        slices.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
-        .join(before, [SLICE, *group])
+        join_groups(added, before, group, [SLICE])
         .withColumn(total, F.col("_before") + F.col("_inside"))
         .drop("_before", "_inside")
     )
@@ -85,6 +105,7 @@ def exact_median(
     Groups whose checked size is small use the built-in aggregate. Otherwise equal values are
     counted first, the counts are ranked globally, and the middle one or two places of each
     group are looked up in them: neither a hot group nor a hot value is gathered in one task.
+    A null group column makes a group of its own, whatever its size.
     ``sizes`` (group columns and ``_size``) saves a scan where they are known.
     """
     rows = df.where(col(value).isNotNull()).select(*[col(key) for key in group], col(value))
@@ -102,7 +123,7 @@ def exact_median(
 
     low, high = holds(F.floor((F.col("_size") - 1) / 2)), holds(F.floor(F.col("_size") / 2))
     return (
-        ranked.join(sizes, list(group))
+        join_groups(ranked, sizes, group)
         .where(low | high)
         .groupBy(*[col(key) for key in group])
         .agg(

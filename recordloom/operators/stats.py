@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.labels import col
 from ..session import stage
-from .ordering import SMALL_GROUP, exact_median
+from .ordering import SMALL_GROUP, exact_median, join_groups
 
 # Fixed values of generated workloads.
 STATUSES = ("Ready", "Running", "Complete")
@@ -36,7 +36,7 @@ def sample_summary(
     sizes = stats.select(*[col(name) for name in group], F.col("samples").alias("_size"))
     medians = exact_median(rows, group, value, "median", small_group, sizes)
     ratio = F.when(F.col("_mean") == 0, 0.0).otherwise(F.col("stdev") / F.col("_mean"))
-    return stats.join(medians, list(group)).select(
+    return join_groups(stats, medians, group).select(
         *[col(name) for name in group],
         "samples", "median", "min", "max", "stdev",
         ratio.alias("coefficient_of_variation"),
@@ -79,7 +79,7 @@ def regression_signals(
         .when((gain >= threshold_percent) & improved, "improvement_signal")
         .otherwise("stable")
     )
-    joined = now.join(then, list(group), "left").withColumn("delta_percent", delta)
+    joined = join_groups(now, then, group, how="left").withColumn("delta_percent", delta)
     return joined.withColumn(
         "ranges_overlap", F.when(F.col("delta_percent").isNotNull(), ~(above | below))
     ).withColumn("classification", signal)

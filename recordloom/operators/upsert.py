@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -25,6 +25,9 @@ class UpsertResult:
     lines: DataFrame
     merged: DataFrame
     key: str
+    #: Any part of the target with updates applied, further columns kept; and the created records.
+    updated_rows: Callable[[DataFrame], DataFrame]
+    created_rows: Callable[[], DataFrame]
 
     def summary(self) -> DataFrame:
         return outcome(self.lines)
@@ -227,8 +230,10 @@ def upsert(
         lines.select(
             F.col(LINE).alias("line"), "record_id", "action", F.col("_errors").alias("errors")
         ),
-        _merged(target, lines, key, names),
+        _updated(target, lines, key, names).unionByName(_created(target, lines, key, names)),
         key,
+        lambda part: _updated(part, lines, key, names),
+        lambda: _created(target, lines, key, names),
     )
 
 
@@ -257,8 +262,8 @@ def _assign_ids(lines: DataFrame, target: DataFrame, key: str) -> DataFrame:
     return lines.where(F.col("action") != "created").unionByName(created)
 
 
-def _merged(target: DataFrame, lines: DataFrame, key: str, names: list[str]) -> DataFrame:
-    """The target with updates applied, then the created records."""
+def _updated(target: DataFrame, lines: DataFrame, key: str, names: list[str]) -> DataFrame:
+    """The target with updates applied."""
     written = [name for name in names if name != key]
     updates = lines.where(F.col("action") == "updated").select(
         F.col("record_id").alias("_id"),
@@ -266,7 +271,7 @@ def _merged(target: DataFrame, lines: DataFrame, key: str, names: list[str]) ->
         *[col(name).alias(f"_u{i}") for i, name in enumerate(written)],
     )
     values = {name: F.col(f"_u{i}") for i, name in enumerate(written)}
-    kept = target.join(updates, col(key) == F.col("_id"), "left").select(
+    return target.join(updates, col(key) == F.col("_id"), "left").select(
         *[
             F.when(truth(_provided(name)), values[name]).otherwise(col(name)).alias(name)
             if name in values
@@ -274,7 +279,11 @@ def _merged(target: DataFrame, lines: DataFrame, key: str, names: list[str]) ->
             for name in target.columns
         ]
     )
-    created = lines.where(F.col("action") == "created").select(
+
+
+def _created(target: DataFrame, lines: DataFrame, key: str, names: list[str]) -> DataFrame:
+    """The created records."""
+    return lines.where(F.col("action") == "created").select(
         *[
             F.col("record_id").cast(field.dataType).alias(field.name)
             if field.name == key
@@ -284,7 +293,6 @@ def _merged(target: DataFrame, lines: DataFrame, key: str, names: list[str]) ->
             for field in target.schema.fields
         ]
     )
-    return kept.unionByName(created)
 
 
 def outcome(lines: DataFrame) -> DataFrame:
@@ -316,11 +324,14 @@ def line_errors(lines: DataFrame) -> DataFrame:
     )
 
 
-def check_result(lines: DataFrame, submitted: int) -> DataFrame:
-    """Write-result rules that do not hold; empty when the outcome is sound."""
+def check_result(lines: DataFrame, submitted: int, numbered: bool = True) -> DataFrame:
+    """Write-result rules that do not hold; empty when the outcome is sound.
+
+    ``numbered``: lines are numbered from 1, as all lines of a source are but not those of one batch.
+    """
     facts = lines.agg(
         (F.count(F.lit(1)) != submitted).alias("processed differs from submitted"),
-        (F.count_if(~F.col("line").between(1, submitted)) > 0).alias("position out of range"),
+        (F.lit(numbered) & (F.count_if(~F.col("line").between(1, submitted)) > 0)).alias("position out of range"),
         (F.count_if((F.col("action") != "error") & truth(F.col("record_id") < 1)) > 0).alias(
             "record id not positive"
         ),

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
+_RETIRED = re.compile(r"\.[0-9a-f]{32}\.old")
 _CHECKPOINT_SETTING = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
 _staged: list[str] = []
@@ -131,3 +134,44 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """Read one small metadata file through the cluster's file system."""
+    fs, target = _file_system(spark, path)
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none if it isn't there."""
+    fs, target = _file_system(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(target)] if fs.exists(target) else []
+
+
+def move_new(spark: SparkSession, path: str, final: str) -> bool:
+    """Move one file to a name that must be free; false if it is taken.
+
+    The last step of a commit. Both names are in one folder of a file system whose renames are atomic and don't replace.
+    """
+    fs, source = _file_system(spark, path)
+    _, target = _file_system(spark, final)
+    try:
+        return not fs.exists(target) and fs.rename(source, target)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in str(error.java_exception):
+            return False
+        raise
+
+
+def recover(spark: SparkSession, final: str) -> bool:
+    """Put a table back that a crash inside ``publish`` left set aside; true if there was one."""
+    fs, target = _file_system(spark, final.rstrip("/"))
+    if fs.exists(target) or target.getParent() is None or not fs.exists(target.getParent()):
+        return False
+    name = target.getName()
+    aside = [s.getPath() for s in fs.listStatus(target.getParent()) if _RETIRED.fullmatch(s.getPath().getName().removeprefix(name))]
+    return bool(aside) and fs.rename(aside[0], target)

@@ -167,6 +167,18 @@ def test_median_of_hot_values(spark):
     assert sorted(small) == sorted(large) and dict(map(tuple, small)) == {"a": 7.5, "b": 1.5, "c": 4.0}
 
 
+def test_null_groups_stay_whatever_their_size(spark):
+    df = spark.createDataFrame(
+        [(None, 1, 1.0), (None, 1, 3.0), (None, 1, 8.0), ("a", None, 2.0), ("a", 1, 4.0), (None, None, 6.0)], "g string, h int, v double"
+    )
+    want = {(None, 1): (3, 3.0), ("a", None): (1, 2.0), ("a", 1): (1, 4.0), (None, None): (1, 6.0)}
+    for small in (0, 1, 2, 1_000_000):
+        found = sample_summary(df, ["g", "h"], "v", small).collect()
+        assert {(r.g, r.h): (r.samples, r.median) for r in found} == want
+    signals = regression_signals(df, df.withColumn("v", F.col("v") * 10), ["g", "h"], "v").collect()
+    assert {(r.g, r.h): r.baseline_median for r in signals} == {key: median * 10 for key, (_, median) in want.items()}
+
+
 def test_locations_take_the_scheme_of_the_session(spark, tmp_path):
     from recordloom.sources.files import _file_system, qualified
 

@@ -187,6 +187,17 @@ def test_equal_sizes_over_many_blocks(spark):
     )
 
 
+@pytest.mark.parametrize("block", [1, 256 << 20])
+def test_lines_without_a_shard_are_a_shard(spark, block):
+    rows = [(s, i, 5 + i % 7) for s in ("a", None, "b") for i in range(1, 60)]
+    df = spark.createDataFrame(rows, "shard string, line bigint, size bigint")
+    rule = BatchRule("line", F.col("size"), ["shard"], envelope_bytes=3, max_bytes=30, block_bytes=block)
+    plan, lines = plan_batches(df, rule).collect(), assign_batches(df, rule).collect()
+    assert len(lines) == len(rows)
+    batches = {s: [tuple(r)[1:] for r in sorted(plan, key=lambda r: r.batch_number) if r.shard == s] for s in ("a", None, "b")}
+    assert batches[None] == batches["a"] == batches["b"] and sum(b[3] for b in batches[None]) == 59
+
+
 def test_batch_limits(spark):
     df = spark.createDataFrame([(1, "é"), (2, "x" * 50)], "line bigint, text string")
     assert [r[0] for r in df.select(payload_bytes(df, ["text"])).collect()] == [13, 61]
