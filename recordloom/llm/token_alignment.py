@@ -42,6 +42,9 @@ MEMO_CHARS, MEMO_PARTS = 16 << 20, 1 << 18
 # B reads a part behind its space and adds none to nothing, so a last single space stays with what is before it
 _BORDER = re.compile(r"(?<=[\w!-~])(?= (?s:.))")
 _SPACE = "▁"
+#: Parts in one call of a tokenizer.
+ROW_PARTS = 64
+_LAST = re.compile(r"[\w!-~]\Z")
 _COLUMNS = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<long>"
 
 
@@ -94,17 +97,21 @@ class Aligner:
         known = {part for part in fresh if part in self.older}
         self.memo.update((part, self.older[part]) for part in known)
         self.held += sum(map(len, fresh))
-        fresh = list(fresh.difference(known))
-        for low in range(0, len(fresh), 4096):
-            self._align(fresh[low : low + 4096])
-
-    def _align(self, parts: list[str]) -> None:
+        fresh = fresh.difference(known)
+        # parts that may stand before another one are tokenized in rows of many
+        alone = [part for part in fresh if not _LAST.search(part) or _SPACE in part]
+        for some, step in ((list(fresh.difference(alone)), ROW_PARTS), (alone, 1)):
+            for low in range(0, len(some), 4096):
+                self._align(some[low : low + 4096], step)
+
+    def _align(self, parts: list[str], step: int) -> None:
         data = [part.encode() for part in parts]
-        first = np.cumsum([0, *map(len, data)])[:-1]
+        part_first = np.cumsum([0, *map(len, data)])[:-1]
+        first, rows = part_first[::step], ["".join(parts[low : low + step]) for low in range(0, len(parts), step)]
         joined = b"".join(data)
         flat = np.frombuffer(joined, np.uint8)
 
-        encoded = self.a.encode_batch(parts, add_special_tokens=False)
+        encoded = self.a.encode_batch(rows, add_special_tokens=False)
         a_ids, a_part, a_fine = _decoded([x.ids for x in encoded], self.a_length, first)
         spans = np.fromiter(chain.from_iterable(chain.from_iterable(x.offsets for x in encoded)), np.int64).reshape(-1, 2)
         chars = np.append(np.flatnonzero((flat & 0xC0) != 0x80), len(flat))
@@ -114,19 +121,23 @@ class Aligner:
         inside[:-1] = (a_part[1:] == a_part[:-1]) & (spans[1:, 0] < spans[:-1, 1])
         a_ends = np.where(inside, a_fine, a_ends)
 
-        protos = [proto.pieces for proto in self.b.encode([part[1:] for part in parts], return_type="proto", num_threads=1)]
+        protos = [proto.pieces for proto in self.b.encode([row[1:] for row in rows], return_type="proto", num_threads=1)]
         b_ids, b_part, b_fine = _decoded([[p.id for p in pieces] for pieces in protos], self.b_length, first)
         # the added space stands before all of B's spans; bytes of one character share a span
         b_ends = first[b_part] + 1 + np.fromiter((p.end for pieces in protos for p in pieces), np.int64, len(b_ids))
         b_ends = np.where(self.is_byte[b_ids], b_fine, b_ends)
 
         last = len(flat)
-        bad = set(a_part[a_ends != a_fine]) | set(b_part[b_ends != b_fine])
+        bad = set(a_part[a_ends != a_fine].tolist()) | set(b_part[b_ends != b_fine].tolist())
         sides = [(a_ids.tolist(), a_part, self.a_bytes), (b_ids.tolist(), b_part, self.b_bytes)]
-        for ids, part, raw in sides:
-            if b"".join(map(raw.__getitem__, ids)) != joined:
+        if bad or any(b"".join(map(raw.__getitem__, ids)) != joined for ids, _, raw in sides):
+            if step > 1:
+                return self._align(parts, 1)
+            for ids, part, raw in sides:
                 stops = np.searchsorted(part, np.arange(len(parts) + 1)).tolist()
                 bad |= {k for k in range(len(parts)) if b"".join(map(raw.__getitem__, ids[stops[k] : stops[k + 1]])) != data[k]}
+        elif step > 1:
+            a_part, b_part = (np.searchsorted(part_first, ends) - 1 for ends in (a_ends, b_ends))
         a_ends, b_ends = np.minimum(a_ends, last), np.minimum(b_ends, last)
         a_marks, b_marks = np.zeros(last + 1, bool), np.zeros(last + 1, bool)
         a_marks[a_ends] = b_marks[b_ends] = True
