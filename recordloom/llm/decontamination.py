@@ -1,7 +1,7 @@
 """Benchmark decontamination with generalised suffix automata over words.
 
-Test items are cut into shards of bounded size; a task builds one automaton for each, and automata travel to the
-document tasks in groups of bounded size. A document's words stream through an automaton that keeps the longest match
+Test items are cut into shards of bounded size; a task builds one automaton for each. They are written, and travel to the
+document tasks in groups of bounded size, one group after the other. A document's words stream through an automaton that keeps the longest match
 ending at each word. A match of ``width`` words or more is a window of some item; items of fewer words count
 whole. ``scan_documents`` reports hits, ``decontaminate`` cuts hit spans out of texts and drops documents
 that are mostly hits.
@@ -15,19 +15,24 @@ from __future__ import annotations
 
 import math
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.llm.arrow_text import byte_values, slices, span_hashes, word_bounds
+from recordloom.llm.secrets import fresh_name
 from recordloom.session import stage
 
 SHARD_WORDS = 50_000
-GROUP_BYTES = 64 << 20
+#: A state takes some 400 bytes in a worker.
+GROUP_STATES = 400_000
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
@@ -184,9 +189,20 @@ class DocumentWords:
                     self.names.setdefault(int(self.doc[low]), set()).update(names)
 
 
-def build_automata(items: DataFrame, width: int) -> list[list[bytes]]:
-    """Groups of pickled automata, each group of bounded size unless a single item is larger."""
+@dataclass(frozen=True)
+class AutomatonStore:
+    """The written automata and the groups in which they are used, each of a bounded number of states unless one shard has more."""
 
+    rows: DataFrame
+    groups: tuple[tuple[int, ...], ...]
+
+    def share(self, group: tuple[int, ...]) -> Broadcast:
+        """The automata of one group, sent to all tasks; the driver holds no others."""
+        mine = self.rows.filter(F.col("shard").isin(list(group))).select("automaton").collect() if group else []
+        return self.rows.sparkSession.sparkContext.broadcast([bytes(row["automaton"]) for row in mine])
+
+
+def build_automata(items: DataFrame, width: int) -> AutomatonStore:
     def build(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, list] = {}
         for frame in frames:
@@ -194,19 +210,73 @@ def build_automata(items: DataFrame, width: int) -> list[list[bytes]]:
                 if words := words_of(text):
                     held.setdefault(shard, []).append((name, words))
         for shard in held:
-            yield pd.DataFrame({"automaton": [ItemAutomaton(held[shard], width).to_bytes()]})
+            automaton = ItemAutomaton(held[shard], width)
+            yield pd.DataFrame({"shard": [shard], "states": [len(automaton.step)], "automaton": [automaton.to_bytes()]})
 
     named = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("name"), "text")
     size = named.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
     shards = max(1, math.ceil(size / 5 / SHARD_WORDS))
     dealt = named.withColumn("shard", F.pmod(F.xxhash64("name", "text"), F.lit(shards)).cast("int"))
-    rows = stage(dealt.repartition(shards, "shard").mapInPandas(build, "automaton binary"), "automata")
-    groups: list[list[bytes]] = [[]]
-    for row in rows.toLocalIterator():
-        if sum(map(len, groups[-1])) + len(row["automaton"]) > GROUP_BYTES and groups[-1]:
+    rows = stage(dealt.repartition(shards, "shard").mapInPandas(build, "shard int, states long, automaton binary"), "automata")
+    groups: list[list[int]] = [[]]
+    states = 0
+    for row in rows.select("shard", "states").orderBy("shard").collect():
+        if groups[-1] and states + row["states"] > GROUP_STATES:
             groups.append([])
-        groups[-1].append(bytes(row["automaton"]))
-    return groups
+            states = 0
+        groups[-1].append(row["shard"])
+        states += row["states"]
+    return AutomatonStore(rows, tuple(map(tuple, groups)))
+
+
+@dataclass(frozen=True)
+class _Names:
+    """Columns that scanning fills in; those without a name are left out."""
+
+    hits: str
+    items: str | None = None
+    n_words: str | None = None
+    n_hit: str | None = None
+
+
+def _marked(rows: DataFrame, store: AutomatonStore, names: _Names) -> DataFrame:
+    """``rows`` with the hits of all groups, one bit a word; each group reads what the ones before it have found."""
+    for group in store.groups:
+        shared = store.share(group)
+        rows = rows.mapInArrow(_marker(shared, names), rows.schema)
+        if len(store.groups) > 1:
+            rows = stage(rows, "hits")
+            shared.unpersist()
+    return rows
+
+
+def _marker(shared: Broadcast, names: _Names) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automata = [ItemAutomaton.from_bytes(x) for x in shared.value]
+        for batch in batches:
+            for low, high, data, bounds in slices(batch.column("text")):
+                part = batch.slice(low, high - low)
+                words = DocumentWords(data, bounds)
+                for automaton in automata:
+                    words.match(automaton)
+                hits, ones = [], []
+                for i, old in enumerate(part.column(names.hits).to_pylist()):
+                    hit = words.hit[words.first[i] : words.first[i + 1]]
+                    if old is not None:
+                        hit = hit | np.unpackbits(np.frombuffer(old, np.uint8), count=len(hit)).astype(bool)
+                    hits.append(np.packbits(hit).tobytes())
+                    ones.append(int(hit.sum()))
+                made = {names.hits: hits}
+                if names.items:
+                    before = part.column(names.items).to_pylist()
+                    made[names.items] = [sorted(words.names.get(i, set()) | set(x)) for i, x in enumerate(before)]
+                    made |= {names.n_words: np.diff(words.first), names.n_hit: ones}
+                arrays = [
+                    pa.array(made[field.name], field.type) if field.name in made else part.column(i) for i, field in enumerate(part.schema)
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, schema=part.schema)
+
+    return mark
 
 
 def scan_documents(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
@@ -215,35 +285,8 @@ def scan_documents(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFr
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit(None).cast("binary").alias("hits"),
         F.array().cast("array<string>").alias("items"), F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
     )
-    names = ["doc_id", "text", "hits", "items", "n_words", "n_hit"]
-    for group in build_automata(items, width):
-        shared = docs.sparkSession.sparkContext.broadcast(group)
-
-        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            automata = [ItemAutomaton.from_bytes(x) for x in shared.value]
-            for batch in batches:
-                for low, high, data, bounds in slices(batch.column("text")):
-                    part = batch.slice(low, high - low)
-                    words = DocumentWords(data, bounds)
-                    for automaton in automata:
-                        words.match(automaton)
-                    hits, found, ones, count = [], [], [], np.diff(words.first)
-                    before = zip(part.column("hits").to_pylist(), part.column("items").to_pylist())
-                    for i, (old, names_before) in enumerate(before):
-                        hit = words.hit[words.first[i] : words.first[i + 1]]
-                        if old is not None:
-                            hit = hit | np.unpackbits(np.frombuffer(old, np.uint8), count=len(hit)).astype(bool)
-                        hits.append(np.packbits(hit).tobytes())
-                        ones.append(int(hit.sum()))
-                        found.append(sorted(words.names.get(i, set()) | set(names_before)))
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column("doc_id"), part.column("text"), pa.array(hits, pa.binary()),
-                         pa.array(found, pa.list_(pa.string())), pa.array(count, pa.int64()), pa.array(ones, pa.int64())],
-                        names,
-                    )
-
-        rows = rows.mapInArrow(scan, "doc_id long, text string, hits binary, items array<string>, n_words long, n_hit long")
-    return rows.select("doc_id", "n_words", "n_hit", "items")
+    found = _marked(rows, build_automata(items, width), _Names("hits", "items", "n_words", "n_hit"))
+    return found.select("doc_id", "n_words", "n_hit", "items")
 
 
 def decontaminate(
@@ -251,27 +294,69 @@ def decontaminate(
 ) -> DataFrame:
     """``docs`` without hit spans: they are cut from ``text``; documents with a larger share of hit words are dropped.
 
-    Cutting can join words to a new window, so cutting goes on until none is left. All columns stay; only texts with hits change.
+    Hits of all items are put together before anything is cut. Cutting can join words to a new window, so cutting goes on until
+    none is left. The share is that of all words cut or hit so far among the words that the text had at first, so it doesn't
+    depend on how items fall into groups. All columns stay; only texts with hits change.
     """
-    groups = build_automata(items, width)
+    store = build_automata(items, width)
+    if len(store.groups) == 1:
+        return docs.mapInArrow(_cleaner(store.share(store.groups[0]), docs.columns.index("text"), coverage_limit), docs.schema)
+    hits, total, gone, again = (fresh_name(docs, name) for name in ("_hits", "_total", "_gone", "_again"))
+    nothing = F.lit(None).cast("long")
+    rows = docs.withColumns({hits: F.lit(None).cast("binary"), total: nothing, gone: nothing, again: F.lit(False)})
+    clean = []
     while True:
-        rows = docs
-        for group in groups:
-            rows = _cut(rows, docs.sparkSession.sparkContext.broadcast(group), coverage_limit)
-        if len(groups) == 1:
-            return rows
-        # with several groups a cut for one may join words to a window of another
-        rows = stage(rows, "decontaminated")
-        bytes_of = lambda df: df.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
-        if bytes_of(rows) == bytes_of(docs):
-            return rows
-        docs = rows
-
-
-def _cut(docs: DataFrame, shared, coverage_limit: float) -> DataFrame:
-    column = docs.columns.index("text")
+        marked = _marked(rows, store, _Names(hits))
+        rows = stage(marked.mapInArrow(_cutter((hits, total, gone, again), coverage_limit), marked.schema), "decontaminated")
+        clean.append(rows.filter(~F.col(again)).select(*docs.columns))
+        rows = rows.filter(F.col(again))
+        if rows.isEmpty():
+            return reduce(DataFrame.union, clean)
+
+
+def _cutter(names: tuple[str, str, str, str], coverage_limit: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Cuts the marked words; ``again`` is true for texts that have changed and must be read once more."""
+    hits, total, gone, again = names
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = {name: batch.column(name).to_pylist() for name in (hits, total, gone)}
+            bits, texts = columns[hits], batch.column("text")
+            totals, cuts, changed = columns[total], columns[gone], [False] * batch.num_rows
+            keep, new = np.ones(batch.num_rows, bool), {}
+            for i, x in enumerate(bits):
+                if not x or not any(x):
+                    continue
+                data = texts[i].as_py().encode()
+                words = DocumentWords(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+                hit = np.unpackbits(np.frombuffer(x, np.uint8), count=len(words.starts)).astype(bool)
+                totals[i], cuts[i] = totals[i] or len(hit), (cuts[i] or 0) + int(hit.sum())
+                keep[i] = not hit.all() and cuts[i] <= coverage_limit * totals[i]
+                changed[i], new[i] = True, _without(data, words, hit).decode()
+            made = {hits: [None] * batch.num_rows, total: totals, gone: cuts, again: changed}
+            if new:
+                made["text"] = [new.get(i, text) for i, text in enumerate(texts.to_pylist())]
+            arrays = [
+                pa.array(made[field.name], field.type) if field.name in made else batch.column(i) for i, field in enumerate(batch.schema)
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, schema=batch.schema).filter(pa.array(keep))
+
+    return cut
+
+
+def _without(data: bytes, words: DocumentWords, hit: np.ndarray) -> bytes:
+    edge = np.flatnonzero(np.diff(np.concatenate(([False], hit, [False])).astype(np.int8)))
+    out, at = [], 0
+    for low, high in zip(edge[::2], edge[1::2]):
+        out.append(data[at : words.starts[low]])
+        at = words.ends[high - 1]
+    return b"".join([*out, data[at:]])
+
+
+def _cleaner(shared: Broadcast, column: int, coverage_limit: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Marks and cuts in one go, where one group holds all automata."""
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automata = [ItemAutomaton.from_bytes(x) for x in shared.value]
         for batch in batches:
             for low, high, data, bounds in slices(batch.column("text")):
@@ -292,23 +377,19 @@ def _cut(docs: DataFrame, shared, coverage_limit: float) -> DataFrame:
                 changed = pa.RecordBatch.from_arrays(arrays, schema=part.schema)
                 yield changed.filter(pa.array(keep))
 
-    return docs.mapInArrow(cut, docs.schema)
+    return clean
 
 
 def _cleaned(text: str, automata: list[ItemAutomaton], coverage_limit: float) -> str | None:
-    data, total = text.encode(), 0
+    data, total, gone = text.encode(), 0, 0
     while True:
         words = DocumentWords(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
         for automaton in automata:
             words.match(automaton)
         total = total or len(words.hit)
         if not words.hit.any():
-            return data.decode() if len(words.hit) else None
-        if words.hit.sum() > coverage_limit * total:
+            return data.decode()
+        gone += int(words.hit.sum())
+        if words.hit.all() or gone > coverage_limit * total:
             return None
-        edge = np.flatnonzero(np.diff(np.concatenate(([False], words.hit, [False])).astype(np.int8)))
-        out, at = [], 0
-        for low, high in zip(edge[::2], edge[1::2]):
-            out.append(data[at : words.starts[low]])
-            at = words.ends[high - 1]
-        data = b"".join([*out, data[at:]])
+        data = _without(data, words, words.hit)

@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from recordloom.llm import decontamination as module
 from recordloom.llm.decontamination import ItemAutomaton, decontaminate, scan_documents, words_of
 from tests.llm.edges import EDGE_TEXTS, documents, empty
@@ -47,7 +49,7 @@ def test_against_every_window(spark):
 def test_many_shards_and_groups(spark, monkeypatch):
     docs, items = random_case(7)
     monkeypatch.setattr(module, "SHARD_WORDS", 5)
-    monkeypatch.setattr(module, "GROUP_BYTES", 1)
+    monkeypatch.setattr(module, "GROUP_STATES", 1)
     monkeypatch.setattr(module, "build_automata", lambda i, w, f=module.build_automata: f(i.limit(8), w))
     items = items[:8]
     found = scan_documents(*frames(spark, docs, items), width=4).collect()
@@ -58,6 +60,54 @@ def test_many_shards_and_groups(spark, monkeypatch):
     assert all(brute(r["text"], items, 4)[1] == 0 for r in cleaned)
 
 
+@pytest.mark.parametrize("limit", [0.2, 0.5, 1.0])
+def test_the_limit_does_not_depend_on_groups(spark, monkeypatch, limit):
+    own = [f"own{i}" for i in range(12)]
+    first, second = [f"one{i}" for i in range(12)], [f"two{i}" for i in range(12)]
+    inner = first[:6] + second[:6]
+    docs = [
+        (1, " ".join(first + second + own)), (2, " ".join(own + first + own)), (3, " ".join(own)), (4, None), (5, ""), (6, " ".join(first)),
+        # cutting an item joins the halves of another one: both cuts count
+        (7, " ".join(own + first[:6] + second + first[6:] + own)), (8, " ".join(first[:6] + second + first[6:] + own)),
+        (9, " ".join(own * 3 + first + own)), (10, " ".join(own + inner)), (11, " ".join(second[:6] + inner + second[6:] + own * 2)),
+    ]
+    items = [(1, " ".join(first)), (2, " ".join(second)), (3, " ".join(inner)), (4, "own3 own4")]
+
+    def run():
+        source, benchmark = frames(spark, docs, items)
+        return sorted(map(tuple, decontaminate(source, benchmark, coverage_limit=limit).select("doc_id", "text").collect()))
+
+    def plain():
+        out = []
+        for i, text in docs:
+            all_words = words(text or "")
+            left, total, gone = all_words, len(all_words), 0
+            while True:
+                marks = [False] * len(left)
+                for _, item in items:
+                    w = words(item)
+                    k = min(10, len(w))
+                    for window in {tuple(w[j : j + k]) for j in range(len(w) - k + 1)}:
+                        for at in range(len(left) - k + 1):
+                            if tuple(left[at : at + k]) == window:
+                                marks[at : at + k] = [True] * k
+                if not any(marks):
+                    out.append((i, left))
+                    break
+                gone += sum(marks)
+                if all(marks) or gone > limit * total:
+                    break
+                left = [x for x, m in zip(left, marks) if not m]
+        return out
+
+    whole = run()
+    assert [(i, words(t or "")) for i, t in whole] == plain()
+    monkeypatch.setattr(module, "SHARD_WORDS", 2)
+    monkeypatch.setattr(module, "GROUP_STATES", 1)
+    assert len(module.build_automata(frames(spark, docs, items)[1], 10).groups) > 2
+    assert run() == whole
+
+
 def test_edges(spark):
     items = [(1, "in several rows, with quite"), (2, LONG_ITEM)]
     found = scan_documents(*frames(spark, EDGE_TEXTS, items)).collect()
