@@ -23,12 +23,14 @@ from recordloom.streaming.ingest import (
     ChangeFeed,
     batch_statuses,
     change_counts,
+    compact_log,
     ingest,
     overlay,
     read_change_counts,
     read_log,
     stream_change_counts,
 )
+from recordloom.streaming.state import compact_state, keep_state, read_state
 
 from . import query, table
 
@@ -728,6 +730,50 @@ def stream_late_rows(spark, sf_dir):
     return batch_statuses(spark, f"{root}/log").join(keys, "batch_id").select("batch_id", "lines", "late_lines", "changed_keys")
 
 
+def _arrivals(spark, sf_dir):
+    """Three lots of events, each with times from the whole range: most of the later ones come late."""
+    kind = F.when(F.col("event_type") == "error", "DELETE").otherwise("MODIFY")
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", kind.alias("change_type"))
+    return events.schema, [events.where(F.col("event_id") % 3 == part) for part in (2, 0, 1)]
+
+
+@query("stream_state", f"SELECT user_id, event_id, value FROM ({_NEWEST}) WHERE change_type <> 'DELETE'")
+def stream_state(spark, sf_dir):
+    """Three micro-batches in any order of time, with a compaction of the output between them."""
+    root = scratch_path(spark, "state")
+    schema, lots = _arrivals(spark, sf_dir)
+    for number, lot in enumerate(lots):
+        lot.write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{root}/in")
+        keep_state(stream, f"{root}/state", f"{root}/checkpoint", _FEED).awaitTermination()
+        if number == 1:
+            compact_state(spark, f"{root}/state", schema, _FEED)
+    return read_state(spark, f"{root}/state", schema, _FEED).select("user_id", "event_id", "value")
+
+
+@query(
+    "stream_compact_then_older",
+    f"""
+    WITH newest AS ({_NEWEST})
+    SELECT c_custkey AS user_id, c_acctbal AS value FROM customer
+    WHERE c_custkey NOT IN (SELECT user_id FROM newest)
+    UNION ALL SELECT user_id, value FROM newest WHERE change_type <> 'DELETE'
+    """,
+)
+def stream_compact_then_older(spark, sf_dir):
+    """The log is compacted into the table after each micro-batch; older changes that come later, but on time, change nothing."""
+    root = scratch_path(spark, "compacted")
+    feed = ChangeFeed("user_id", "ts", "change_type", "event_id", "400 days")
+    schema, lots = _arrivals(spark, sf_dir)
+    base = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_acctbal").alias("value"))
+    for number, lot in enumerate(lots):
+        lot.write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{root}/in")
+        ingest(stream, f"{root}/log", f"{root}/checkpoint", feed).awaitTermination()
+        base = compact_log(base, f"{root}/log", schema, feed, f"{root}/table{number}")
+    return base
+
+
 _COUNTS = """
     SELECT date_trunc('day', ts) AS window_start,
            CASE WHEN event_type = 'error' THEN 'DELETE' ELSE 'MODIFY' END AS change_type,

@@ -153,12 +153,13 @@ def file_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def move_new(spark: SparkSession, path: str, final: str) -> bool:
-    """Move one file to a name that must be free; false if it is taken.
+    """Move one file or folder to a name that must be free; false if it is taken.
 
     The last step of a commit. Both names are in one folder of a file system whose renames are atomic and don't replace.
     """
     fs, source = _file_system(spark, path)
     _, target = _file_system(spark, final)
+    fs.mkdirs(target.getParent())
     try:
         return not fs.exists(target) and fs.rename(source, target)
     except Py4JJavaError as error:

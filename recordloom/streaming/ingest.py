@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.labels import col
-from ..session import exists, publish, remove, scratch_path
+from ..session import exists, file_names, publish, remove, scratch_path
 from ..operators.changes import DELETE
 
 
@@ -56,7 +56,7 @@ def _write_batch(changes: DataFrame, batch_id: int, log: str, feed: ChangeFeed)
     time = col(feed.changed_at).cast("timestamp_ntz")
     late = F.lit(False) if mark is None else time < F.lit(str(mark)).cast("timestamp_ntz")
     changes.persist()
-    on_time = newest_per_key(changes.where(~late), feed)
+    on_time = _not_superseded(newest_per_key(changes.where(~late), feed), log, feed)
 
     def write(df: DataFrame, part: str) -> None:
         df.write.mode("overwrite").parquet(f"{log}/{part}/batch_id={batch_id}")
@@ -72,6 +72,42 @@ def _write_batch(changes: DataFrame, batch_id: int, log: str, feed: ChangeFeed)
     changes.unpersist()
 
 
+def _position(feed: ChangeFeed):
+    return F.struct(col(feed.changed_at).alias("at"), col(feed.sequence).alias("sequence"))
+
+
+def _held(spark: SparkSession, log: str) -> DataFrame | None:
+    """``key, at, sequence`` of the changes that compactions have applied and that older on-time changes may still meet."""
+    names = sorted(file_names(spark, f"{log}/held"))
+    return spark.read.parquet(f"{log}/held/{names[-1]}") if names else None
+
+
+def _not_superseded(changes: DataFrame, log: str, feed: ChangeFeed) -> DataFrame:
+    """Changes newer than what a compaction has already put into the base table."""
+    held = _held(changes.sparkSession, log)
+    if held is None:
+        return changes
+    newest = held.select(F.col("key").alias("_key"), F.struct("at", "sequence").alias("_held"))
+    joined = changes.join(newest, col(feed.key) == F.col("_key"), "left")
+    newer = F.col("_held").isNull() | (_position(feed) > F.col("_held"))
+    return joined.where(newer).select(*[col(name) for name in changes.columns])
+
+
+def _hold(changes: DataFrame, log: str, last: int, feed: ChangeFeed) -> None:
+    """Remember the positions of applied changes, but for those so old that a change before them would be late."""
+    spark = changes.sparkSession
+    applied = newest_per_key(changes, feed).select(
+        col(feed.key).alias("key"), col(feed.changed_at).alias("at"), col(feed.sequence).alias("sequence")
+    )
+    if (before := _held(spark, log)) is not None:
+        applied = applied.unionByName(before)
+    mark = _watermark(spark, log, last + 1, feed)
+    if mark is not None:
+        applied = applied.where(F.col("at").cast("timestamp_ntz") >= F.lit(str(mark)).cast("timestamp_ntz"))
+    newest = applied.groupBy("key").agg(F.max(F.struct("at", "sequence")).alias("p")).select("key", "p.*")
+    newest.write.mode("overwrite").parquet(f"{log}/held/{last:020d}")
+
+
 def ingest(stream: DataFrame, log: str, checkpoint: str, feed: ChangeFeed) -> StreamingQuery:
     """Append all available changes of a stream to the log.
 
@@ -125,7 +161,8 @@ def compact_log(
     """Apply all logged changes to ``base``, write the result to ``path``, and trim the log.
 
     Only micro-batches that were there at the start are applied and removed; what a running
-    ingestion adds meanwhile stays for the next time. The sightings behind the watermark stay.
+    ingestion adds meanwhile stays for the next time. The sightings behind the watermark stay, and so do the positions of
+    applied changes that an older one, still on time, could come after: it is not logged any more.
     A restarted ingestion repeats its last micro-batch at most, which changes nothing any more.
     """
     spark = base.sparkSession
@@ -133,7 +170,9 @@ def compact_log(
     last = changes.agg(F.max("batch_id").alias("last")).first()["last"]
     if last is None:
         return compact(base, changes.drop("batch_id"), feed, path)
-    result = compact(base, changes.where(F.col("batch_id") <= last).drop("batch_id"), feed, path)
+    applied = changes.where(F.col("batch_id") <= last).drop("batch_id")
+    _hold(applied, log, last, feed)
+    result = compact(base, applied, feed, path)
     for batch_id in [row["batch_id"] for row in batch_statuses(spark, log).where(F.col("batch_id") <= last).collect()]:
         remove(spark, f"{log}/changes/batch_id={batch_id}")
     return result

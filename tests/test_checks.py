@@ -157,6 +157,72 @@ def test_ingest_late_rows_and_replay(spark, tmp_path):
         base = compacted
 
 
+def test_an_older_change_after_a_compaction_loses(spark, tmp_path):
+    source, log, marks = (str(tmp_path / name) for name in ("in", "log", "marks"))
+    base = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string")
+    schema = spark.createDataFrame([], CHANGE).schema
+    half = lambda hour: datetime(2024, 1, 1, hour, 30)
+
+    def arrive(rows):
+        spark.createDataFrame(rows, CHANGE).coalesce(1).write.mode("append").parquet(source)
+        ingest(spark.readStream.schema(CHANGE).parquet(source), log, marks, FEED).awaitTermination()
+
+    arrive([(1, "new", "MODIFY", _at(12), 1), (2, None, "DELETE", _at(12), 2), (3, "x", "CREATE", _at(9), 3)])
+    base = compact_log(base, log, schema, FEED, str(tmp_path / "t1"))
+    arrive([(1, "older", "MODIFY", half(11), 4), (2, "back", "MODIFY", half(11), 5), (3, "y", "MODIFY", half(11), 6)])
+    assert {r.id for r in read_log(spark, log, schema).collect()} == {3}
+    base = compact_log(base, log, schema, FEED, str(tmp_path / "t2"))
+    assert {r.id: r.v for r in base.collect()} == {1: "new", 3: "y"}
+    arrive([(1, "newer", "MODIFY", half(12), 7), (3, "late", "MODIFY", _at(10), 8), (3, "same", "MODIFY", half(11), 6)])
+    base = compact_log(base, log, schema, FEED, str(tmp_path / "t3"))
+    assert {r.id: r.v for r in base.collect()} == {1: "newer", 3: "y"}
+    # only positions that an on-time change could still come before are remembered
+    from recordloom.streaming.ingest import _held
+
+    assert {r.key for r in _held(spark, log).collect()} == {1, 2, 3}
+    arrive([(9, "z", "CREATE", _at(20), 9)])
+    compact_log(base, log, schema, FEED, str(tmp_path / "t4"))
+    assert {r.key for r in _held(spark, log).collect()} == {9}
+
+
+def test_state_of_a_stream_and_its_compaction(spark, tmp_path, monkeypatch):
+    from recordloom.streaming import state as module
+    from recordloom.streaming.state import compact_state, keep_state, read_state
+
+    source, path, marks = (str(tmp_path / name) for name in ("in", "state", "marks"))
+    schema = spark.createDataFrame([], CHANGE).schema
+
+    def arrive(rows):
+        spark.createDataFrame(rows, CHANGE).coalesce(1).write.mode("append").parquet(source)
+        keep_state(spark.readStream.schema(CHANGE).parquet(source), path, marks, FEED).awaitTermination()
+
+    def now():
+        return {r.id: r.v for r in read_state(spark, path, schema, FEED).collect()}
+
+    assert now() == {}
+    arrive([(1, "a", "MODIFY", _at(10), 1), (2, "b", "MODIFY", _at(11), 2), (1, "same time", "MODIFY", _at(10), 3)])
+    arrive([(2, "older", "MODIFY", _at(9), 4), (3, "c", "CREATE", _at(3), 5), (1, None, "DELETE", _at(12), 6)])
+    want = {2: "b", 3: "c"}
+    assert now() == want
+
+    def crash(*args):
+        raise OSError("the driver died")
+
+    for name in ("move_new", "remove"):
+        real = getattr(module, name)
+        monkeypatch.setattr(module, name, crash)
+        with pytest.raises(OSError):
+            compact_state(spark, path, schema, FEED)
+        monkeypatch.setattr(module, name, real)
+        assert now() == want
+    compact_state(spark, path, schema, FEED)
+    assert now() == want
+    arrive([(1, "back", "MODIFY", _at(11), 7), (3, "d", "MODIFY", _at(4), 8), (2, "very old", "MODIFY", _at(1), 9)])
+    assert now() == {2: "b", 3: "d"}, "1 stays deleted"
+    assert compact_state(spark, path, schema, FEED) == 1 and compact_state(spark, path, schema, FEED) == 0
+    assert now() == {2: "b", 3: "d"}
+
+
 def test_median_of_hot_values(spark):
     from recordloom.operators.ordering import exact_median
 
