@@ -52,13 +52,6 @@ def usable(vectors: DataFrame, scale: int) -> DataFrame:
     return plain.filter(F.col("label").isNotNull() & finite).select("vec_id", "label", F.size("vector").alias("width"), whole.alias("vector"))
 
 
-def exact_scores(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Inner products as whole numbers; in double precision where that is exact."""
-    if np.abs(rows).max(initial=0) * float(np.abs(query).max(initial=0)) * max(len(query), 1) < _EXACT:
-        return (rows.astype(np.float64, copy=False) @ query.astype(np.float64)).astype(np.int64)
-    return rows.astype(np.int64) @ query.astype(np.int64)
-
-
 def _augmented(vectors: np.ndarray) -> tuple[np.ndarray, float]:
     """Vectors with one more component that gives all the same norm, and the square of it."""
     x = vectors.astype(np.float64)
@@ -110,6 +103,7 @@ class CoverTree:
         place[self.order] = np.arange(len(parent))
         self.vectors = vectors[self.order]
         self.fast = self.vectors.astype(np.float64)
+        self.largest = float(np.abs(self.fast).max(initial=0))
         self.squares = float(_augmented(vectors)[1])
         #: Groups: points of one parent and level, a run of places each.
         owner, step = parent[self.order], level[self.order]
@@ -138,22 +132,33 @@ class CoverTree:
         best: list[list[tuple[int, int]]] = [[] for _ in windows]
         worst = [low for low, _ in windows]
         least, most = np.array(worst, float), np.array([high for _, high in windows], float)
-        both = float((query.astype(np.float64) ** 2).sum()) + self.squares
-        slack = 1e-9 * both + 1e-6
-        rows = self.fast if self.exact(query) else self.vectors
+        # the query at the norm of the augmented points; its products are those of ``query`` times this
+        own = math.sqrt(float((query.astype(np.float64) ** 2).sum()))
+        stretch = math.sqrt(self.squares) / own if own and self.squares else 1.0
+        both = 2 * self.squares
+        slack = 1e-9 * both / stretch + 1e-6
+        fast = self.exact(query)
+        rows, asked = (self.fast, query.astype(np.float64)) if fast else (self.vectors, query)
+        highest = max(high for _, high in windows)
         queue: list[tuple[float, int, int]] = []
 
         def meet(low: int, high: int) -> np.ndarray:
             """Scores of the points; the best of those in a window are taken."""
             self.met += high - low
-            scores = exact_scores(rows[low:high], query)
+            scores = rows[low:high] @ asked
+            any_window = (scores >= min(worst)) & (scores <= highest) & counts[low:high]
+            if not any_window.any():
+                return scores
+            near = np.flatnonzero(any_window)
+            near = near[np.argsort(-scores[near], kind="stable")]
+            ranked = scores[near].tolist()
             for w, (_, top) in enumerate(windows):
-                at = np.flatnonzero((scores >= worst[w]) & (scores <= top) & counts[low:high])
-                for place in at[np.argsort(-scores[at], kind="stable")].tolist():
-                    score = int(scores[place])
-                    if len(best[w]) == k and score < -best[w][-1][0]:
+                for place, score in zip(near.tolist(), ranked):
+                    if score < worst[w] or len(best[w]) == k and score < -best[w][-1][0]:
                         break
-                    best[w] = heapq.nsmallest(k, best[w] + [(-score, i) for i in ids(low + place, k)])
+                    if score <= top:
+                        score = int(score)
+                        best[w] = heapq.nsmallest(k, best[w] + [(-score, i) for i in ids(low + place, k)])
                 if len(best[w]) == k:
                     worst[w] = -best[w][-1][0]
                     least[w] = worst[w]
@@ -161,10 +166,10 @@ class CoverTree:
 
         def push(groups: np.ndarray, scores: np.ndarray) -> None:
             """Queue groups whose bounds meet a window. ``scores``: those of the groups' owners."""
-            distance = np.sqrt(np.maximum(both - 2 * scores, 0))
+            distance = np.sqrt(np.maximum(both - 2 * stretch * scores, 0))
             radius = self.radius[groups] * (1 + 1e-9)
-            upper = (both - np.maximum(distance - radius, 0) ** 2) / 2 + slack
-            lower = (both - (distance + radius) ** 2) / 2 - slack
+            upper = (both - np.maximum(distance - radius, 0) ** 2) / (2 * stretch) + slack
+            lower = (both - (distance + radius) ** 2) / (2 * stretch) - slack
             meets = ((upper[:, None] >= least) & (lower[:, None] <= most)).any(axis=1)
             for u, g, score in zip(upper[meets].tolist(), groups[meets].tolist(), scores[meets].tolist()):
                 heapq.heappush(queue, (-u, g, score))
@@ -189,7 +194,8 @@ class CoverTree:
         return best
 
     def exact(self, query: np.ndarray) -> bool:
-        return np.abs(self.fast).max(initial=0) * float(np.abs(query).max(initial=0)) * max(len(query), 1) < _EXACT
+        """Whether sums of products with ``query`` are exact in double precision."""
+        return self.largest * float(np.abs(query).max(initial=0)) * max(len(query), 1) < _EXACT
 
 
 def _vectors(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
