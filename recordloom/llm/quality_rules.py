@@ -251,14 +251,17 @@ def _matrix(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray,
 
 
 def _summed(sample: DataFrame, function: Callable[..., np.ndarray]) -> np.ndarray | None:
-    """The sum of ``function(labels, rows, buckets, shares)``, an array of fixed size, over the sample's tasks."""
+    """The sum of ``function(labels, rows, buckets, shares)``, an array of fixed size, over the sample.
+
+    At most ``FIT_TASKS`` of these arrays meet on the driver.
+    """
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels, *entries = _matrix(batches)
         if len(labels):
             yield pa.RecordBatch.from_pydict({"sum": [function(labels, *entries).tobytes()]})
 
-    parts = [np.frombuffer(row["sum"]) for row in sample.mapInArrow(partial, "sum binary").collect()]
+    parts = [np.frombuffer(row["sum"]) for row in sample.coalesce(FIT_TASKS).mapInArrow(partial, "sum binary").collect()]
     return np.sum(parts, axis=0) if parts else None
 
 
