@@ -10,7 +10,8 @@ Stages keep all columns of ``documents``, whatever further ones there are, and d
 5. mixing keeps what the target weights take: ``taken`` words of each document, none that takes nothing.
 
 Where a text changes, ``n_chars`` follows, if there is such a column. Empty tables give empty results. Null and
-empty texts have no language and go in the first stage. A document with a null id stands for itself.
+empty texts have no language and go in the first stage. A document with a null id stands for itself. Of rows with equal id and
+text the second stage keeps the one whose other columns, as JSON, come first.
 """
 
 from __future__ import annotations
@@ -65,8 +66,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     equal = written(equal.select("_id", "_text"), "near-duplicates")
     if equal.isEmpty():
         return kept
-    repeated = kept.join(equal, _same_row(kept, equal), "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(equal, _same_row(kept, equal), "left_anti").union(repeated)
+    repeated = kept.join(equal, _same_row(kept, equal), "left_semi")
+    # of rows that differ elsewhere, the one whose other columns come first as text
+    others = F.to_json(F.struct(*[F.col(f"`{name}`") for name in docs.columns]), {"ignoreNullFields": "false"})
+    first = repeated.groupBy("doc_id", "text").agg(F.min_by(F.struct("*"), others).alias("_row")).select("_row.*")
+    return kept.join(equal, _same_row(kept, equal), "left_anti").union(first)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
