@@ -97,6 +97,16 @@ def test_near_duplicates_from_80_percent(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [10, 20, 21]
 
 
+def test_equal_rows_that_differ_elsewhere(spark):
+    """One of them stays, the same one in whatever order they come."""
+    text = "several words that are long enough to have some shingles of five words"
+    rows = [(1, text, "en", source, 5) for source in ("c", None, "a", "b", "a")] + [(2, text + " more", "en", "z", 9)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for order in (rows, rows[::-1], sorted(rows, key=repr)):
+        kept = corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(order, schema).repartition(3), "")
+        assert [tuple(r) for r in kept.collect()] == [(1, text, "en", "a", 5)]
+
+
 def test_run_without_further_columns(spark, tmp_path):
     folder = str(tmp_path / "tables")
     rng = random.Random(1)
