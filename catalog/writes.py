@@ -14,6 +14,7 @@ from recordloom.operators.changes import (
 )
 from recordloom.operators.commits import commit_delete, commit_delete_files, commit_upsert, commit_upsert_files
 from recordloom.operators.constraints import FieldRule
+from recordloom.operators.digests import diff_by_digest, digest_tree
 from recordloom.operators.journal import BatchError, execute_batches
 from recordloom.operators.query import select_where
 from recordloom.operators.upsert import batch_report, check_result, line_errors, upsert
@@ -514,8 +515,7 @@ def _before_after(spark, sf_dir):
     return orders, changed.unionByName(new)
 
 
-@query(
-    "table_diff",
+_DIFF = (
     _AFTER
     + """
     , rows AS (
@@ -532,11 +532,20 @@ def _before_after(spark, sf_dir):
     SELECT record_id, change_type, CASE WHEN change_type = 'MODIFY' THEN fields ELSE '' END AS changed_fields,
            price_before, price_after
     FROM rows WHERE change_type <> 'MODIFY' OR fields <> ''
-    """,
+    """
+)
+
+
+@query(
+    "table_diff",
+    _DIFF,
 )
 def diff(spark, sf_dir):
-    before, after = _before_after(spark, sf_dir)
-    return table_diff(before, after, "o_orderkey", include_details=True).select(
+    return _shown_diff(table_diff(*_before_after(spark, sf_dir), "o_orderkey", include_details=True))
+
+
+def _shown_diff(entries):
+    return entries.select(
         "record_id",
         "change_type",
         F.array_join("changed_fields", ",").alias("changed_fields"),
@@ -545,6 +554,14 @@ def diff(spark, sf_dir):
     )
 
 
+@query("diff_by_digest", _DIFF)
+def by_digest(spark, sf_dir):
+    """The same difference by digest trees of both states."""
+    before, after = _before_after(spark, sf_dir)
+    trees = [digest_tree(df, "o_orderkey") for df in (before, after)]
+    return _shown_diff(diff_by_digest(before, after, "o_orderkey", *trees, include_details=True))
+
+
 @query(
     "table_diff_counts",
     _AFTER

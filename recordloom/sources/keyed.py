@@ -15,6 +15,8 @@ import json
 from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 from uuid import uuid4
 
 import pyarrow as pa
@@ -92,8 +94,15 @@ class KeyedTable:
             f"{self.path}/{self.version.manifest}"
         )
 
-    def read(self) -> DataFrame:
-        return self._read([row["path"] for row in self.manifest().select("path").collect()])
+    def read(self, ranges: Sequence[tuple] | None = None) -> DataFrame:
+        """The table, or its records with keys in ``ranges`` (bounds included): other files are not opened."""
+        files = self.manifest().where("rows > 0")
+        if ranges is None:
+            return self._read([row["path"] for row in files.select("path").collect()])
+        meets = reduce(or_, [(F.col("low") <= high) & (F.col("high") >= low) for low, high in ranges], F.lit(False))
+        key = col(self.version.key)
+        wanted = reduce(or_, [(key >= low) & (key <= high) for low, high in ranges], F.lit(False))
+        return self._read([row["path"] for row in files.where(meets).select("path").collect()]).where(wanted)
 
     def _read(self, paths: Sequence[str]) -> DataFrame:
         if not paths:

@@ -220,3 +220,53 @@ def test_a_crash_inside_publish_is_mended(spark, tmp_path):
     os.rename(path, f"{path}.{'0' * 32}.old")
     assert commits.commit_delete(spark, path, [5], "id") == 0
     assert spark.read.parquet(path).count() == 1
+
+
+def test_difference_by_digests_reads_only_changed_ranges(spark, tmp_path):
+    from recordloom.operators.changes import table_diff
+    from recordloom.operators.digests import changed_ranges, diff_by_digest, digest_tree
+
+    df = spark.range(0, 4000).select("id", (F.col("id") % 9).alias("a"), F.when(F.col("id") % 5 > 0, F.lit("x")).alias("b"))
+    before = KeyedTable.create(df, str(tmp_path / "t"), "id", file_rows=100)
+    source = spark.createDataFrame([(1, 1205, 7, "y"), (2, 1206, None, "x"), (3, 9000, 1, "new")], "line bigint, id bigint, a bigint, b string")
+    after, _ = commit_upsert_files(before, source, merge_on="id")
+    after, _ = commit_delete_files(after, [3001])
+    trees = [digest_tree(t.read(), "id", leaf_bits=4) for t in (before, after)]
+    assert trees[0].agg(F.max("level")).first()[0] == 0, "few leaves need no level above"
+    ranges = changed_ranges(*trees)
+    assert ranges == [(1200, 1215), (2992, 3007), (8992, 9007)]
+    want = sorted(map(tuple, table_diff(before.read(), after.read(), "id").collect()))
+    assert len(want) == 4
+    for row in before.manifest().where("NOT (low <= 1215 AND high >= 1200) AND NOT (low <= 3007 AND high >= 2992)").collect():
+        with open(f"{before.path}/{row['path']}", "wb") as file:
+            file.write(b"no parquet")
+    found = diff_by_digest(before.read(ranges), after.read(ranges), "id", *trees)
+    assert sorted(map(tuple, found.collect())) == want
+
+
+@pytest.mark.parametrize("most", [1, 3, 256])
+def test_digest_trees_of_many_levels(spark, most):
+    from recordloom.operators import digests
+    from recordloom.operators.changes import table_diff
+
+    before = spark.range(-3000, 3000).select("id", F.when(F.col("id") % 3 == 0, F.col("id")).alias("a"), F.lit(None).cast("bigint").alias("b"))
+    swapped = F.col("id").isin(-2999, 0, 9, 2500)
+    after = before.select("id", F.when(swapped, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swapped, F.col("a")).alias("b"))
+    real, digests.FEW_RANGES = digests.FEW_RANGES, 4
+    try:
+        trees = [digests.digest_tree(df, "id", leaf_bits=1) for df in (before, after.where("id != 77"))]
+    finally:
+        digests.FEW_RANGES = real
+    assert trees[0].agg(F.max("level")).first()[0] >= 2
+    ranges = digests.changed_ranges(*trees, most)
+    assert 1 <= len(ranges) <= most
+    after = after.where("id != 77")
+    want = sorted(map(tuple, table_diff(before, after, "id").collect()))
+    # a null that moved to another field is a change: 0 and 9 hold values, -2999 and 2500 hold none
+    assert [w[0] for w in want] == [0, 9, 77]
+    inside = digests.in_ranges(F.col("id"), ranges)
+    assert sorted(map(tuple, table_diff(before.where(inside), after.where(inside), "id").collect())) == want
+    assert digests.changed_ranges(trees[0], trees[0]) == []
+    none = before.limit(0)
+    assert digests.changed_ranges(digests.digest_tree(none, "id"), digests.digest_tree(none, "id")) == []
+    assert digests.diff_by_digest(none, before, "id", digests.digest_tree(none, "id"), trees[0]).count() == 6000
