@@ -296,7 +296,8 @@ _NET = "l_extendedprice * (1 - l_discount)"
 )
 def formula_chain_parent(spark, sf_dir):
     """Formula over a summary over a formula of the children."""
-    orders = derive(*_chain(spark, sf_dir))["orders"]
+    wanted = ["orders.taxed", "orders.net_total", "orders.final"]
+    orders = derive(*_chain(spark, sf_dir), wanted)["orders"]
     return orders.select(
         "o_orderkey",
         F.round("taxed", 2).alias("taxed"),
@@ -315,7 +316,7 @@ def formula_chain_parent(spark, sf_dir):
 )
 def formula_chain_child(spark, sf_dir):
     """Formula over a lookup of a formula of the parent."""
-    lines = derive(*_chain(spark, sf_dir))["lines"]
+    lines = derive(*_chain(spark, sf_dir), ["lines.net", "lines.plus_one"])["lines"]
     return lines.select(
         "l_orderkey",
         "l_partkey",
@@ -355,7 +356,7 @@ def formula_chain_deep(spark, sf_dir):
             ),
         ],
     )
-    orders = derive(tables, plan)["orders"]
+    orders = derive(tables, plan, ["orders.score", "orders.share"])["orders"]
     return orders.select("o_orderkey", F.round("score", 6).alias("score"), F.round("share", 6).alias("share"))
 
 
@@ -380,3 +381,20 @@ def derivation_counts(spark, sf_dir):
         for a in ends
     ]
     return parts[0].unionByName(parts[1])
+
+
+@query(
+    "derivation_order",
+    """
+    SELECT o.place::BIGINT AS place, o.field, (SELECT count(*) FROM orders) AS parents
+    FROM (VALUES (1, '@order_lines'), (2, 'lines.net'), (3, 'orders.taxed'), (4, 'lines.order - taxed'),
+                 (5, 'lines.plus_one'), (6, 'orders.net_total'), (7, 'orders.final')) o(place, field)
+    """,
+)
+def derivation_order(spark, sf_dir):
+    """The derived fields and relationships in the order in which they are added, beside the number of parents."""
+    tables, plan = _chain(spark, sf_dir)
+    own = {f"{name}.{column}" for name, df in tables.items() for column in df.columns}
+    derived = [address for address in order(tables, plan).ordered if address not in own]
+    places = spark.createDataFrame([(i, a) for i, a in enumerate(derived, 1)], "place bigint, field string")
+    return places.crossJoin(tables["orders"].agg(F.count(F.lit(1)).alias("parents")))

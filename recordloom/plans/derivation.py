@@ -8,7 +8,7 @@ one join per lookup relationship and one aggregation per summary relationship.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from graphlib import CycleError, TopologicalSorter
 
@@ -101,20 +101,52 @@ def order(tables: Mapping[str, DataFrame], plan: Derivation) -> Ordering:
     return Ordering(tuple(done), tuple(sorted(needs.keys() - set(done))), cycle)
 
 
-def derive(tables: Mapping[str, DataFrame], plan: Derivation) -> dict[str, DataFrame]:
-    """Every table with its derived fields.
+def _wanted(needs: Mapping[str, set[str]], addresses: Iterable[str]) -> set[str]:
+    """The addresses and everything that they depend on."""
+    found: set[str] = set()
+    left = list(addresses)
+    if unknown := sorted(set(left) - needs.keys()):
+        raise ValueError(f"unknown fields: {unknown}")
+    while left:
+        address = left.pop()
+        if address not in found:
+            found.add(address)
+            left.extend(needs[address])
+    return found
 
-    What a relationship reads of a table that has derived fields already is written first, only
-    the columns it needs: each plan then grows by one join per relationship and level.
+
+def derive(
+    tables: Mapping[str, DataFrame], plan: Derivation, wanted: Iterable[str] | None = None
+) -> dict[str, DataFrame]:
+    """Every table with its derived fields, or the tables of the ``wanted`` fields with what these depend on.
+
+    What several consumers read of a table that has derived fields already is written first, only the columns they need:
+    each plan then grows by one join per relationship and level. A table with one consumer is part of its plan.
     """
     needs, kinds = _dependencies(tables, plan)
+    outputs = set(tables)
+    if wanted is not None:
+        wanted = list(wanted)
+        outputs = {address.split(".", 1)[0] for address in wanted}
+        kept = _wanted(needs, wanted)
+        needs = {address: required for address, required in needs.items() if address in kept}
     sorter = TopologicalSorter(needs)
     sorter.prepare()
-    result = dict(tables)
+    levels: list[set[str]] = []
     while sorter.is_active():
-        level = sorted(sorter.get_ready())
+        levels.append(set(sorter.get_ready()))
+        sorter.done(*levels[-1])
+    reads = [
+        side for level in levels for relation in plan.relationships
+        for side, fields in (
+            (relation.parent, _lookups(relation, level)), (relation.child, _summaries(relation, level))
+        ) if fields
+    ]
+    shared = {name for name in tables if reads.count(name) + (name in outputs) > 1}
+    result = dict(tables)
+    for level in levels:
         formulas: dict[str, dict[str, Formula]] = defaultdict(dict)
-        for address in level:
+        for address in sorted(level):
             if kinds[address] == "formula":
                 table, label = address.split(".", 1)
                 formulas[table][label] = plan.formulas[address]
@@ -122,29 +154,36 @@ def derive(tables: Mapping[str, DataFrame], plan: Derivation) -> dict[str, DataF
         for table, group in formulas.items():
             result[table] = add_formulas(result[table], group)
         for relation in plan.relationships:
-            _add_relationship(tables, result, before, relation, set(level))
-        sorter.done(*level)
-    return result
+            _add_relationship(tables, result, before, relation, level, shared)
+    return {name: result[name] for name in tables if name in outputs}
+
+
+def _lookups(relation: Relationship, level: set[str]) -> list[str]:
+    label = relation.fk_label or relation.fk
+    return [n for n in relation.lookups if f"{relation.child}.{lookup_label(label, n)}" in level]
+
+
+def _summaries(relation: Relationship, level: set[str]) -> list[Summary]:
+    return [s for s in relation.summaries if f"{relation.parent}.{s.name}" in level]
 
 
-def _side(tables, before, table: str, columns: list[str] | None) -> DataFrame:
-    """A table as a relationship reads it; written, and only these columns, once it has derived fields."""
+def _side(tables, before, table: str, columns: list[str] | None, shared: set[str]) -> DataFrame:
+    """A table as a relationship reads it: only these columns, and written if others read its derived fields too."""
     df = before[table]
     if df is tables[table]:
         return df
     if columns is not None:
         df = df.select(*[col(name) for name in dict.fromkeys(resolve(df.columns, n) for n in columns)])
-    return stage(df, "derived")
+    return stage(df, "derived") if table in shared else df
 
 
-def _add_relationship(tables, result, before, relation: Relationship, level: set[str]) -> None:
+def _add_relationship(tables, result, before, relation: Relationship, level: set[str], shared: set[str]) -> None:
     label = relation.fk_label or relation.fk
-    lookups = [n for n in relation.lookups if f"{relation.child}.{lookup_label(label, n)}" in level]
-    summaries = [s for s in relation.summaries if f"{relation.parent}.{s.name}" in level]
+    lookups, summaries = _lookups(relation, level), _summaries(relation, level)
     if lookups:
         result[relation.child] = add_lookups(
             result[relation.child],
-            _side(tables, before, relation.parent, [relation.key, *lookups]),
+            _side(tables, before, relation.parent, [relation.key, *lookups], shared),
             relation.fk,
             relation.key,
             lookups,
@@ -154,7 +193,7 @@ def _add_relationship(tables, result, before, relation: Relationship, level: set
         # a filter that doesn't name what it reads may read any column
         known = all(s.where is None or s.where_fields for s in summaries)
         read = [relation.fk, *[n for s in summaries for n in (s.field, *s.where_fields) if n]]
-        child = _side(tables, before, relation.child, read if known else None)
+        child = _side(tables, before, relation.child, read if known else None, shared)
         result[relation.parent] = add_summaries(
             result[relation.parent], child, relation.key, relation.fk, summaries
         )

@@ -238,3 +238,32 @@ def test_order_as_rows(spark):
         "orders.o_orderkey", "orders.o_totalprice", "@order_lines", "lines.net", "orders.taxed", "lines.order - taxed",
         "lines.plus_one", "orders.net_total", "orders.final",
     )
+
+
+def test_only_wanted_fields_are_derived(spark, monkeypatch):
+    from recordloom.plans import derivation
+
+    written = []
+    monkeypatch.setattr(derivation, "stage", lambda df, name, real=derivation.stage: written.append(df.columns) or real(df, name))
+    tables = {
+        "p": spark.createDataFrame([(1, 2.0), (2, 3.0)], "id bigint, x double"),
+        "c": spark.createDataFrame([(1, 1, 5.0), (2, 1, 7.0), (3, 2, 1.0)], "id bigint, p bigint, v double"),
+    }
+    plan = Derivation(
+        {
+            "c.net": Formula("v * 2", depends_on=("c.v",)),
+            "p.final": Formula("total + x", depends_on=("p.total", "p.x")),
+            "p.broken": Formula("nowhere + 1", depends_on=("p.x",)),
+            "c.share": Formula("net / `p - total`", depends_on=("c.net", "c.p - total")),
+        },
+        [Relationship("r", "p", "c", "id", "p", ["total"], [Summary("SUM", "net", "total")])],
+    )
+    done = derive(tables, plan, ["p.final"])
+    assert list(done) == ["p"] and done["p"].columns == ["id", "x", "total", "final"] and not written
+    assert {r.id: r.final for r in done["p"].collect()} == {1: 26.0, 2: 5.0}
+    # the children are read by the summary and are wanted themselves: written once, only what the summary reads
+    done = derive(tables, plan, ["c.share"])
+    assert {r.id: r.share for r in done["c"].collect()} == {1: 10 / 24, 2: 14 / 24, 3: 1.0}
+    assert written == [["p", "net"]] and "final" not in done["c"].columns
+    with pytest.raises(ValueError, match="unknown fields"):
+        derive(tables, plan, ["p.none"])
