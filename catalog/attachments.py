@@ -18,6 +18,7 @@ from recordloom.operators.attachments import (
     version_problems,
 )
 from recordloom.session import scratch_path
+from recordloom.sources.files import hash_files, list_files
 
 from . import query, table
 
@@ -286,3 +287,26 @@ def attach_status(spark, sf_dir):
     existing = jobs.join(labels.where("quality = 1"), "record_id", "left_semi")
     stored = contents.join(labels, "record_id", "left_semi")
     return status_counts(fetch(jobs, stored, scratch_path(spark, "fetch"), existing))
+
+
+@query(
+    "copy_by_uri",
+    """
+    SELECT doc_id AS record_id, sha256(text) AS sha256, strlen(text)::BIGINT AS bytes, base64(encode(text)) AS base64,
+           (SELECT count(*) FROM documents) AS files
+    FROM documents
+    """,
+)
+def copy_by_uri(spark, sf_dir):
+    """Documents written as files and copied from there by their places, digested and read back."""
+    cells, contents = _contents(spark, sf_dir)
+    jobs = attachment_jobs(cells, "doc_id", {"file": 8}, "docs")
+    first, second = scratch_path(spark, "archive"), scratch_path(spark, "archive")
+    archive(jobs, contents, first)
+    placed = list_files(spark, first).join(jobs, "path").select("record_id", "field_id", "version_number", "uri")
+    copied = archive(jobs, placed, second)
+    digests = hash_files(spark, second).select("path", F.col("sha256").alias("found"))
+    read = as_base64(cells, "doc_id", {"file": 8}, placed).withColumn("base64", F.regexp_replace("base64", "\r\n", ""))
+    total = digests.agg(F.count(F.lit(1)).alias("files"))
+    same = copied.join(digests, "path").where("sha256 = found").join(read, ["record_id", "field_id"])
+    return same.crossJoin(total).select("record_id", "sha256", "bytes", "base64", "files")

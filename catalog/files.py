@@ -20,6 +20,10 @@ from recordloom.sources.snapshot import (
     unsafe_paths,
 )
 
+from recordloom.operators.relations import Summary
+from recordloom.plans.derivation import Derivation, Relationship, derive
+from recordloom.plans.reports import Report, run_report
+
 from . import query, table
 
 
@@ -173,6 +177,37 @@ def snapshot_tables(spark, sf_dir):
     return open_snapshot(spark, snapshot.root).tables()
 
 
+@query(
+    "snapshot_schema",
+    """
+    WITH s AS (SELECT o_custkey, sum(o_totalprice) FILTER (WHERE o_orderstatus = 'F') AS total, count(*) AS n FROM orders GROUP BY o_custkey)
+    SELECT c_custkey, round(total, 2) AS total, coalesce(n, 0) AS n, (SELECT count(*) FROM orders WHERE o_totalprice > 150000) AS large,
+           CAST(CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 2 END AS BIGINT) AS documents
+    FROM customer LEFT JOIN s ON o_custkey = c_custkey
+    """,
+)
+def snapshot_schema(spark, sf_dir):
+    """A relationship and a report, captured, read back from the snapshot and carried out on its tables."""
+    tables = {n: Capture(table(spark, sf_dir, n), k) for n, k in (("customer", "c_custkey"), ("orders", "o_orderkey"))}
+    paid = [Summary("SUM", "o_totalprice", "total", "o_orderstatus = 'F'", ("o_orderstatus",)), Summary("COUNT", label="n")]
+    snapshot = take_snapshot(
+        tables, scratch_path(spark, "snapshot"), {"dataset": "tables"},
+        relationships=[Relationship("buyers", "customer", "orders", "c_custkey", "o_custkey", summaries=paid)],
+        reports=[Report("large", "orders", ["o_orderkey"], [("o_totalprice", "GT", 150000)])],
+    )
+    captured = {name: snapshot.table(name) for name in tables}
+    plan = Derivation(relationships=snapshot.relationships())
+    found = derive(captured, plan, ["customer.total", "customer.n"])["customer"]
+    large = run_report(captured, snapshot.reports()[0]).agg(F.count(F.lit(1)).alias("large"))
+    kinds = F.when(F.col("kind") == "reports", 1).otherwise(2)
+    documents = snapshot.inventory().where("kind IN ('relationships', 'reports')").groupBy(kinds.alias("k"))
+    documents = documents.agg(F.sum("item_count").alias("n")).where("n > 0").select("k")
+    counted = F.when(F.col("c_custkey") % 2 == 0, 1).otherwise(2)
+    return found.join(large, how="cross").join(documents, counted == F.col("k")).select(
+        "c_custkey", F.round("total", 2).alias("total"), "n", "large", F.col("k").cast("bigint").alias("documents")
+    )
+
+
 @query("snapshot_verify")
 def snapshot_verify(spark, sf_dir):
     """Artifacts and bytes of a snapshot that verifies; they depend on how Spark splits files."""

@@ -7,14 +7,19 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from uuid import uuid4
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import col, resolve, resolve_all
-from ..session import stage
+from ..session import remove, stage
 from ..sources.files import _PIECE, _file_system, _open, qualified
+from .ordering import running_sum, sorted_slices
+
+#: What a task copies, and what a file costs besides its bytes.
+PACK_BYTES, FILE_COST = 256 << 20, 256 << 10
 
 # Version modes, characters file names may not hold, longest stored name.
 VERSION_MODES = ("all", "latest", "none")
@@ -201,8 +206,11 @@ def download_jobs(
     )
 
 
-def _writer(root: str, has_uri: bool, keep_going: bool):
-    """A task function writing one file per row; returns digest, size and status."""
+def _writer(root: str, aside: str, has_uri: bool, keep_going: bool):
+    """A task function writing one file per row; returns digest, size and status.
+
+    Files grow in the folder ``aside`` and are moved to their names when complete.
+    """
 
     def pieces(row):
         if not has_uri:
@@ -216,12 +224,14 @@ def _writer(root: str, has_uri: bool, keep_going: bool):
         import uuid
 
         system, base = _file_system(root)
+        _, growing = _file_system(aside)
+        system.create_dir(growing, recursive=True)
         for batch in batches:
             out = []
             for row in batch.itertuples(index=False):
                 digest, size, status, error = hashlib.sha256(), 0, "downloaded", None
                 target = f"{base}/{row.path}"
-                partial = f"{target}.{uuid.uuid4().hex}.part"
+                partial = f"{growing}/{uuid.uuid4().hex}"
                 try:
                     if (row.uri if has_uri else row.content) is None:
                         raise FileNotFoundError("no content for this attachment")
@@ -246,18 +256,35 @@ def _writer(root: str, has_uri: bool, keep_going: bool):
     return write
 
 
-def _write_jobs(jobs: DataFrame, contents: DataFrame, root: str, keep_going: bool) -> DataFrame:
+def _packed(work: DataFrame) -> DataFrame:
+    """Jobs spread over tasks by the bytes to copy: a large file has a task of its own, small ones share one."""
+    known = F.coalesce(F.col("size"), F.lit(0)) if "size" in work.columns else F.lit(0)
+    sized = work.withColumn("_bytes", F.greatest(known.cast("bigint"), F.lit(0)) + FILE_COST)
+    slices = sorted_slices(sized, [*_JOB_KEYS], "attachment-jobs")
+    placed = running_sum(slices, [], "_bytes", "_at").withColumn("_pack", F.floor(F.col("_at") / PACK_BYTES))
+    packs = (placed.agg(F.max("_pack")).first()[0] or 0) + 1
+    return placed.repartitionByRange(packs, "_pack").select(*work.columns)
+
+
+def _written(jobs: DataFrame, contents: DataFrame, root: str, keep_going: bool, name: str, finish) -> DataFrame:
+    """Write every job's file and stage ``finish`` of the outcome.
+
+    What failed, repeated or lost tasks have left unfinished stands in one folder, which goes with the job.
+    """
     source = "uri" if "uri" in contents.columns else "content"
     spark = jobs.sparkSession
     work = jobs.join(contents.select(*_JOB_KEYS, source), _JOB_KEYS, "left")
     if source == "uri":
-        # Job rows are tiny and copying is not: spread them, whatever their bytes.
-        work = work.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+        work = _packed(work)
     root = qualified(spark, root)
+    aside = f"{root.rstrip('/')}/.growing-{uuid4().hex}"
     kept = [f for f in work.schema.fields if f.name != source]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
     schema += ", sha256 string, bytes bigint, status string, error string"
-    return work.mapInPandas(_writer(root, source == "uri", keep_going), schema)
+    try:
+        return stage(finish(work.mapInPandas(_writer(root, aside, source == "uri", keep_going), schema)), name)
+    finally:
+        remove(spark, aside)
 
 
 def archive(jobs: DataFrame, contents: DataFrame, root: str) -> DataFrame:
@@ -267,8 +294,7 @@ def archive(jobs: DataFrame, contents: DataFrame, root: str) -> DataFrame:
     Files appear under their final name only when complete, so a repeated task is harmless.
     Any missing content fails the job.
     """
-    index = _write_jobs(jobs, contents, root, keep_going=False)
-    return stage(index.drop("status", "error"), "attachment-index")
+    return _written(jobs, contents, root, False, "attachment-index", lambda index: index.drop("status", "error"))
 
 
 def fetch(jobs: DataFrame, contents: DataFrame, root: str, existing: DataFrame) -> DataFrame:
@@ -279,7 +305,6 @@ def fetch(jobs: DataFrame, contents: DataFrame, root: str, existing: DataFrame)
     present = existing.select("path").distinct()
     skipped = jobs.join(present, "path", "left_semi")
     missing = jobs.join(present, "path", "left_anti")
-    done = _write_jobs(missing, contents, root, keep_going=True)
     columns = [*jobs.columns, "bytes", "status", "error"]
     idle = skipped.select(
         *jobs.columns,
@@ -287,7 +312,8 @@ def fetch(jobs: DataFrame, contents: DataFrame, root: str, existing: DataFrame)
         F.lit("skipped").alias("status"),
         F.lit(None).cast("string").alias("error"),
     )
-    return stage(done.select(*columns).unionByName(idle), "attachment-status")
+    finish = lambda done: done.select(*columns).unionByName(idle)
+    return _written(missing, contents, root, True, "attachment-status", finish)
 
 
 def status_counts(statuses: DataFrame) -> DataFrame:
@@ -323,13 +349,37 @@ def delete_version(
 def as_base64(
     df: DataFrame, key: str, fields: Mapping[str, int], contents: DataFrame
 ) -> DataFrame:
-    """Latest contents as base64, one row per record and file field; null when absent."""
+    """Latest contents as base64, one row per record and file field; null when absent.
+
+    ``contents`` has the job keys and either the bytes or a ``uri``; only the files that are asked for are read, in the tasks,
+    and a file that isn't there is absent.
+    """
     cells = _cells(df, key, fields)
     latest = cells.select(
         "record_id",
         "field_id",
         latest_version(F.col("cell"), F.col("field_id"))["version_number"].alias("version_number"),
     )
-    return latest.join(contents.select(*_JOB_KEYS, "content"), _JOB_KEYS, "left").select(
-        "record_id", "field_id", F.base64("content").alias("base64")
-    )
+    if "uri" not in contents.columns:
+        return latest.join(contents.select(*_JOB_KEYS, "content"), _JOB_KEYS, "left").select(
+            "record_id", "field_id", F.base64("content").alias("base64")
+        )
+    placed = latest.join(contents.select(*_JOB_KEYS, "uri"), _JOB_KEYS, "left").select("record_id", "field_id", "uri")
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in placed.schema.fields[:2])
+    read = placed.mapInPandas(_reader, f"{kept}, content binary")
+    return read.select("record_id", "field_id", F.base64("content").alias("base64"))
+
+
+def _reader(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The bytes of each row's file, a row at a time."""
+    for batch in batches:
+        for i in range(len(batch)):
+            row = batch.iloc[[i]]
+            content = None
+            if row["uri"].iat[0] is not None:
+                try:
+                    with _open(row["uri"].iat[0]) as stream:
+                        content = stream.read()
+                except FileNotFoundError:
+                    pass
+            yield row.drop(columns="uri").assign(content=[content])

@@ -2,6 +2,7 @@ import hashlib
 import json
 import os
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -361,3 +362,92 @@ def test_unsafe_paths(spark):
              "a//b": True, "./a": True, "a/": True, "": True, None: True}
     df = spark.createDataFrame(list(paths.items()), "p string, bad boolean")
     assert df.where(unsafe(F.col("p")) != F.col("bad")).collect() == []
+
+
+def _files_below(path):
+    return sorted(str(p.relative_to(path)) for p in Path(path).rglob("*") if p.is_file() and not p.name.endswith(".crc"))
+
+
+def test_failed_copies_leave_nothing_behind(spark, projects, contents, tmp_path):
+    jobs = attachment_jobs(projects, "Record ID#", {"File": 8}, "t")
+    places = contents.select("record_id", "field_id", "version_number", F.lit(f"file:{tmp_path}/nowhere").alias("uri"))
+    statuses = fetch(jobs, places, str(tmp_path / "out"), jobs.select("path").limit(0))
+    assert {r.status for r in statuses.collect()} == {"failed"} and _files_below(tmp_path / "out") == []
+    with pytest.raises(Exception, match="nowhere|No such file"):
+        archive(jobs, places, str(tmp_path / "again"))
+    assert _files_below(tmp_path / "again") == []
+
+
+def test_large_files_are_copied_alone(spark, tmp_path, monkeypatch):
+    from recordloom.operators import attachments
+
+    monkeypatch.setattr(attachments, "PACK_BYTES", 1000)
+    monkeypatch.setattr(attachments, "FILE_COST", 1)
+    rows = [(i, 8, 1, 5000 if i == 3 else 99, f"u{i}") for i in range(30)]
+    work = spark.createDataFrame(rows, "record_id bigint, field_id int, version_number int, size bigint, uri string")
+    packed = attachments._packed(work).select("record_id", F.spark_partition_id().alias("task")).collect()
+    by_task = {}
+    for row in packed:
+        by_task.setdefault(row.task, set()).add(row.record_id)
+    assert sum(map(len, by_task.values())) == 30 and len(by_task) >= 3
+    assert max(len(ids) for ids in by_task.values()) <= 11
+    assert min(by_task[row.task] for row in packed if row.record_id == 3) <= {0, 1, 2, 3}
+
+
+def test_base64_by_place(spark, projects, contents, tmp_path):
+    jobs = attachment_jobs(projects, "Record ID#", {"File": 8}, "t")
+    index = archive(jobs, contents, str(tmp_path))
+    keys = ["record_id", "field_id", "version_number"]
+    places = index.select(*keys, F.concat(F.lit(f"file:{tmp_path}/"), "path").alias("uri"))
+    gone = places.withColumn("uri", F.when(F.col("record_id") == index.first()["record_id"], F.concat("uri", F.lit(".gone"))).otherwise(F.col("uri")))
+    want = {(r.record_id, r.field_id): r.base64 for r in as_base64(projects, "Record ID#", {"File": 8}, contents).collect()}
+    assert {(r.record_id, r.field_id): r.base64 for r in as_base64(projects, "Record ID#", {"File": 8}, places).collect()} == want
+    found = {(r.record_id, r.field_id): r.base64 for r in as_base64(projects, "Record ID#", {"File": 8}, gone).collect()}
+    lost = index.first()["record_id"]
+    assert found == {key: None if key[0] == lost else value for key, value in want.items()}
+
+
+def test_relationships_and_reports_of_a_snapshot(spark, tmp_path):
+    from recordloom.operators.relations import Summary
+    from recordloom.plans.derivation import Relationship
+    from recordloom.plans.reports import Report
+
+    tables = {
+        "p": Capture(spark.createDataFrame([(1, "a")], "id bigint, n string"), "id"),
+        "c": Capture(spark.createDataFrame([(1, 1, 2.5)], "id bigint, p bigint, v double"), "id"),
+    }
+    relation = Relationship("r", "p", "c", "id", "p", ("n",), (Summary("SUM", "v", "total", "v > 1", ("v",)),), "parent")
+    report = Report("x", "c", ("id", "v"), (("v", "GT", 1), ("id", "EX", 1)), "any", (("v", "DESC"),), key="id", labels={"v": "V"})
+    snapshot = take_snapshot(tables, str(tmp_path / "s"), {}, relationships=[relation], reports=[report])
+    again = open_snapshot(spark, str(tmp_path / "s"))
+    assert again.relationships() == [relation] and again.reports() == [report]
+    kinds = {(r.table_id, r.kind): r.item_count for r in again.inventory().collect() if r.kind != "records"}
+    assert kinds == {
+        ("p", "fields"): 2, ("p", "relationships"): 0, ("p", "reports"): 0, ("c", "fields"): 3, ("c", "relationships"): 1, ("c", "reports"): 1,
+    }
+    assert snapshot.issues().count() == 0
+    for crc in (tmp_path / "s").rglob("*.json.crc"):
+        crc.unlink()
+    (tmp_path / "s" / "tables" / "c" / "reports.json").write_text('{"details": [1, 2]}')
+    (tmp_path / "s" / "tables" / "c" / "relationships.json").write_text('{"a": 1}')
+    (tmp_path / "s" / "tables" / "p" / "reports.json").write_text("[")
+    found = {(r.check, r.path) for r in again.issues().collect()}
+    assert {
+        ("item count differs", "tables/c/reports.json"), ("expected array missing", "tables/c/relationships.json"),
+        ("invalid JSON", "tables/p/reports.json"), ("hash differs", "tables/c/reports.json"),
+    } <= found
+    unkept = Relationship("r", "p", "c", "id", "p", (), (Summary("SUM", "v", "t", lambda w: w.greater_than("v", 1)),))
+    with pytest.raises(SnapshotError, match="no text"):
+        take_snapshot(tables, str(tmp_path / "t"), {}, relationships=[unkept])
+    with pytest.raises(SnapshotError, match="aren't captured"):
+        take_snapshot({"c": tables["c"]}, str(tmp_path / "t"), {}, relationships=[relation])
+    assert take_snapshot(tables, str(tmp_path / "u"), {}).relationships() == []
+
+
+def test_broken_versions_stop_a_capture(spark, tmp_path):
+    cell = "struct<fileName: string, versions: array<struct<versionNumber: int, fileName: string, size: bigint>>>"
+    df = spark.createDataFrame([(1, ("f", [(1, "a", 1), (1, "b", 1)]))], f"id bigint, f {cell}")
+    contents = spark.createDataFrame([(1, 8, 1, b"x")], "record_id bigint, field_id int, version_number int, content binary")
+    with pytest.raises(SnapshotError, match="record 1, field 8: repeated version number"):
+        take_snapshot({"t": Capture(df, "id", file_fields={"f": 8}, contents=contents)}, str(tmp_path / "s"), {})
+    assert not (tmp_path / "s").exists()
