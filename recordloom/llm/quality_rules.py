@@ -36,7 +36,7 @@ ROUNDS = 20
 RIDGE = 1e-4
 KEEP_FROM = 0.5
 LEAST_WORDS, MOST_REPEATED = 50, 50
-PIECE_CHARS = 1 << 20
+PIECE_CHARS = 1 << 18
 CHAR_GRAMS = (3, 4)
 
 _U64 = np.uint64
