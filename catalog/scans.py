@@ -1,8 +1,12 @@
 """Queries, pages and reports."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.operators.ordering import global_rank
+from recordloom.operators.page_index import PageIndex
 from recordloom.operators.query import (
     assign_pages,
     group_equal,
@@ -12,6 +16,7 @@ from recordloom.operators.query import (
     run_query,
 )
 from recordloom.plans.reports import Report, run_report
+from recordloom.session import scratch_path
 
 from . import query, table
 
@@ -231,3 +236,24 @@ def group_aggregates(spark, sf_dir):
             F.max("value").alias("top_value"),
         ],
     )
+
+
+_PAGES = ((0, 7), (3, 1), (120, 25), (1499, 3), (5000, 40), (14990, 50))
+
+
+@query(
+    "page_by_index",
+    f"""
+    WITH r AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders)
+    SELECT skip::BIGINT AS skip, rank, o_orderkey, o_totalprice
+    FROM r JOIN (VALUES {", ".join(map(str, _PAGES))}) p(skip, top) ON rank > skip AND rank <= skip + top
+    """,
+)
+def page_by_index(spark, sf_dir):
+    """Pages anywhere in the orders by price; the orders are sorted once."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    path = scratch_path(spark, "pages")
+    PageIndex.create(orders, [F.col("o_totalprice").desc(), "o_orderkey"], path)
+    index = PageIndex.open(spark, path)
+    pages = [index.page(skip, top).withColumn("skip", F.lit(skip).cast("bigint")) for skip, top in _PAGES]
+    return reduce(DataFrame.union, pages).select("skip", F.col("_rank").alias("rank"), "o_orderkey", "o_totalprice")

@@ -127,3 +127,35 @@ def test_large_limits_without_an_order(spark, monkeypatch):
 def test_grouped_page_facts(people):
     facts = page_facts(people, ["Name"], group_by=["Name"]).first()
     assert facts.total_records == people.select("Name").distinct().count()
+
+
+def test_pages_by_index(spark, tmp_path):
+    from recordloom.operators.page_index import PageIndex
+
+    df = spark.range(1000).select("id", F.when(F.col("id") % 10 > 0, F.col("id") % 7).alias("v")).repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        index = PageIndex.create(df, [F.col("v").desc(), "id"], str(tmp_path / "p"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = [r.id for r in df.orderBy(F.col("v").desc(), "id").collect()]
+    assert PageIndex.open(spark, str(tmp_path / "p")).count() == 1000
+    assert index._files().count() > 1
+    for skip, top in ((0, 1), (0, 1000), (137, 300), (999, 5), (1000, 5), (2500, 1), (421, 1)):
+        page = index.page(skip, top)
+        rows = {r["_rank"]: r.id for r in page.collect()}
+        assert rows == {skip + i + 1: x for i, x in enumerate(want[skip : skip + top])}
+        plan = page._jdf.queryExecution().executedPlan().toString()
+        assert "Sort" not in plan and "hashpartitioning" not in plan and "rangepartitioning" not in plan
+    # a page reads the files that hold it, no others
+    first = index._files().orderBy("first").first()
+    for row in index._files().where(F.col("first") > 0).collect():
+        with open(f"{index.path}/rows/{row['file']}", "wb") as file:
+            file.write(b"no parquet")
+    assert index.page(0, first["rows"]).count() == first["rows"]
+    empty = PageIndex.create(df.limit(0), ["id"], str(tmp_path / "e"))
+    assert empty.count() == 0 and empty.page(0, 5).collect() == []
+    with pytest.raises(ValueError):
+        index.page(-1, 5)
+    with pytest.raises(FileNotFoundError):
+        PageIndex.open(spark, str(tmp_path / "none"))
