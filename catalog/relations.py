@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from recordloom.operators.formulas import Formula, add_formulas, run_formula
+from recordloom.operators.maintained import partials, summaries_from, update_partials
 from recordloom.operators.relations import (
     Summary,
     add_lookups,
@@ -398,3 +399,38 @@ def derivation_order(spark, sf_dir):
     derived = [address for address in order(tables, plan).ordered if address not in own]
     places = spark.createDataFrame([(i, a) for i, a in enumerate(derived, 1)], "place bigint, field string")
     return places.crossJoin(tables["orders"].agg(F.count(F.lit(1)).alias("parents")))
+
+
+_KEPT = [
+    Summary("COUNT", label="orders"), Summary("SUM", "o_totalprice", "total"), Summary("AVG", "o_totalprice", "mean"),
+    Summary("STD-DEV", "o_totalprice", "spread"), Summary("MAX", "o_totalprice", "largest"),
+    Summary("MIN", "o_totalprice", "smallest_f", "o_orderstatus = 'F'"),
+]
+
+
+@query(
+    "summary_incremental",
+    """
+    WITH after AS (
+        SELECT CASE WHEN o_orderkey % 10 = 5 THEN o_custkey + 1 ELSE o_custkey END AS cust,
+               CASE WHEN o_orderkey % 10 = 3 THEN o_totalprice - 500 ELSE o_totalprice END AS price, o_orderstatus
+        FROM orders WHERE o_orderkey % 10 <> 7),
+    s AS (SELECT cust, count(*) AS orders, sum(price) AS total, avg(price) AS mean, stddev_samp(price) AS spread, max(price) AS largest,
+                 min(price) FILTER (WHERE o_orderstatus = 'F') AS smallest_f FROM after GROUP BY cust)
+    SELECT c_custkey, coalesce(orders, 0) AS orders, round(total, 2) AS total, round(mean, 6) AS mean, round(spread, 4) AS spread,
+           round(largest, 2) AS largest, round(smallest_f, 2) AS smallest_f
+    FROM customer LEFT JOIN s ON cust = c_custkey
+    """,
+)
+def summary_incremental(spark, sf_dir):
+    """Orders that change their price, move to another customer or go; the summaries follow from these alone."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    turn = F.col("o_orderkey") % 10
+    moved = F.when(turn == 5, F.col("o_custkey") + 1).otherwise(F.col("o_custkey"))
+    lowered = F.when(turn == 3, F.col("o_totalprice") - 500).otherwise(F.col("o_totalprice"))
+    after = orders.where(turn != 7).withColumns({"o_custkey": moved, "o_totalprice": lowered})
+    old, new = orders.where(turn.isin(3, 5, 7)), after.where(turn.isin(3, 5))
+    state = partials(orders, "o_custkey", _KEPT)
+    state = update_partials(state, old, new, "o_custkey", _KEPT, after)
+    found = summaries_from(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey", state, _KEPT)
+    return found.withColumns({"total": F.round("total", 2), "mean": F.round("mean", 6), "spread": F.round("spread", 4), "largest": F.round("largest", 2), "smallest_f": F.round("smallest_f", 2)})

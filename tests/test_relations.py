@@ -267,3 +267,58 @@ def test_only_wanted_fields_are_derived(spark, monkeypatch):
     assert written == [["p", "net"]] and "final" not in done["c"].columns
     with pytest.raises(ValueError, match="unknown fields"):
         derive(tables, plan, ["p.none"])
+
+
+def test_summaries_follow_a_change_feed(spark):
+    from recordloom.operators.maintained import partials, summaries_from, update_partials
+
+    kinds = [
+        Summary("COUNT", label="n"), Summary("SUM", "v", "sum"), Summary("AVG", "v", "avg"), Summary("STD-DEV", "v", "std"),
+        Summary("MAX", "v", "max"), Summary("MIN", "v", "min"), Summary("COUNT", label="big", where="v > 5"), Summary("SUM", "k", "keys"),
+    ]
+    schema = "id bigint, p bigint, v double, k bigint"
+    parents = spark.createDataFrame([(i,) for i in range(1, 8)], "id bigint")
+    rows = {1: (1, 5.0, 1), 2: (1, 9.0, 2), 3: (1, 9.0, 3), 4: (2, 1e9 + 1, 4), 5: (2, 1e9 + 2, 5), 6: (2, 1e9 + 4, 6), 7: (3, None, 7), 8: (4, 2.0, 8), 9: (None, 3.0, 9)}
+    frame = lambda held: spark.createDataFrame([(i, *row) for i, row in held.items()], schema)
+    state = partials(frame(rows), "p", kinds)
+    steps = [
+        {3: (1, 4.0, 3), 10: (5, 6.0, 10)},  # one of two largest goes
+        {2: (1, 1.0, 2), 8: None, 4: None, 7: (3, 8.0, 7)},  # the largest goes, a parent loses all, a value appears
+        {9: (4, 3.0, 9), 1: (None, 5.0, 1), 6: (2, 1e9 + 4, 6), 10: (6, None, 10)},  # moves from and to no parent, no change at all
+        {7: (3, 8.0, 70), 5: (5, 1e9, 5)},
+    ]
+    for step in steps:
+        after = {i: row for i, row in {**rows, **step}.items() if row is not None}
+        old, new = {i: rows[i] for i in step if i in rows}, {i: row for i, row in step.items() if row is not None}
+        state = update_partials(state, frame(old), frame(new), "p", kinds, frame(after))
+        rows = after
+        want = {r["id"]: tuple(r)[1:] for r in add_summaries(parents, frame(rows), "id", "p", kinds).collect()}
+        found = {r["id"]: tuple(r)[1:] for r in summaries_from(parents, "id", state, kinds).collect()}
+        for key in want:
+            assert found[key] == pytest.approx(want[key]), (key, found[key], want[key])
+
+
+def test_children_outside_the_feed_are_not_read(spark, tmp_path):
+    from recordloom.operators.maintained import partials, update_partials
+
+    kinds = [Summary("SUM", "v", "sum"), Summary("MAX", "v", "max")]
+    child = spark.createDataFrame([(1, 1, 5.0), (2, 1, 9.0)], "id bigint, p bigint, v double")
+    state = partials(child, "p", kinds)
+    gone = spark.read.schema(child.schema).parquet(_vanishing(child, tmp_path))
+    after = update_partials(state, child.where("id = 1"), child.where("id = 1").withColumn("v", F.lit(7.0)), "p", kinds, gone)
+    assert [tuple(r) for r in after.select("_s0", "_m1").collect()] == [(16.0, 9.0)]
+    with pytest.raises(Exception, match="not exist|No such file|FAILED_READ"):
+        update_partials(state, child.where("id = 2"), child.limit(0), "p", kinds, gone)
+    with pytest.raises(ValueError, match="can't be kept"):
+        partials(child, "p", [Summary("DISTINCT-COUNT", "v", "d")])
+
+
+def _vanishing(df, tmp_path):
+    """A path whose files are unreadable once it has been listed."""
+    path = tmp_path / "children"
+    df.write.parquet(str(path))
+    for file in path.glob("*.parquet"):
+        file.write_bytes(b"no parquet")
+    for file in path.glob(".*.crc"):
+        file.unlink()
+    return str(path)
