@@ -140,7 +140,7 @@ def upsert_commit_files(spark, sf_dir):
     new = orders.where("k % 50 = 7").select(line.alias("line"), (F.col("k") + 1_000_000_000).alias("k"), "p")
     stored, _ = commit_upsert_files(stored, urgent, "urgent", merge_on="k", file_rows=_FILE_ROWS)
     stored, _ = commit_upsert_files(stored, new, "new", merge_on="k", file_rows=_FILE_ROWS)
-    stored, _ = commit_delete_files(stored, (F.col("k") % 1000 == 999) & (F.col("k") > 6000))
+    stored, _ = commit_delete_files(stored, (F.col("k") % 1000 == 999) & (F.col("k") > 6000), "gone")
     none = F.lit(None).cast("bigint")
     records = stored.read().select(
         F.lit("record").alias("kind"), F.col("k").alias("id"), F.col("p").alias("priority"),
@@ -166,7 +166,7 @@ _EXECUTED = 800_000
         SELECT d.i, d.line, CASE WHEN used + 2 + d.size > {_EXECUTED} THEN batch + 1 ELSE batch END,
                CASE WHEN used + 2 + d.size > {_EXECUTED} THEN 30 + d.size ELSE used + 2 + d.size END
         FROM walk JOIN d ON d.i = walk.i + 1),
-    bad AS (SELECT batch FROM walk WHERE line = 501),
+    bad AS (SELECT coalesce(min(batch), 1000000000) AS batch FROM walk WHERE line = 501),
     act AS (
         SELECT line, batch, CASE WHEN n_chars < 0 THEN 'error' WHEN (line - 1) % 3 = 2 THEN 'created'
                WHEN (line - 1) % 2 = 0 THEN 'updated' ELSE 'unchanged' END AS action
