@@ -11,6 +11,7 @@ from recordloom.operators.contract import (
     with_field_ids,
 )
 from recordloom.operators.ordering import exact_median
+from recordloom.operators.part_profiles import PartProfiles
 from recordloom.operators.relations import Summary, add_lookups, add_summaries
 from recordloom.operators.stats import (
     profile,
@@ -207,6 +208,49 @@ def dataset_profile_approx(spark, sf_dir):
     return profile({name: table(spark, sf_dir, name) for name in names})
 
 
+_PROFILED = {"o_orderkey": "o_orderkey", "o_custkey": "o_custkey", "price": "o_totalprice::DECIMAL(14,2)", "o_orderpriority": "o_orderpriority"}
+
+
+@query(
+    "profile_by_parts",
+    "WITH o AS (SELECT *, coalesce(o_orderstatus, '?') AS part FROM orders) "
+    + " UNION ALL ".join(
+        f"""
+        SELECT {part} AS part, '{name}' AS "column", count(*) AS rows, count({value}) AS filled, min({value})::VARCHAR AS lowest,
+               max({value})::VARCHAR AS highest, true AS distinct_near, true AS median_near FROM o {group}"""
+        for name, value in _PROFILED.items()
+        for part, group in (("part", "GROUP BY part"), ("'all'", ""))
+    ),
+)
+def profile_by_parts(spark, sf_dir):
+    """Orders by status. One part is profiled again after its prices are put right; estimates are held against exact figures."""
+    price = F.col("o_totalprice").cast("decimal(14,2)")
+    right = table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderkey", "o_custkey", price.alias("price"), "o_orderpriority")
+    wrong = F.when(F.col("o_orderstatus") == "F", F.col("price") * 10).otherwise(F.col("price")).cast("decimal(14,2)")
+    path = scratch_path(spark, "profiles")
+    PartProfiles.create(spark, path, right.schema, "o_orderstatus").update(right.withColumn("price", wrong))
+    kept = PartProfiles.open(spark, path)
+    kept.update(right, ["F"])
+    part = F.coalesce("o_orderstatus", F.lit("?")).alias("part")
+    found = kept.report(per_part=True).select(part, "*").drop("o_orderstatus")
+    found = found.unionByName(kept.report().withColumn("part", F.lit("all")))
+    texts = {name: F.col(name).cast("string") for name in _PROFILED}
+    cells = F.array(*[F.struct(F.lit(n).alias("column"), t.alias("value"), t.try_cast("double").alias("number")) for n, t in texts.items()])
+    values = right.select(F.explode(F.array(F.coalesce("o_orderstatus", F.lit("?")), F.lit("all"))).alias("part"), F.inline(cells))
+    exact = values.join(found.select("part", "column", F.col("quantiles")[1].alias("median")), ["part", "column"])
+    exact = exact.groupBy("part", "column").agg(
+        F.count_distinct("value").alias("exact"),
+        F.max("median").alias("median"),
+        F.avg(F.when(F.col("number") < F.col("median"), 1).otherwise(0)).alias("below"),
+        F.avg(F.when(F.col("number") <= F.col("median"), 1).otherwise(0)).alias("up_to"),
+    )
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= F.greatest(F.lit(1), F.col("exact") * 0.05)
+    middle = F.col("median").isNull() | ((F.col("below") <= 0.53) & (F.col("up_to") >= 0.47))
+    return found.join(exact, ["part", "column"]).select(
+        "part", "column", "rows", "filled", "lowest", "highest", near.alias("distinct_near"), middle.alias("median_near")
+    )
+
+
 _SUMMARY = """
     SELECT event_type, user_id, count(value) AS samples, median(value) AS median, min(value) AS min,
            max(value) AS max, coalesce(stddev_samp(value), 0) AS stdev, avg(value) AS mean

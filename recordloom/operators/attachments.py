@@ -69,7 +69,7 @@ def select_versions(cell: Column, mode: str = "all") -> Column:
     """Versions in ascending order, only the newest, or none."""
     if mode not in VERSION_MODES:
         raise ValueError(f"unknown version mode {mode!r}; one of {VERSION_MODES}")
-    ordered = F.array_sort(_numbered(cell))
+    ordered = F.sort_array(_numbered(cell))
     chosen = {
         "all": ordered,
         "latest": F.slice(ordered, F.greatest(F.size(ordered), F.lit(1)), F.lit(1)),

@@ -111,7 +111,7 @@ def _profile_table(name: str, df: DataFrame, fields: Sequence[T.StructField], ex
             found = aggregate(column).cast("string") if orderable else F.lit(None).cast("string")
             facts.append((found if orderable else F.max(found)).alias(f"{label}{i}"))
         if not exact:
-            text = column if orderable else F.to_json(F.struct(column))
+            text = column if orderable else _nested_text(column)
             facts.append(F.approx_count_distinct(text).alias(f"_d{i}"))
     rows = [
         F.struct(
@@ -135,6 +135,10 @@ def _profile_table(name: str, df: DataFrame, fields: Sequence[T.StructField], ex
     )
 
 
+def _nested_text(value: Column) -> Column:
+    return F.when(value.isNotNull(), F.to_json(F.struct(value)))
+
+
 def _distinct(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
     """Exact distinct counts: values are combined per task, then shuffled by column and value."""
     cells = F.array(
@@ -142,7 +146,7 @@ def _distinct(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
             F.struct(
                 F.lit(field.name).alias("column"),
                 (
-                    F.to_json(F.struct(col(field.name)))
+                    _nested_text(col(field.name))
                     if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType))
                     else col(field.name).cast("string")
                 ).alias("value"),

@@ -114,6 +114,9 @@ def test_profile(spark, orders):
     assert profile({"o": orders}, skip=1, top=1).first().column == "total"
     with pytest.raises(ValueError):
         profile({"o": orders}, top=0)
+    # null isn't a value, of nested columns neither
+    nested = spark.createDataFrame([([1],), ([1],), (None,)], "v array<int>")
+    assert [profile({"n": nested}, exact=exact).first().distinct_values for exact in (True, False)] == [1, 1]
 
 
 FEED = ChangeFeed("id", "at", "kind", "seq", "1 hour")
