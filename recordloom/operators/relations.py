@@ -79,11 +79,6 @@ def _aggregate(summary: Summary, value: Column, keep: Column) -> Column:
         return F.count(F.when(keep, F.lit(1)))
     if summary.kind == "DISTINCT-COUNT":
         return F.count_distinct(given)
-    if summary.kind == "COMBINED-TEXT":
-        text = value.cast("string")
-        return F.collect_set(F.when(keep & (F.trim(text) != ""), text))
-    if summary.kind == "COMBINED-USER":
-        return F.collect_set(given)
     return {
         "AVG": F.avg,
         "SUM": F.sum,
@@ -98,18 +93,18 @@ def _finish(summary: Summary, found: Column) -> Column:
     if summary.kind in ("COUNT", "DISTINCT-COUNT"):
         return F.coalesce(found, F.lit(0).cast("bigint"))
     if summary.kind == "COMBINED-TEXT":
-        return F.nullif(F.array_join(F.array_sort(found), LIST_SEPARATOR), F.lit(""))
+        return F.nullif(F.array_join(F.sort_array(found), LIST_SEPARATOR), F.lit(""))
     if summary.kind == "COMBINED-USER":
-        return F.when(F.size(found) > 0, F.array_sort(found))
+        return F.when(F.size(found) > 0, F.sort_array(found))
     return found
 
 
 def summarize(child: DataFrame, fk: str, summaries: Sequence[Summary]) -> list[DataFrame]:
-    """Summaries per foreign key, as one to three aggregations of the children.
+    """Summaries per foreign key, as one aggregation of the children for each of up to four groups of kinds.
 
-    Plain, distinct-count and list-user summaries are aggregated apart, as mixing them makes
-    Spark copy every child row once per kind. Rows are combined before each shuffle: a parent
-    owning most children costs no more than another.
+    Plain sums, distinct counts and combined values are aggregated apart: mixing them makes Spark copy every child row once
+    per kind, or gather values as objects beside the sums. Combined values are made distinct first, by parent and value, so a
+    parent owning most children costs no more than another; only its different values meet in its row.
     """
     fk = resolve(child.columns, fk)
     types = {field.name: field.dataType for field in child.schema.fields}
@@ -117,22 +112,29 @@ def summarize(child: DataFrame, fk: str, summaries: Sequence[Summary]) -> list[D
     rows = child.where(col(fk).isNotNull())
     if all(condition is not None for condition in conditions):
         rows = rows.where(reduce(or_, conditions))
-    plain, distinct, nested = [], [], []
+    key = col(fk).alias("_fk")
+    plain, distinct, texts, parts = [], [], {}, []
     for i, (summary, condition) in enumerate(zip(summaries, conditions)):
         keep = F.lit(True) if condition is None else condition
         field = resolve(child.columns, summary.field) if summary.field else None
-        if field and summary.kind == "COMBINED-USER" and isinstance(types[field], T.ArrayType):
-            nested.append((f"_v{i}", field, keep))
+        value = col(field) if field else F.lit(1)
+        if summary.kind == "COMBINED-TEXT":
+            text = value.cast("string")
+            texts[i] = F.when(keep & (F.trim(text) != ""), F.struct(F.lit(i).alias("_i"), text.alias("_v")))
+        elif summary.kind == "COMBINED-USER":
+            each = F.explode(value) if isinstance(types[field], T.ArrayType) else value
+            users = rows.where(keep).select(key, each.alias("_v")).where(F.col("_v").isNotNull()).distinct()
+            parts.append(users.groupBy("_fk").agg(F.collect_list("_v").alias(f"_v{i}")))
         else:
-            value = col(field) if field else F.lit(1)
             group = distinct if summary.kind == "DISTINCT-COUNT" else plain
             group.append(_aggregate(summary, value, keep).alias(f"_v{i}"))
-    key = col(fk).alias("_fk")
-    parts = [rows.groupBy(key).agg(*group) for group in (plain, distinct) if group]
-    for alias, field, keep in nested:
-        users = rows.where(keep).select(key, F.explode(col(field)).alias(alias))
-        parts.append(users.groupBy("_fk").agg(F.collect_set(alias).alias(alias)))
-    return parts
+    if texts:
+        # all texts in one pass over the children
+        held = rows.select(key, F.explode(F.array_compact(F.array(*texts.values()))).alias("_p"))
+        held = held.select("_fk", "_p.*").distinct()
+        lists = [F.collect_list(F.when(F.col("_i") == i, F.col("_v"))).alias(f"_v{i}") for i in texts]
+        parts.append(held.groupBy("_fk").agg(*lists))
+    return [rows.groupBy(key).agg(*group) for group in (plain, distinct) if group] + parts
 
 
 def add_summaries(
