@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from recordloom.llm.toxicity import WordFeatures, disguised, learn_letters, learn_toxicity, restore, score_toxicity
+from recordloom.llm.toxicity import DROP_COST, LOOK_COST, LOOKS_LIKE, REPEAT_COST, SEPARATOR_COST, TWICE_COST, WordFeatures, disguised, learn_letters, learn_toxicity, restore, score_toxicity
 from tests.llm.edges import EDGE_TEXTS, documents, empty
 
 CLEAN = "the garden was quiet and the people were walking along the river with their friends after lunch".split()
@@ -42,6 +42,41 @@ def test_disguised_words_are_restored(model):
     assert [restore(t, cost) for t in shown] == ["idiot", "stupid", "loser", "stupid", "loser", "idiot", "plain", "stupid", ""]
 
 
+def _paths(token, cost):
+    """Cost of the best path to every word that a token may stand for, by trying all paths."""
+    best = {}
+
+    def walk(i, word, price):
+        if i == len(token):
+            codes = [0, 0, *[ord(c) - 96 for c in word], 0]
+            price += sum(cost[a][b][c] for a, b, c in zip(codes, codes[1:], codes[2:]))
+            best[word] = min(price, best.get(word, price))
+            return
+        char, before = token[i], token[i - 1 : i]
+        again = REPEAT_COST if i > 1 and char == before == token[i - 2] else TWICE_COST
+        if char.isalpha():
+            walk(i + 1, word + char, price)
+            if char == before:
+                walk(i + 1, word, price + again)
+        elif char in LOOKS_LIKE:
+            for letter in LOOKS_LIKE[char]:
+                walk(i + 1, word + letter, price + LOOK_COST)
+            walk(i + 1, word, price + (again if char == before else DROP_COST))
+        else:
+            walk(i + 1, word, price + (SEPARATOR_COST if char in " .-_*" else DROP_COST))
+
+    walk(0, "", 0.0)
+    return best
+
+
+def test_decoding_against_all_paths(model):
+    cost, rng = model.letters.cost.tolist(), random.Random(8)
+    tokens = {"".join(rng.choice("tsiloed1103$!._*#") * rng.choice((1, 1, 2, 3)) for _ in range(rng.randrange(1, 6))) for _ in range(800)}
+    for token in sorted(tokens) + ["1d10t", "s.t.u.p.1.d", "l00o0ser", "$$tup!d"]:
+        paths = _paths(token, cost)
+        assert paths[restore(token, cost)] == pytest.approx(min(paths.values()), abs=1e-9), token
+
+
 def test_scores(spark, model):
     plain = "the river was quiet"
     texts = [plain, plain + " you idiot", plain + " you 1d1ot", plain + " you i d i o t", plain + " LOOOOSER", None, ""]
