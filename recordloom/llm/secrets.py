@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.llm.trigram_queries import Query, trigram_query, trigrams
+from recordloom.llm.hash_bits import hash_bits, split_by_bits
 from recordloom.session import stage
 
 
@@ -141,8 +142,11 @@ def find_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES, result: str = "
     if queries:
         names = sorted(set().union(*map(trigrams, queries.values())))
         found = candidate_texts(index_texts(docs, names), queries, names)
-        found = found.select(F.col("text_key").alias(key), F.col("rules").alias(due_rules)).hint("shuffle_hash")
-        rows = rows.join(found, F.xxhash64("text") == F.col(key), "left").drop(key)
+        found = found.select(F.col("text_key").alias(key), F.col("rules").alias(due_rules))
+        # texts that can't be candidates aren't shuffled
+        maybe, sure = split_by_bits(rows, F.xxhash64("text"), hash_bits(found, key))
+        maybe = maybe.join(found.hint("shuffle_hash"), F.xxhash64("text") == F.col(key), "left").drop(key)
+        rows = maybe.union(sure.withColumn(due_rules, F.lit(None).cast("long")))
     else:
         rows = rows.withColumn(due_rules, F.lit(None).cast("long"))
     empty = F.array().cast(f"array<{_SPAN}>")
