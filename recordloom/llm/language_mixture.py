@@ -112,22 +112,24 @@ def document_mixtures(
     best = single.max(axis=1)
     cost = PENALTY * np.log(total + 1)
     full, likelihood = _mixture(p, count, starts, lengths, np.ones_like(chosen))
-    # no set does better than all languages together, so most documents are settled here
+    # no set does better than all languages together: most documents are settled here, the others once larger sets can't pay
     open_ = np.flatnonzero(likelihood - cost > best)
-    if len(open_):
-        pick = np.concatenate([np.arange(starts[d], starts[d] + lengths[d]) for d in open_])
-        q, c, lens = p[pick], count[pick], lengths[open_]
+    order = np.argsort(-full, axis=1, kind="stable")
+    for size in range(2, p.shape[1] + 1):
+        open_ = open_[likelihood[open_] - (size - 1) * cost[open_] > best[open_]]
+        if not len(open_):
+            break
+        pick, lens = np.concatenate([np.arange(starts[d], starts[d] + lengths[d]) for d in open_]), lengths[open_]
+        few = order[open_, :size]
+        # only the set's own languages are looked at
+        held = p[pick[:, None], np.repeat(few, lens, axis=0)]
         at = np.concatenate(([0], np.cumsum(lens)[:-1]))
-        order = np.argsort(-full[open_], axis=1, kind="stable")
-        top = best[open_].copy()
-        for size in range(2, p.shape[1] + 1):
-            allowed = np.zeros((len(open_), p.shape[1]), np.float32)
-            np.put_along_axis(allowed, order[:, :size], 1, axis=1)
-            part, gained = _mixture(q, c, at, lens, allowed)
-            gained -= (size - 1) * cost[open_]
-            better = gained > top
-            top[better] = gained[better]
-            chosen[open_[better]] = part[better]
+        part, gained = _mixture(held, count[pick], at, lens, np.ones(few.shape, np.float32))
+        gained -= (size - 1) * cost[open_]
+        better = gained > best[open_]
+        won = open_[better]
+        best[won], chosen[won] = gained[better], 0
+        chosen[won[:, None], few[better]] = part[better]
     shares[here] = chosen
     return shares, known
 

@@ -1,9 +1,12 @@
+import time
+from itertools import combinations
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from recordloom.llm.char_model import CLASSES, letter_classes, trigram_codes, trigram_counts
-from recordloom.llm.language_mixture import LanguageModel, document_mixtures, gram_places, held_out, identify_languages, learn_languages
+from recordloom.llm.language_mixture import PENALTY, LanguageModel, document_mixtures, gram_places, held_out, identify_languages, learn_languages
 from tests.llm.edges import EDGE_TEXTS, documents, empty
 
 ENGLISH = "the quick brown fox and the lazy dog were seen with their friends in the old town where they had been living"
@@ -68,6 +71,58 @@ def test_em_matches_a_plain_loop():
     assert shares[0, 1] == 0 and abs(shares[0, 0] - pi[0]) < 0.05 and known[0].min() == 1
 
 
+def _texts(rng, p, grams, mixed, length):
+    drawn = [rng.choice(grams, max(1, round(length * share)), p=p[:-1, k] / p[:-1, k].sum()) for k, share in mixed]
+    return np.concatenate(drawn)
+
+
+def test_sets_against_all_subsets():
+    """The set that is chosen against the best of all, by penalised likelihood."""
+    rng = np.random.default_rng(5)
+    grams = np.arange(CLASSES**2 + CLASSES, CLASSES**2 + CLASSES + 60)
+    p = rng.dirichlet(np.full(61, 0.5), 5).T.astype(np.float32) + np.float32(1e-5)
+    p /= p.sum(axis=0)
+    model, same, worst = LanguageModel(list("abcde"), grams, p, np.ones((61, 5), bool)), 0, 0.0
+    texts = []
+    for i in range(60):
+        few = rng.choice(5, 1 + i % 4, replace=False)
+        texts.append(_texts(rng, p, grams, list(zip(few, rng.dirichlet(np.full(len(few), 3.0)))), rng.integers(5, 400)))
+    doc = np.repeat(np.arange(60, dtype=np.int32), [len(t) for t in texts])
+    shares, _ = document_mixtures(np.concatenate(texts), doc, 60, model, gram_places(model))
+
+    def value(x, some):
+        pi = np.full(len(some), 1 / len(some))
+        for _ in range(500):
+            pi = (x[:, some] * pi / (x[:, some] @ pi)[:, None]).mean(axis=0)
+        return np.log(x[:, some] @ pi).sum() - (len(some) - 1) * PENALTY * np.log(len(x) + 1)
+
+    for codes, found in zip(texts, shares):
+        x = p[codes - grams[0]].astype(float)
+        values = {some: value(x, list(some)) for n in range(1, 6) for some in combinations(range(5), n)}
+        best, mine = max(values, key=values.get), tuple(np.flatnonzero(found))
+        same += best == mine
+        worst = max(worst, (values[best] - values[mine]) / np.log(len(x) + 1))
+    assert same >= 57 and worst < PENALTY
+
+
+def test_many_languages_cost_in_proportion():
+    def seconds(n):
+        rng = np.random.default_rng(n)
+        grams = np.arange(CLASSES**2, CLASSES**2 + 3000)
+        p = rng.dirichlet(np.full(3001, 0.1), n).T.astype(np.float32) + np.float32(1e-6)
+        p /= p.sum(axis=0)
+        model = LanguageModel([str(k) for k in range(n)], grams, p, np.ones((3001, n), bool))
+        texts = [_texts(rng, p, grams, [(i % n, 0.6), ((i + 1) % n, 0.4)], 1500) for i in range(100)]
+        doc, place = np.repeat(np.arange(100, dtype=np.int32), [len(t) for t in texts]), gram_places(model)
+        start = time.perf_counter()
+        shares, _ = document_mixtures(np.concatenate(texts), doc, 100, model, place)
+        assert all(set(np.flatnonzero(row)) == {i % n, (i + 1) % n} for i, row in enumerate(shares))
+        return time.perf_counter() - start
+
+    # 25 times the languages; the rest is room for a busy machine
+    assert min(seconds(100) for _ in range(2)) < 50 * max(seconds(4) for _ in range(3))
+
+
 def test_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = learn_languages(docs.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2))
