@@ -451,3 +451,46 @@ def test_broken_versions_stop_a_capture(spark, tmp_path):
     with pytest.raises(SnapshotError, match="record 1, field 8: repeated version number"):
         take_snapshot({"t": Capture(df, "id", file_fields={"f": 8}, contents=contents)}, str(tmp_path / "s"), {})
     assert not (tmp_path / "s").exists()
+
+
+def test_many_files_are_listed_and_digested_by_few_tasks(spark, tmp_path, monkeypatch):
+    from recordloom.sources import files
+
+    for i in range(300):
+        (tmp_path / f"d{i % 9}" / "e").mkdir(parents=True, exist_ok=True)
+        (tmp_path / f"d{i % 9}" / "e" / f"a b+%{i}.txt").write_bytes(b"x\n" * i)
+    for name in ("_hidden", ".hid", "_metadata", "_k=1", "x._COPYING_"):
+        (tmp_path / name).write_bytes(b"y")
+        (tmp_path / "d1" / name).write_bytes(b"")
+        (tmp_path / "d0" / f"{name}.d").mkdir()
+        (tmp_path / "d0" / f"{name}.d" / "z").write_bytes(b"zz")
+    scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(str(tmp_path))
+    want = {tuple(r) for r in scan.select("path", "length").collect()}
+    for many in (256, 4):
+        monkeypatch.setattr(files, "MANY_FOLDERS", many)
+        listed = list_files(spark, str(tmp_path))
+        assert {(r.uri, r.bytes) for r in listed.collect()} == want
+        assert {f"file:{tmp_path}/{r.path}" for r in listed.collect()} == {uri for uri, _ in want}
+    digested = hash_files(spark, str(tmp_path))
+    assert digested.rdd.getNumPartitions() == 1
+    assert digested.agg(F.sum("lines")).first()[0] == sum(range(300))
+    one = list_files(spark, str(tmp_path / "d0" / "e" / "a b+%9.txt")).first()
+    assert one.uri == f"file:{tmp_path}/d0/e/a b+%9.txt" and one.bytes == 18
+    with pytest.raises(FileNotFoundError):
+        list_files(spark, str(tmp_path / "nowhere"))
+
+
+def test_contents_are_handed_on_together(tmp_path, monkeypatch):
+    import pandas as pd
+
+    from recordloom.operators import attachments
+
+    for i in range(5):
+        (tmp_path / str(i)).write_bytes(b"x" * i)
+    rows = pd.DataFrame({"record_id": range(6), "uri": [f"file:{tmp_path}/{i}" for i in range(5)] + [None]})
+    want = [(i, b"x" * i) for i in range(5)] + [(5, None)]
+    for most, parts in ((100, 1), (3, 4)):
+        monkeypatch.setattr(attachments, "HELD_BYTES", most)
+        read = list(attachments._reader(iter([rows])))
+        assert len(read) == parts
+        assert [(r.record_id, r.content) for part in read for r in part.itertuples()] == want
