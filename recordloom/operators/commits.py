@@ -86,8 +86,8 @@ def commit_upsert_files(
     """Merge ``source`` into a keyed table; return its next version and the outcome of every line.
 
     Only files that hold an updated record are rewritten, created records go to files of their own. Merged on the record
-    key, files beyond the keys of the lines are not even read, unless a rule asks for unique values. A ``commit_id`` that the
-    table has seen writes nothing and returns no lines.
+    key, files beyond the keys of the lines are not even read, unless a rule asks for unique values or they stand among many
+    that are read. A ``commit_id`` that the table has seen writes nothing and returns no lines.
     """
     if commit_id and commit_id in table.version.commits:
         return table, None

@@ -66,7 +66,7 @@ def global_rank(df: DataFrame, order: Sequence[str | Column], rank: str) -> Data
     """Add the 1-based rank in ``order``, which must be a total order."""
     slices = sorted_slices(df, order, "rank")
     return (
-        slices.join(_slice_offsets(slices), SLICE)
+        slices.join(F.broadcast(_slice_offsets(slices)), SLICE)
         .withColumn(rank, F.col("_before") + F.col(POSITION) + 1)
         .drop(SLICE, POSITION, "_before")
     )

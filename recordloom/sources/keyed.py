@@ -7,6 +7,9 @@ leaves the old table or the new one, and of two writers that started from one ve
 no version names are left behind by crashes and old versions; ``vacuum`` removes them.
 
 Keys are whole numbers, texts or dates, and unique. Of each file one manifest row reaches the driver, never its records.
+
+The data files of one write stand in one folder by their numbers. Tasks write them and return their manifest rows: thousands of
+files are neither moved one by one by the driver, nor listed, nor read again.
 """
 
 from __future__ import annotations
@@ -19,18 +22,25 @@ from functools import reduce
 from operator import or_
 from uuid import uuid4
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.labels import col
 from ..operators.ordering import global_rank
-from ..session import file_names, move_new, read_text, remove, write_text
+from ..session import file_names, move_new, read_text, remove, stage, write_text
+from .files import _file_system, qualified
 
 FILE = "_file"
 #: Rows of a new file.
 FILE_ROWS = 1_000_000
+#: Up to so many files of a folder are read by their names.
+FEW_FILES = 32
+#: What a task holds of a file before it writes that much.
+HELD_BYTES, HELD_ROWS = 64 << 20, 1 << 17
 
 
 class CommitError(RuntimeError):
@@ -107,7 +117,42 @@ class KeyedTable:
     def _read(self, paths: Sequence[str]) -> DataFrame:
         if not paths:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{path}" for path in paths])
+        rows, wanted = self._scan(paths)
+        if wanted is not None:
+            rows = rows.withColumn("_place", _place()).join(F.broadcast(wanted.select("_place")), "_place", "left_semi")
+        return rows.select(*[col(name) for name in self.schema.names])
+
+    def _scan(self, paths: Sequence[str]) -> tuple[DataFrame, DataFrame | None]:
+        """A scan that holds the records of ``paths``, and their places if it holds more than that.
+
+        Spark lists files given by name in a task each. So a folder is given as a whole if most of the files from the first
+        wanted one to the last are wanted; those before and beyond are left out by their names.
+        """
+        folders: dict[str, list[int]] = {}
+        for path in paths:
+            folder, _, name = path.rpartition("/")
+            if name.removesuffix(_SUFFIX).isdigit():
+                folders.setdefault(folder, []).append(int(name.removesuffix(_SUFFIX)))
+        whole = {f: n for f, n in folders.items() if len(n) > FEW_FILES and 2 * len(n) > max(n) - min(n)}
+        named = [path for path in paths if path.rpartition("/")[0] not in whole]
+        rows = self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{place}" for place in (*whole, *named)])
+        if not whole:
+            return rows, None
+        spans = [
+            F.col("_metadata.file_path").contains(f"/{folder}/")
+            & F.col("_metadata.file_name").between(_file_name(min(n)), _file_name(max(n)))
+            for folder, n in whole.items()
+        ]
+        listed = reduce(or_, [F.col("_metadata.file_path").contains(f"/{folder}/") for folder in whole])
+        rows = rows.where(reduce(or_, spans) | ~listed if named else reduce(or_, spans))
+        gaps = any(len(n) <= max(n) - min(n) for n in whole.values())
+        return rows, self._places(paths) if gaps else None
+
+    def _places(self, paths: Sequence[str]) -> DataFrame:
+        """Files and their numbers among ``paths``."""
+        return self.spark.createDataFrame(
+            [(path.removeprefix("data/"), i) for i, path in enumerate(paths)], f"_place string, {FILE} int"
+        )
 
     def touched(self, keys: DataFrame) -> list[str]:
         """Files whose key range holds one of ``keys`` (its first column).
@@ -147,7 +192,8 @@ class KeyedTable:
         afterwards, counted while they are written.
         """
         before = self.manifest()
-        kept = before.where(~col("path").isin(list(old))) if old else before
+        gone = self.spark.createDataFrame([(path,) for path in old], "path string")
+        kept = before.join(F.broadcast(gone), "path", "left_anti") if old else before
         parts, written, rewritten, added = [], 0, 0, 0
         if changed is not None and old:
             files, n = self._write(changed)
@@ -165,27 +211,29 @@ class KeyedTable:
 
     def with_files(self, paths: Sequence[str]) -> DataFrame:
         """The records of some files, each with the number of its file."""
-        place = F.element_at(F.split(F.col("_metadata.file_path"), "/data/"), -1)
-        numbers = self.spark.createDataFrame(
-            [(path.removeprefix("data/"), i) for i, path in enumerate(paths)], f"_place string, {FILE} int"
-        )
-        return self._read(paths).withColumn("_place", place).join(numbers, "_place").drop("_place")
+        rows, _ = self._scan(paths)
+        return rows.withColumn("_place", _place()).join(F.broadcast(self._places(paths)), "_place").drop("_place")
 
     def _write(self, numbered: DataFrame) -> tuple[DataFrame, int]:
-        """Write rows, one data file for each value of ``_file``; manifest rows of the files, and the number of rows."""
-        folder, seen, key = f"data/{uuid4().hex}", Observation(), self.version.key
-        # counted behind the shuffle: finding its ranges reads the rows once more
-        spread = numbered.repartitionByRange(col(FILE)).sortWithinPartitions(FILE, key).observe(seen, F.count(F.lit(1)).alias("rows"))
-        spread.write.option("maxRecordsPerFile", 0).partitionBy(FILE).parquet(f"{self.path}/{folder}")
-        rows = seen.get["rows"]
+        """Write rows, one data file for each value of ``_file``; manifest rows of the files, and the number of rows.
+
+        Files grow aside and are moved to their names when complete, so a repeated task is harmless.
+        """
+        key = self.version.key
+        kind = self.schema[key].dataType.simpleString()
+        folder = f"data/{uuid4().hex}"
+        aside = qualified(self.spark, f"{self.path}/{folder}.growing")
+        writer = _writer(qualified(self.spark, f"{self.path}/{folder}"), aside, folder, key, self.schema.names, self.spark.version)
+        columns = [col(name) for name in self.schema.names]
+        spread = numbered.select(*columns, col(FILE)).repartition(col(FILE)).sortWithinPartitions(FILE, key)
+        try:
+            files = stage(spread.mapInArrow(writer, f"path string, low {kind}, high {kind}, rows bigint"), "manifest")
+        finally:
+            remove(self.spark, aside)
+        rows = files.agg(F.sum("rows")).first()[0] or 0
         if not rows:
             return self.manifest().limit(0) if self.version.number >= 0 else self._no_files(), 0
-        # the key column alone is read again
-        there = self.spark.read.schema(self.schema).parquet(f"{self.path}/{folder}/{FILE}=*")
-        place = F.concat(F.lit("data/"), F.element_at(F.split(F.col("_metadata.file_path"), "/data/"), -1))
-        return there.groupBy(place.alias("path")).agg(
-            F.min(col(key)).alias("low"), F.max(col(key)).alias("high"), F.count(F.lit(1)).alias("rows")
-        ), rows
+        return files, rows
 
     def _no_files(self) -> DataFrame:
         kind = self.schema[self.version.key].dataType.simpleString()
@@ -235,6 +283,82 @@ class KeyedTable:
         return removed
 
 
+_SUFFIX = ".parquet"
+
+
+def _file_name(number: int) -> str:
+    return f"{number:010d}{_SUFFIX}"
+
+
+def _place():
+    """Folder and name of the file a record comes from."""
+    return F.element_at(F.split(F.col("_metadata.file_path"), "/data/"), -1)
+
+
+def _writer(root: str, aside: str, folder: str, key: str, names: Sequence[str], version: str):
+    """A task function writing rows that are sorted by ``_file``; returns a manifest row for each file.
+
+    Spark takes dates and times for what they are if the file names it as writer.
+    """
+    writes = {b"org.apache.spark.version": version.encode()}
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import parquet
+
+        system, base = _file_system(root)
+        _, growing = _file_system(aside)
+        number = None
+
+        def flush():
+            nonlocal held
+            if held:
+                out.write_table(pa.Table.from_batches(held))
+            held = []
+
+        def finish():
+            flush()
+            out.close()
+            system.move(partial, f"{base}/{_file_name(number)}")
+            row = [[f"{folder}/{_file_name(number)}"], [low], [high], [rows]]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(row[0], pa.string()), pa.array(row[1], kind), pa.array(row[2], kind), pa.array(row[3], pa.int64())],
+                ["path", "low", "high", "rows"],
+            )
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            of = batch.column(batch.schema.names.index(FILE)).to_numpy()
+            columns = [batch.column(i) for i in range(len(names))]
+            schema = pa.schema([batch.schema.field(i) for i in range(len(names))], writes)
+            data = pa.RecordBatch.from_arrays(columns, schema=schema)
+            kind = schema.field(names.index(key)).type
+            edges = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(of)]
+            for start, end in zip(edges, edges[1:]):
+                if number is None or number != of[start]:
+                    if number is not None:
+                        yield finish()
+                    if number is None:
+                        system.create_dir(base, recursive=True)
+                        system.create_dir(growing, recursive=True)
+                    number, low, high, rows, held = int(of[start]), None, None, 0, []
+                    partial = f"{growing}/{uuid4().hex}"
+                    out = parquet.ParquetWriter(partial, schema, filesystem=system, compression="snappy")
+                part = data.slice(start, end - start)
+                ends = pc.min_max(part.column(names.index(key))).as_py()
+                if ends["min"] is not None:
+                    low = ends["min"] if low is None else min(low, ends["min"])
+                    high = ends["max"] if high is None else max(high, ends["max"])
+                rows += part.num_rows
+                held.append(part)
+                if sum(p.num_rows for p in held) >= HELD_ROWS or sum(p.nbytes for p in held) >= HELD_BYTES:
+                    flush()
+        if number is not None:
+            yield finish()
+
+    return write
+
+
 def _numbered_files(df: DataFrame, key: str, file_rows: int) -> DataFrame:
     """Rows with file numbers by their rank in key order."""
     ranked = global_rank(df, [key], "_rank")

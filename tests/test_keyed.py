@@ -270,3 +270,55 @@ def test_digest_trees_of_many_levels(spark, most):
     none = before.limit(0)
     assert digests.changed_ranges(digests.digest_tree(none, "id"), digests.digest_tree(none, "id")) == []
     assert digests.diff_by_digest(none, before, "id", digests.digest_tree(none, "id"), trees[0]).count() == 6000
+
+
+def test_many_files_are_read_by_folder(spark, tmp_path):
+    df = spark.range(1, 601).select(F.col("id"), F.lit("v").alias("v"))
+    stored = KeyedTable.create(df, str(tmp_path / "t"), "id", file_rows=5)
+    place = str(tmp_path / "t" / "data")
+    assert len(file_names(spark, place)) == 1, "all files of one write stand in one folder"
+    paths = [r["path"] for r in stored.manifest().orderBy("low").collect()]
+    assert len(paths) == 120 and stored._scan(paths)[1] is None
+    # one folder is listed, not each file by its name
+    listed = stored.read()._jdf.queryExecution().optimizedPlan().toString()
+    assert listed.count("Relation") == 1
+    roots = stored._scan(paths)[0]._jdf.queryExecution().analyzed().collectLeaves().head().relation().location().rootPaths()
+    assert roots.size() == 1
+    gaps = [path for i, path in enumerate(paths[20:100]) if i % 4]
+    assert {r["id"] for r in stored._read(gaps).collect()} == {i for i in range(101, 501) if (i - 101) // 5 % 4}
+    assert {r["id"] for r in stored._read(paths[::10]).collect()} == {i for i in range(1, 601) if (i - 1) // 5 % 10 == 0}
+    assert stored.with_files(gaps).groupBy("_file").count().where("count = 5").count() == len(gaps)
+    after, n = commit_delete_files(stored, spark.range(101, 501, 5).toDF("id"))
+    assert n == 80 and (after.version.kept, after.version.rewritten) == (40, 80)
+    assert after._read([r["path"] for r in after.manifest().where("rows = 4").collect()]).count() == 320
+    for path in (*paths[:20], *paths[100:]):
+        with open(f"{stored.path}/{path}", "wb") as file:
+            file.write(b"no parquet")
+    assert stored._read(paths[20:100]).agg(F.min("id"), F.max("id"), F.count("id")).first()[:] == (101, 500, 400)
+
+
+def test_values_of_all_kinds_stay_as_they_are(spark, tmp_path):
+    values = """
+        SELECT k, date'0001-01-03' AS d, timestamp'1500-01-01 00:00:00.000001' AS t, timestamp_ntz'1969-12-31 23:59:59' AS n,
+               cast('12345678901234567.89' AS decimal(38, 2)) AS e, X'00ff' AS b, array(1, null) AS a, map('x', 1.5D) AS m,
+               named_struct('p', 'q', 'z', cast(null AS int)) AS s, cast('nan' AS float) AS f, cast(null AS string) AS u
+        FROM VALUES ('a'), ('é'), ('Z'), ('😀'), ('ￜ') AS v(k)
+    """
+    df = spark.sql(values)
+    stored = KeyedTable.create(df, str(tmp_path / "t"), "k", file_rows=2)
+    assert sorted(map(repr, stored.read().collect())) == sorted(map(repr, df.collect()))
+    assert stored.read().schema.simpleString() == df.schema.simpleString()
+    ranges = [tuple(r)[1:] for r in stored.manifest().orderBy("low").collect()]
+    assert ranges == [("Z", "a", 2), ("é", "ￜ", 2), ("😀", "😀", 1)]
+    dated = KeyedTable.create(df.select("d", "u").limit(1), str(tmp_path / "d"), "d")
+    assert dated.manifest().first()["low"] == df.first()["d"]
+
+
+def test_files_larger_than_a_batch(spark, tmp_path):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        stored = KeyedTable.create(spark.range(0, 100), str(tmp_path / "t"), "id", file_rows=30)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [tuple(r)[1:] for r in stored.manifest().orderBy("low").collect()] == [(0, 29, 30), (30, 59, 30), (60, 89, 30), (90, 99, 10)]
+    assert stored.read().agg(F.sum("id"), F.count("id")).first()[:] == (4950, 100)
