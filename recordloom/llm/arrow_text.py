@@ -13,8 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: numpy needs some 40 bytes for each byte of a slice.
-SLICE_BYTES = 1 << 20
+#: numpy needs some 40 bytes for each byte of a slice, and a worker keeps most of that until its executor ends.
+SLICE_BYTES = 1 << 18
 
 _U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1

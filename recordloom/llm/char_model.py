@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from recordloom.llm.arrow_text import slices
 
 CLASSES = 155
-#: Groups that a task counts at a time; beyond, it hands on what it has.
-_GROUPS_HELD = 12
-_WAITING = 2_000_000
+#: Trigrams that wait in a task to be counted, and counts that it holds; beyond, it hands them on.
+_WAITING = 1_000_000
+_HELD = 1_000_000
 
 
 def letter_classes() -> np.ndarray:
@@ -41,46 +41,55 @@ def trigram_codes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.
     return codes, (np.searchsorted(starts, middle, "right") - 1).astype(np.int32)
 
 
+def _added(held: tuple[np.ndarray, np.ndarray] | None, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The trigrams of ``held`` and of ``codes``, sorted, with their counts: as many as occur, not as many as there can be."""
+    gram, n = np.unique(codes, return_counts=True)
+    if held is None:
+        return gram, n
+    both, place = np.unique(np.concatenate((held[0], gram)), return_inverse=True)
+    total = np.zeros(len(both), np.int64)
+    np.add.at(total, place, np.concatenate((held[1], n)))
+    return both, total
+
+
+def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``kind, gram, n`` of a task's rows; a trigram may come several times."""
+    held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    waiting: dict[str, list[np.ndarray]] = {}
+    pending = 0
+
+    def add() -> None:
+        for name, codes in waiting.items():
+            held[name] = _added(held.get(name), np.concatenate(codes))
+        waiting.clear()
+
+    def emit() -> Iterator[pa.RecordBatch]:
+        for kind, (gram, n) in held.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([kind] * len(gram), pa.string()), pa.array(gram, pa.int32()), pa.array(n, pa.int64())],
+                ["kind", "gram", "n"],
+            )
+        held.clear()
+
+    for batch in batches:
+        kinds = batch.column("kind").to_pylist()
+        for low, high, data, bounds in slices(batch.column("text")):
+            codes, doc = trigram_codes(data, bounds)
+            names = sorted(set(kinds[low:high]))
+            number = np.array([names.index(k) for k in kinds[low:high]], np.int32)[doc]
+            for i, name in enumerate(names):
+                waiting.setdefault(name, []).append(codes[number == i])
+            pending += len(codes)
+            if pending > _WAITING:
+                add()
+                pending = 0
+                if sum(len(gram) for gram, _ in held.values()) > _HELD:
+                    yield from emit()
+    add()
+    yield from emit()
+
+
 def trigram_counts(texts: DataFrame) -> DataFrame:
     """``kind, gram, n`` over all rows of ``texts`` (kind string, text string)."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] = {}
-        waiting: dict[str, list[np.ndarray]] = {}
-
-        def add(least: int) -> None:
-            """Count what waits for a kind, once it is as much as a pass over its table is worth."""
-            for name, codes in waiting.items():
-                if sum(map(len, codes)) > least:
-                    held[name] += np.bincount(np.concatenate(codes), minlength=CLASSES**3).astype(np.int32)
-                    codes.clear()
-
-        def emit() -> Iterator[pa.RecordBatch]:
-            add(0)
-            for kind, counts in held.items():
-                gram = np.flatnonzero(counts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([kind] * len(gram), pa.string()), pa.array(gram, pa.int32()), pa.array(counts[gram], pa.int64())],
-                    ["kind", "gram", "n"],
-                )
-            held.clear()
-            waiting.clear()
-
-        for batch in batches:
-            kinds = batch.column("kind").to_pylist()
-            for low, high, data, bounds in slices(batch.column("text")):
-                codes, doc = trigram_codes(data, bounds)
-                names = sorted(set(kinds[low:high]))
-                number = np.array([names.index(k) for k in kinds[low:high]], np.int32)[doc]
-                for i, name in enumerate(names):
-                    if name not in held:
-                        if len(held) >= _GROUPS_HELD:
-                            yield from emit()
-                        held[name], waiting[name] = np.zeros(CLASSES**3, np.int32), []
-                    waiting[name].append(codes[number == i])
-                add(_WAITING)
-        yield from emit()
-
-    return texts.select("kind", "text").mapInArrow(count, "kind string, gram int, n long").groupBy("kind", "gram").agg(
-        F.sum("n").alias("n")
-    )
+    counted = texts.select("kind", "text").mapInArrow(count_batches, "kind string, gram int, n long")
+    return counted.groupBy("kind", "gram").agg(F.sum("n").alias("n"))

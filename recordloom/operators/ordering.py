@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,7 +60,9 @@ def _slice_offsets(slices: DataFrame) -> DataFrame:
     for row in counts:
         rows.append((row[SLICE], before))
         before += row["n"]
-    return slices.sparkSession.createDataFrame(rows, f"{SLICE} int, _before bigint")
+    # as an Arrow table: rows would go through Python workers of a pool of their own, which stay in the executors
+    named = pa.table(list(zip(*rows)) or [[], []], schema=pa.schema([(SLICE, pa.int32()), ("_before", pa.int64())]))
+    return slices.sparkSession.createDataFrame(named)
 
 
 def global_rank(df: DataFrame, order: Sequence[str | Column], rank: str) -> DataFrame:

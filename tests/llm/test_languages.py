@@ -1,10 +1,15 @@
 import time
+import tracemalloc
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from recordloom.llm import char_model
+from recordloom.llm.arrow_text import slices
 from recordloom.llm.char_model import CLASSES, letter_classes, trigram_codes, trigram_counts
 from recordloom.llm.language_mixture import PENALTY, LanguageModel, document_mixtures, gram_places, held_out, identify_languages, learn_languages
 from tests.llm.edges import EDGE_TEXTS, documents, empty
@@ -32,6 +37,46 @@ def test_counts_match_a_plain_count(spark):
     assert {(r["kind"], r["gram"]): r["n"] for r in counted} == want
 
 
+def kinds_and_texts(kinds):
+    rows = [(f"k{i % kinds}", f"text {'abcdefghij'[i % 10]} of {i} and {'xyz'[i % 3]}é " * 40) for i in range(2400)]
+    return [pa.RecordBatch.from_pydict({"kind": [k for k, _ in some], "text": [t for _, t in some]}) for some in (rows[:1000], rows[1000:])]
+
+
+def test_counting_holds_what_occurs():
+    """A task's memory follows the trigrams that it meets; a table of all possible ones took 15 MB a kind."""
+    batches = kinds_and_texts(12)
+    tracemalloc.start()
+    count = sum(part.num_rows for part in char_model.count_batches(iter(batches)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert count and peak < 60e6
+
+
+def test_counts_handed_on_early_add_up(monkeypatch):
+    def counted():
+        total, rows = Counter(), 0
+        for part in char_model.count_batches(iter(kinds_and_texts(3))):
+            rows += part.num_rows
+            for kind, gram, n in zip(*(column.to_pylist() for column in part.columns)):
+                total[kind, gram] += n
+        return total, rows
+
+    whole, rows = counted()
+    monkeypatch.setattr(char_model, "_WAITING", 1000)
+    monkeypatch.setattr(char_model, "_HELD", 50)
+    again, more = counted()
+    assert again == whole and rows == len(whole) < more
+
+
+def test_slices_are_small_and_whole():
+    texts = ["word " * 2000, None, "", "x" * 600_000] * 60
+    seen = []
+    for low, high, data, bounds in slices(pa.array(texts)):
+        assert len(data) <= 1 << 18 or high == low + 1
+        seen += [data[a:b].tobytes().decode() for a, b in zip(bounds, bounds[1:])]
+    assert seen == [text or "" for text in texts]
+
+
 def test_predictions(spark, model):
     assert model.languages == ["de", "en"]
     rows = [(1, "where the friends of the dog were"), (2, "wo die Freunde der Stadt und der Hund"), (3, ENGLISH + ". " + GERMAN)]

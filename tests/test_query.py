@@ -103,6 +103,13 @@ def test_global_order_on_a_hot_group(spark):
     assert sorted(map(tuple, small)) == sorted(map(tuple, large))
 
 
+def test_ranks_start_no_python_workers(people):
+    """The rows before each slice reach the plan as they are; rows of Python objects go through workers that stay in the executors."""
+    ranked = global_rank(people, ["Record ID#"], "rank")
+    assert "ExistingRDD" not in ranked._jdf.queryExecution().executedPlan().toString()
+    assert global_rank(people.limit(0), ["Record ID#"], "rank").collect() == []
+
+
 @pytest.mark.parametrize("ranked", [False, True])
 def test_no_single_partition_for_whole_tables(people, ranked):
     """Neither a full sort nor a rank sends all rows through one task."""
