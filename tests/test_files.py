@@ -494,3 +494,75 @@ def test_contents_are_handed_on_together(tmp_path, monkeypatch):
         read = list(attachments._reader(iter([rows])))
         assert len(read) == parts
         assert [(r.record_id, r.content) for part in read for r in part.itertuples()] == want
+
+
+def test_copies_stand_portion_by_portion(spark, tmp_path, monkeypatch):
+    import base64
+
+    import catalog
+
+    catalog.load()
+    from catalog import attachments as queries
+    from recordloom.operators import attachments
+
+    texts = {i: "" if i % 20 == 0 else f"text {i}\n" * (i % 7 + 1) for i in range(120)}
+    columns = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    documents = [(i, text, "en" if i % 3 else None, "s", len(text)) for i, text in texts.items()]
+    spark.createDataFrame(documents, columns).write.parquet(f"{tmp_path}/documents.parquet")
+    roots, standing, folders = [], [], []
+
+    def counted(jobs, contents, root):
+        standing.append(sum(len(_files_below(r)) for r in roots))
+        roots.append(root)
+        index = archive(jobs, contents, root)
+        folders.append(sum(p.is_dir() for p in Path(root).rglob("*")))
+        return index
+
+    monkeypatch.setattr(queries, "archive", counted)
+    monkeypatch.setattr(attachments, "STANDING_FILES", 60)
+    monkeypatch.setattr(attachments, "FEW_FOLDERS", 4)
+    want = {i: (hashlib.sha256(t.encode()).hexdigest(), len(t), base64.b64encode(t.encode()).decode(), 120) for i, t in texts.items()}
+    found = queries.copy_by_uri(spark, str(tmp_path)).collect()
+    assert len(found) == 120 and {r.record_id: tuple(r)[1:] for r in found} == want
+    # two portions; the files of one are gone when the next is written, and its sources have no folders of their own
+    assert len(roots) == 4 and standing[2] == 0 and standing[1] + standing[3] == 120
+    assert max(folders[0], folders[2]) <= 4
+    assert not Path(roots[0]).exists() and not Path(roots[1]).exists()
+
+
+def test_paths_in_few_folders_are_distinct(spark, projects, contents, tmp_path):
+    from recordloom.operators import attachments
+
+    jobs = attachment_jobs(projects, "Record ID#", {"File": 8}, "p")
+    flat = attachments.in_few_folders(jobs)
+    paths = [r.path for r in flat.collect()]
+    assert len(set(paths)) == len(paths) == jobs.count() and all(p.count("/") == 1 for p in paths)
+    index = archive(flat, contents, str(tmp_path / "a"))
+    assert _files_below(tmp_path / "a") == sorted(paths)
+    (tmp_path / "kept").write_bytes(b"kept")
+    away = index.select(F.lit("tables/../../kept/1/8/1/x").alias("path"))
+    attachments.remove_archive(index.select("path").union(away), str(tmp_path / "a"))
+    assert not (tmp_path / "a").exists() and (tmp_path / "kept").exists()
+
+
+def test_empty_files_are_listed_on_request(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    for name, body in (("a", b""), ("b", b"x\n"), ("_c", b"")):
+        (tmp_path / "d" / name).write_bytes(body)
+    assert {r.path for r in list_files(spark, str(tmp_path)).collect()} == {"d/b"}
+    assert {(r.path, r.bytes) for r in list_files(spark, str(tmp_path), empty=True).collect()} == {("d/a", 0), ("d/b", 2)}
+    digests = {r.path: r.sha256 for r in hash_files(spark, str(tmp_path), empty=True).collect()}
+    assert digests == {"d/a": hashlib.sha256(b"").hexdigest(), "d/b": hashlib.sha256(b"x\n").hexdigest()}
+    one = list_files(spark, str(tmp_path / "d" / "a"), empty=True).first()
+    assert one.bytes == 0
+
+
+def test_portions_keep_keys_together(spark):
+    from recordloom.session import staged_portions
+
+    df = spark.createDataFrame([(i % 50 if i else None, f"v{i}") for i in range(400)], "k int, v string")
+    portions = [[tuple(r) for r in p.collect()] for p in staged_portions(df, "k", 7, "portions")]
+    assert len(portions) == 7 and sorted(sum(portions, []), key=repr) == sorted(map(tuple, df.collect()), key=repr)
+    keys = [{k for k, _ in p} for p in portions]
+    assert sum(map(len, keys)) == len(set().union(*keys))
+    assert [p for p in staged_portions(df, "k", 1, "portions")] == [df]
